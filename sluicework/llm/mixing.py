@@ -1,12 +1,13 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Each source's words are repeated or thinned to a target; a document's expected number of copies is
-its source's target divided by the source's size. The whole part is taken at once. The fractional
-parts are rounded dependently: two documents trade words, one gaining what the other loses, in a
-random direction whose odds keep each expectation, until one of the two has a whole number. So all
-but one document of a group are settled while the group's words stay exactly as they were; what is
-left of each group (one document) goes up a reduction tree, and the last of a source is settled by
-its own odds. A source misses its target by less than one document.
+its source's target divided by the source's size. The whole part is taken at once.
+The fractional parts are rounded dependently: two documents trade mass, in a random direction whose
+odds keep each one's expectation, until one of the two has a whole number; documents come in order
+of size, largest first, and words that a trade between unequal sizes wins or loses are made up by
+the next ones. So all but one document of a group are settled. What is left of each group (one
+document, and the words still owed) goes up a reduction tree, and the last of a source is settled
+by what brings the source nearer to its target, so that is missed by about a small document.
 
 Edge cases: a null text has size 0; a document of size 0 takes nothing; the null source is a source,
 last in order; repeated rows are rows of their own, and their number of copies is drawn among them;
@@ -32,7 +33,7 @@ MOST_COPIES = 3.0
 GROUP_ROWS = 4096
 FAN_IN = 64
 SEED = 20240611
-_STATE = "source string, bucket long, doc_id long, tie long, size long, whole long, part double"
+_STATE = "source string, bucket long, doc_id long, tie long, size long, whole long, part double, carry double"
 
 
 def text_size(name: str) -> Column:
@@ -61,39 +62,44 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     return df.select("source", "source_size", F.least("most", F.coalesce(F.col("level") * F.col("weight"), F.col("most"))).alias("target"))
 
 
-def pivot(parts: np.ndarray, sizes: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, int]:
-    """Round ``parts`` (each in 0..1) one against another; returns them and the index of the one left, or -1.
+def pivot(parts: np.ndarray, sizes: np.ndarray, draws: np.ndarray, carry: float = 0.0) -> tuple[np.ndarray, int, float]:
+    """Round ``parts`` (each in 0..1) one against another, in the given order, largest size first.
 
-    The sum of parts times sizes stays; each part's expectation over the draws is what it was.
+    The document held and the next one trade mass until one of them is settled; which way is drawn, by
+    odds that keep both expectations. Where the two differ in size, the words that the trade won or
+    lost are made up by the documents that follow (``carry``: words still owed to them). Returns the
+    parts, the index of the one that is left with a fraction, or -1, and the words still owed.
     """
     out, held = parts.astype(float).copy(), -1
     for i in range(len(out)):
-        p, s = out[i], sizes[i]
-        if p <= 0.0 or p >= 1.0 or s == 0:
+        q, s = out[i], float(sizes[i])
+        if s == 0 or q <= 0.0 or q >= 1.0:
             continue
+        want = q + carry / s
+        q = min(max(want, 0.0), 1.0)
+        carry = (want - q) * s
+        if abs(q - round(q)) < 1e-9:
+            carry += (q - round(q)) * s
+            out[i] = round(q)
+            continue
+        out[i] = q
         if held < 0:
             held = i
             continue
-        q, r = out[held], sizes[held]
-        up, down = min((1.0 - p) * s, q * r), min(p * s, (1.0 - q) * r)  # words that i may gain or lose
-        if draws[i] * (up + down) < down:
-            p_new, q_new, settles = p + up / s, q - up / r, (1.0 - p) * s <= q * r
-            i_to, held_to = 1.0, 0.0
-        else:
-            p_new, q_new, settles = p - down / s, q + down / r, p * s <= (1.0 - q) * r
-            i_to, held_to = 0.0, 1.0
-        if settles:
-            out[i], out[held] = i_to, min(max(q_new, 0.0), 1.0)
-            if not 1e-12 < out[held] < 1.0 - 1e-12:
-                out[held] = round(out[held])
-                held = -1
-        else:
-            out[held], out[i] = held_to, min(max(p_new, 0.0), 1.0)
-            held = i
-            if not 1e-12 < out[i] < 1.0 - 1e-12:
-                out[i] = round(out[i])
-                held = -1
-    return out, held
+        p, total = out[held], out[held] + q
+        if total < 1.0:  # one goes to 0 and the other takes all
+            keep = draws[i] * total < p
+            p_new, q_new = (total, 0.0) if keep else (0.0, total)
+        else:  # one goes to 1 and the other keeps the rest
+            keep = draws[i] * (2.0 - total) < 1.0 - p
+            p_new, q_new = (total - 1.0, 1.0) if keep else (1.0, total - 1.0)
+        carry -= (p_new - p) * float(sizes[held]) + (q_new - q) * s
+        out[held], out[i] = p_new, q_new
+        held = held if keep else i
+        if abs(out[held] - round(out[held])) < 1e-9:
+            out[held] = round(out[held])
+            held = -1
+    return out, held, carry
 
 
 def _draws(tie: np.ndarray, level: int, seed: int) -> np.ndarray:
@@ -123,15 +129,17 @@ def _round(state: DataFrame, level: int, seed: int, last: bool = False) -> DataF
                 continue
             key = rows["source"].isna().astype(str) + rows["source"].fillna("") + "\x00" + rows["bucket"].astype(str)
             part, open_ = rows["part"].to_numpy(float).copy(), np.zeros(len(rows), bool)
+            carry = rows["carry"].to_numpy(float).copy()
             size, draws = rows["size"].to_numpy(), _draws(rows["tie"].to_numpy(), level, seed)
             starts = np.flatnonzero(np.r_[True, (key.to_numpy()[1:] != key.to_numpy()[:-1])])
             left = -1
             for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
-                part[a:b], at = pivot(part[a:b], size[a:b], draws[a:b])
+                part[a:b], at, owed = pivot(part[a:b], size[a:b], draws[a:b], float(carry[a:b].sum()))
+                carry[a:b] = 0.0
                 left = a + at if at >= 0 else -1
                 if left >= 0:
-                    open_[left] = True
-            rows = rows.assign(part=part, open=open_)
+                    open_[left], carry[left] = True, owed
+            rows = rows.assign(part=part, carry=carry, open=open_)
             if left >= 0:  # the last group may go on in the next batch
                 held = rows.iloc[[left]].drop(columns="open")
                 rows = rows.drop(index=left)
@@ -141,8 +149,8 @@ def _round(state: DataFrame, level: int, seed: int, last: bool = False) -> DataF
 
     out = dealt.mapInPandas(run, _STATE + ", open boolean")
     if last:
-        odds = F.pmod(F.xxhash64(F.lit(seed), "tie", "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-        out = out.withColumn("part", F.when(F.col("open"), F.when(odds < F.col("part"), 1.0).otherwise(0.0)).otherwise(F.col("part")))
+        nearest = F.when(F.col("part") * F.col("size") + F.col("carry") >= F.col("size") / 2, 1.0).otherwise(0.0)
+        out = out.withColumn("part", F.when(F.col("open"), nearest).otherwise(F.col("part")))
     return out
 
 
@@ -159,7 +167,7 @@ def copies(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id",
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     wide = rows.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("factor", factor)
     groups = F.ceil(F.col("n") / group_rows).cast("long")
-    state = wide.select("source", F.pmod(F.col("tie"), groups).alias("bucket"), "doc_id", "tie", "size", F.floor("factor").cast("long").alias("whole"), (F.col("factor") - F.floor("factor")).alias("part"))
+    state = wide.select("source", F.pmod(F.col("tie"), groups).alias("bucket"), "doc_id", "tie", "size", F.floor("factor").cast("long").alias("whole"), (F.col("factor") - F.floor("factor")).alias("part"), F.lit(0.0).alias("carry"))
     most_groups = targets.agg(F.max(groups)).first()[0] or 1
     level, settled = 0, []
     while True:
