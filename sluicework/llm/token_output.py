@@ -3,8 +3,9 @@
 A document's key is its id together with a copy number (0, 1, ... among rows of the same id), so
 repeated rows keep an entry each. Layout below ``path``:
 
-``shard-NNNNN.bin``   ids of many documents, little-endian unsigned 32-bit, one after the other in
-                      ascending key order; shards are in ascending order too.
+``shard-NNNNN.bin``   ids of many documents, little-endian unsigned, 16-bit where the vocabulary
+                      allows and else 32-bit, one after the other in ascending key order; shards
+                      are in ascending order too.
 ``meta/``             Parquet, a row per document: key, shard, offset in the shard, number of ids.
 ``index-NNNNN.mph``   for each bucket of keys a minimal perfect hash function and, at each of its
                       slots, a fingerprint of the key, the shard, the offset and the number of ids.
@@ -45,16 +46,37 @@ _ENTRY = np.dtype([("fingerprint", "<u8"), ("shard", "<i4"), ("offset", "<i8"),
 #: A space with something that isn't white space on both sides: byte-level pre-tokenization always begins anew there.
 _UNIT = re.compile(r"(?<=\S) (?=\S)")
 _RUN = re.compile(r"\s\s")
-_CACHE_UNITS = 300_000
+#: Marks that end words and never join with a letter before them.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: How byte-level vocabularies write bytes as characters: printable ones as they are, the others from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(0x100 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
+_CACHE_UNITS = 1_000_000
 _ENCODERS: dict[str, Encoder] = {}
 
 
+class _Cache(dict):
+    """Ids of units that follow a space, learned as they come; emptied when it has grown to its bound."""
+
+    def __init__(self, learn, most: int = _CACHE_UNITS):
+        super().__init__()
+        self.learn, self.most = learn, most
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        ids = self[unit] = self.learn(unit)
+        return ids
+
+
 class Encoder:
-    """The ids of whole texts. Words met before come from a cache of bounded size.
+    """The ids of whole texts, as bytes of ``dtype``. Words met before come from caches of bounded size.
 
     Byte-level tokenizers without a normalizer cut a text before each single inner space, whatever
-    stands around it, so the ids of a text are those of its space-led units in turn. Texts with an
-    added token's string, and other tokenizers, take the library's plain path.
+    stands around it, so the ids of a text are those of its first unit and of its space-led units in
+    turn. A unit of letters is one piece for the model, and so is a run of marks after it; other
+    units are cut by the library. Texts with an added token's string, and other tokenizers, take the
+    library's plain path.
     """
 
     def __init__(self, path: str):
@@ -62,47 +84,44 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         pre = self.tokenizer.pre_tokenizer
         self.by_unit = self.tokenizer.normalizer is None and isinstance(pre, pre_tokenizers.ByteLevel) and pre.use_regex and not pre.add_prefix_space
-        self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, units: list[str]) -> None:
-        """Cache the ids of units that begin with a space: one call cuts them all, then each new piece is encoded."""
-        if len(self.units) + len(units) > _CACHE_UNITS:
-            self.units.clear()
-        if len(self.pieces) > _CACHE_UNITS:
-            self.pieces.clear()
-        model, pieces, ends = self.tokenizer.model, self.pieces, np.cumsum([len(u) for u in units]).tolist()
-        at, got = 0, []
-        for piece, (_, end) in self.tokenizer.pre_tokenizer.pre_tokenize_str("".join(units)):
-            ids = pieces.get(piece)
-            if ids is None:
-                ids = pieces[piece] = np.array([t.id for t in model.tokenize(piece)], "<u4").tobytes()
-            got.append(ids)
-            if end == ends[at]:
-                self.units[units[at]] = b"".join(got)
-                at, got = at + 1, []
+        self.units, self.pieces = _Cache(self._unit), _Cache(self._piece)
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece, which is written with the library's characters for bytes."""
+        return self._ids([t.id for t in self.tokenizer.model.tokenize(piece)])
+
+    def _unit(self, unit: str, lead: str = " ") -> bytes:
+        word = unit.rstrip(_MARKS)
+        if unit and max(unit) < "\u0250":
+            if word.isalpha() or not word:
+                head, marks = (word, unit[len(word) :]) if word else (unit, "")
+                chars = (lead + head).encode().decode("latin-1").translate(_BYTE_CHARS)
+                return self.pieces[chars] + (self.pieces[marks] if marks else b"")
+            before, line, after = unit.partition("\n")
+            if line and before and after and not before[-1].isspace() and not after[0].isspace():
+                return self._unit(before, lead) + self.pieces[_BYTE_CHARS[10]] + self._unit(after, "")
+        return b"".join([self.pieces[piece] for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(lead + unit)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
+        """For each text the bytes of its ids."""
         if not self.by_unit:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        out = []
+            return [self._ids(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        out, known = [], self.units.__getitem__
         for text in texts:
             if any(a in text for a in self.added):
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                out.append(self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids))
                 continue
-            first, *rest = _UNIT.split(text) if _RUN.search(text) else text.split(" ")
-            rest = [" " + u for u in rest]
-            new = [u for u in dict.fromkeys(rest) if u not in self.units]
-            if new:
-                self._learn(new)
-                if not all(map(self.units.__contains__, rest)):  # the cache was emptied meanwhile
-                    self._learn([u for u in dict.fromkeys(rest) if u not in self.units])
-            head = np.array(self.tokenizer.encode(first, add_special_tokens=False).ids, "<u4").tobytes() if first else b""
-            out.append(head + b"".join(map(self.units.__getitem__, rest)))
+            units = _UNIT.split(text) if _RUN.search(text) else text.split(" ")
+            head = self._ids(self.tokenizer.encode(units[0], add_special_tokens=False).ids) if units[0] else b""
+            del units[0]
+            out.append(head + b"".join(map(known, units)))
         return out
 
 
@@ -130,7 +149,7 @@ def _put(uri: str, name: str, chunks: Iterator[bytes]) -> None:
 # --- shards --------------------------------------------------------------------------------
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, copy_col: str | None = None) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
     """Encode whole texts, append ``end_id`` to each, and write shards in ascending key order below ``path``.
 
     Rows are dealt by ranges of the id, so a shard is one task's ids, streamed to its file as they
@@ -142,14 +161,13 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     fs.create_dir(root, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    end = np.array([end_id], "<u4").tobytes()
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = (b for b in batches if b.num_rows)
         head = next(batches, None)
         if head is None:
             return
-        shard, encode = TaskContext.get().partitionId(), encoder(tokenizer).encode
+        shard, coder = TaskContext.get().partitionId(), encoder(tokenizer)
+        encode, end, width = coder.encode, np.array([end_id], coder.dtype).tobytes(), np.dtype(coder.dtype).itemsize
         done: list[pa.RecordBatch] = []
 
         def chunks() -> Iterator[bytes]:
@@ -162,7 +180,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                     last = (doc_id,)
                     copies.append(copy)
                     offsets.append(offset)
-                    lengths.append(len(payload) // 4 + 1)
+                    lengths.append(len(payload) // width + 1)
                     offset += lengths[-1]
                     yield payload + end
                 done.append(pa.RecordBatch.from_arrays([batch.column(0), pa.array(copies, pa.int64()), pa.array([shard] * len(ids), pa.int32()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["doc_id", "copy", "shard", "offset", "n_tokens"]))
@@ -284,8 +302,8 @@ def look_up(keys: DataFrame, path: str, n_buckets: int) -> DataFrame:
     return _keyed(keys.select("doc_id", "copy"), n_buckets).groupBy("bucket").applyInPandas(find, schema)
 
 
-def read_payloads(places: DataFrame, path: str) -> DataFrame:
-    """Read the ids at (shard, offset, n_tokens) from the shards and add ids_crc32, the checksum of their bytes.
+def read_payloads(places: DataFrame, path: str, dtype: str) -> DataFrame:
+    """Read the ids at (shard, offset, n_tokens) from the shards and add ids_crc32, the checksum of them as 32-bit integers.
 
     Places are dealt by shard and sorted by offset, so a shard is read from front to back, a
     document at a time.
@@ -293,6 +311,7 @@ def read_payloads(places: DataFrame, path: str) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, root = _place(path)
+        width = np.dtype(dtype).itemsize
         shard, file = None, None
         for rows in batches:
             sums = []
@@ -301,8 +320,8 @@ def read_payloads(places: DataFrame, path: str) -> DataFrame:
                     if file is not None:
                         file.close()
                     shard, file = number, fs.open_input_file(f"{root}/shard-{number:05d}.bin")
-                file.seek(4 * offset)
-                sums.append(zlib.crc32(file.read(4 * n)))
+                file.seek(width * offset)
+                sums.append(zlib.crc32(np.frombuffer(file.read(width * n), dtype).astype("<u4").tobytes()))
             yield rows.assign(ids_crc32=sums)
         if file is not None:
             file.close()
@@ -320,7 +339,7 @@ def token_output(docs: DataFrame, tokenizer: str, path: str | None = None) -> Da
     n_buckets = write_index(meta, path)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = meta.groupBy("shard").agg(F.sum("n_tokens").alias("total")).select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("shard_start"))
-    read = read_payloads(look_up(meta, path, n_buckets), path)
+    read = read_payloads(look_up(meta, path, n_buckets), path, encoder(tokenizer).dtype)
     return read.join(starts, "shard").select("doc_id", "copy", "shard", (F.col("shard_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
