@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from sluicework.llm import host_rules, mixing, token_output
+from sluicework.llm import decontamination, host_rules, html_extraction, jaccard_join, mixing, quality_classifier, token_output
 
 QUERIES = {
+    "op1_quality": quality_classifier.op1_quality,
+    "op5_decontamination": decontamination.op5_decontamination,
     "op6_token_output": token_output.op6_token_output,
+    "op7_html_extraction": html_extraction.op7_html_extraction,
     "op8_host_rules": host_rules.op8_host_rules,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
 }
 
