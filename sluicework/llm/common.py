@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -150,3 +151,9 @@ def shingles(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarr
         step = words[np.minimum(at + k, n - 1)]
         out = np.where(k < length, mix(out * np.uint64(_BASE) + step), out)
     return out, per
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results have been written: it does so when their frames are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
