@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from sluicework.llm import decontamination, host_rules, html_extraction, jaccard_join, mixing, quality_classifier, token_output
+from sluicework.llm import chat_tools, decontamination, host_rules, html_extraction, jaccard_join, line_dedup, mixing, quality_classifier, suffix_dedup, token_output
 
 QUERIES = {
     "op1_quality": quality_classifier.op1_quality,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+    "op4_tool_linking": chat_tools.op4_tool_linking,
     "op5_decontamination": decontamination.op5_decontamination,
     "op6_token_output": token_output.op6_token_output,
     "op7_html_extraction": html_extraction.op7_html_extraction,
@@ -15,5 +18,6 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_tool_linking": chat_tools.OP4_SQL,
     "op8_host_rules": host_rules.OP8_SQL,
 }
