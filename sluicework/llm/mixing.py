@@ -99,6 +99,8 @@ def pivot(parts: np.ndarray, sizes: np.ndarray, draws: np.ndarray, carry: float
         if abs(out[held] - round(out[held])) < 1e-9:
             out[held] = round(out[held])
             held = -1
+    if held < 0 and abs(carry) >= 0.5 and (sizes > 0).any():  # a settled document carries on what is owed
+        held = int(np.flatnonzero(sizes > 0)[-1])
     return out, held, carry
 
 

@@ -333,9 +333,9 @@ def test_bands():
 
 def test_word_hashes():
     words, counts = word_hashes(["a b  c".encode(), b"", "é\x0b\x85x a".encode()])
-    assert counts.tolist() == [3, 0, 2] and words[0] == words[4] and len(set(words.tolist())) == 4
+    assert counts.tolist() == [3, 0, 3] and words[0] == words[5] and len(set(words.tolist())) == 5
     grams, per = shingles(words, counts, 3)
-    assert per.tolist() == [1, 0, 1] and len(grams) == 2
+    assert per.tolist() == [1, 0, 1] and len(grams) == 2 and grams[0] != grams[1]
 
 
 # --- 10 ------------------------------------------------------------------------------------
@@ -366,7 +366,7 @@ def test_mixing(spark, sf, group_rows):
     want = brute_targets(got.groupby("source")["size"].sum().to_dict())
     for source, rows in got.groupby("source"):
         assert abs(rows.target.iloc[0] - want[source]) < 1e-6
-        assert abs((rows.copies * rows["size"]).sum() - want[source]) <= max(60, 0.05 * want[source])
+        assert abs((rows.copies * rows["size"]).sum() - want[source]) <= rows["size"].max() / 2 + 1
     assert got.copies.max() <= 3
 
 
