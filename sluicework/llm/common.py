@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import gc
-import re
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicework.storage import materialize, release, shared_dir
+
+__all__ = ["bounded_batches", "materialize", "mix", "powers", "release", "shared_dir", "shingles", "table", "text_or_empty", "word_hashes"]
+
 #: Rows of one Arrow batch that an operator hands to Python. Texts can be long, so it is small.
 BATCH_ROWS = 512
 
@@ -31,43 +29,6 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which the driver and the executors share.
-
-    Where that is unset, a local master gets a temporary folder; on a cluster it is an error.
-    """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = f"file://{_own_dir()}"
-    place = sc._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/sluicework/{sc.applicationId}/{uuid.uuid4().hex[:12]}")
-    uri = place.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(place).toString()
-    return re.sub("^file:/(?!/)", "file:///", uri)
-
-
-_OWN: list[tempfile.TemporaryDirectory] = []
-
-
-def _own_dir() -> str:
-    if not _OWN:
-        _OWN.append(tempfile.TemporaryDirectory(prefix="sluicework-"))
-        atexit.register(_OWN[0].cleanup)
-    return _OWN[0].name
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in a shared folder and return it as read from there.
-
-    The lineage ends at those files: a lost executor costs only the tasks it ran, and
-    several readers of the result don't compute it again.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{label}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(name: str) -> Column:
     """A text column where a null text counts as an empty one."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -152,8 +113,3 @@ def shingles(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarr
         out = np.where(k < length, mix(out * np.uint64(_BASE) + step), out)
     return out, per
 
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results have been written: it does so when their frames are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

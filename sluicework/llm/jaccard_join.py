@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluicework.llm.common import bounded_batches, materialize, mix, shingles, table, word_hashes
-from sluicework.llm.graph import components
+from sluicework.operators.components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.9995
 MOST_HASHES = 160
 #: A block of a component holds about so many shingles and classes at most.
-BLOCK_SHINGLES, BLOCK_CLASSES = 2_000_000, 4096
+BLOCK_SHINGLES, BLOCK_CLASSES = 2_000_000, 1024
 TILE, COLUMNS = 256, 8192
 
 
@@ -166,10 +166,7 @@ def _verify_units(threshold: float):
     def of(unit: pd.DataFrame) -> pd.DataFrame:
         unit = unit.drop_duplicates("digest")
         sets = [np.frombuffer(g, np.uint64) for g in unit["grams"]]
-        column = {}
-        flat = np.concatenate(sets)
-        names, number = np.unique(flat, return_inverse=True)
-        del flat, names, column
+        _, number = np.unique(np.concatenate(sets), return_inverse=True)
         ends = np.cumsum([len(s) for s in sets])
         sets = [np.sort(number[e - len(s) : e]) for e, s in zip(ends, sets, strict=True)]
         links, label = verify(sets, unit["copies"].to_numpy(), (unit["block"] != unit["i"]).to_numpy().astype(int), threshold)
