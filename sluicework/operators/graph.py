@@ -124,3 +124,55 @@ def health(clusters: DataFrame) -> DataFrame:
     """Adds health_score (100 less penalties for size and for several values of one anchor type) and is_suspicious (below 60)."""
     score = F.lit(100) - F.when(F.col("cluster_size") > 20, 30).when(F.col("cluster_size") > 10, 15).otherwise(0) - F.when(F.col("anchors") > 2, 40).when(F.col("anchors") > 1, 20).otherwise(0)
     return clusters.withColumn("health_score", F.greatest(score, F.lit(0))).withColumn("is_suspicious", F.col("health_score") < 60)
+
+
+def gate_shared(edges: DataFrame, rule: str, anchor: str, least: int = 3) -> DataFrame:
+    """Without the rule's edges at nodes that it joins to ``least`` or more distinct values of the anchor type."""
+    of_rule = _ends(edges.where(F.col("match_rule") == rule))
+    shared = of_rule.where(F.col("other.type") == anchor).groupBy("node").agg(F.count_distinct("other").alias("k")).where(F.col("k") >= least)
+    shared = shared.select(F.col("node.type").alias("h_type"), F.col("node.value").alias("h_value"))
+    for e in "ab":
+        edges = edges.join(shared, (F.col("match_rule") == rule) & (F.col(f"{e}_type") == F.col("h_type")) & (F.col(f"{e}_value") == F.col("h_value")), "left_anti")
+    return edges
+
+
+def effective_confidence(confidence: Column, cap: Column, ratio: Column, weight: Column) -> Column:
+    """The confidence times the rule's ratio and the decay weight, at most the cap."""
+    return F.least(cap, confidence * ratio * weight)
+
+
+def merge_edges(new: DataFrame, old: DataFrame) -> DataFrame:
+    """The union of two edge sets by ends and rule: the earlier first and later last sighting, other columns from the new one."""
+    keys = [*ENDS, "match_rule"]
+    rest = [c for c in old.columns if c not in (*keys, "first_seen", "last_seen")]
+    o = old.select([F.col(c).alias(f"o_{c}") for c in old.columns])
+    both = new.join(o, [F.col(k) == F.col(f"o_{k}") for k in keys], "full_outer")
+    cols = [F.coalesce(k, f"o_{k}").alias(k) for k in keys] + [F.coalesce(c, f"o_{c}").alias(c) for c in rest]
+    return both.select(*cols, F.least("first_seen", "o_first_seen").alias("first_seen"), F.greatest("last_seen", "o_last_seen").alias("last_seen"))
+
+
+def tiers(nodes: DataFrame, tier1: list[str], tier2: list[str], most: int) -> DataFrame:
+    """entity_id, cluster_size, anchors (distinct nodes of tier-1 types), tier; clusters above ``most`` and those without either kind go."""
+    one, two = F.col("node_type").isin(tier1), F.col("node_type").isin(tier2)
+    per = nodes.groupBy("entity_id").agg(F.count("*").alias("cluster_size"), F.count_if(one).alias("anchors"), F.bool_or(one).alias("one"), F.bool_or(two).alias("two"))
+    per = per.where((F.col("cluster_size") <= most) & (F.col("one") | F.col("two")))
+    return per.select("entity_id", "cluster_size", "anchors", F.when(F.col("one"), "tier1").otherwise("tier2").alias("tier"))
+
+
+def coverage(nodes: DataFrame) -> DataFrame:
+    """Per node type: nodes, entities, and nodes per entity."""
+    return nodes.groupBy("node_type").agg(F.count("*").alias("nodes"), F.count_distinct("entity_id").alias("entities"), F.round(F.count("*") / F.count_distinct("entity_id"), 4).alias("fragmentation"))
+
+
+def restitch(edges: DataFrame, before: DataFrame, changed: DataFrame, priority: dict[str, int], least: float) -> DataFrame:
+    """Entities again for those with a changed key (node_type, node_value), and the others as before.
+
+    The keys' entities are expanded to all their nodes, and edges with an end among these or the keys are stitched.
+    """
+    hit = before.join(changed, ["node_type", "node_value"], "left_semi").select("entity_id").distinct()
+    nodes = before.join(hit, "entity_id", "left_semi").select("node_type", "node_value").unionByName(changed.select("node_type", "node_value")).distinct()
+    ends = lambda e: nodes.select(F.col("node_type").alias(f"{e}_type"), F.col("node_value").alias(f"{e}_value"))
+    some = edges.join(ends("a"), ["a_type", "a_value"], "left_semi").unionByName(edges.join(ends("b"), ["b_type", "b_value"], "left_semi")).distinct()
+    again = stitch(some.select(edges.columns), priority, least)
+    rest = before.join(again.select("node_type", "node_value"), ["node_type", "node_value"], "left_anti")
+    return again.unionByName(rest.select(again.columns))

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+import sluicework.plans.reports  # noqa: F401
 from sluicework.plans.queries import QUERIES, SQL
 
 
