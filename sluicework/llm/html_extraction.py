@@ -4,7 +4,8 @@
    headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden elements and reader
    comments are left out by tag, role and the words of class and id.
 2. Containers are scored by the text below them that isn't link text; from the top, the best
-   container is the deepest that still holds most of its parent's score.
+   container is the deepest that still holds most of its parent's score, and the title if the parent
+   has one; an article isn't taken apart.
 3. Each page votes for its container's generalised path (tags and first classes, digits removed), and
    Spark counts votes by host and path, map-side first, so a hot host is no harder than another.
 4. Pages are scanned again with their host's winning path: the blocks below the elements on that
@@ -86,7 +87,7 @@ def left_out(tag: str, attributes: dict[str, str]) -> bool:
         return False
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         words = [w.lower() for w in _NAME_WORDS.findall(name)]
-        if words and words[0] not in ("has", "with", "no", "without") and any(w in LEFT_OUT_WORDS or w.startswith(LEFT_OUT_STARTS) for w in words):
+        if not {"has", "with", "no", "without"} & set(words) and any(w in LEFT_OUT_WORDS or w.startswith(LEFT_OUT_STARTS) for w in words):
             return True
     return False
 
@@ -203,11 +204,16 @@ def best_container(page: Page) -> int:
             score[number] = score.get(number, 0.0) + value
             below.setdefault(above, set()).add(number)
             above = number
+    headings = [b.path for b in page.blocks if b.path and page.tags[b.path[-1]] == "h1"]
     at = -1
     while inner := below.get(at):
         top = max(inner, key=lambda n: (score[n], -n))
         if score[top] <= 0 or score[top] < MOST * score[at]:
             break
+        if at >= 0 and (page.tags[at] == "article" or page.tags[at] == "main" and page.tags[top] != "article"):
+            break
+        if any((at < 0 or at in path) and top not in path for path in headings):  # the title would be lost
+            break
         at = top
     return at
 
