@@ -152,6 +152,16 @@ def test_tools(spark):
     assert chat_tools.format_tools(calls.where("false"), results, {}).count() == 0
 
 
+def test_tools_of_odd_conversations(spark):
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, "user", None), (1, 1, "assistant", "r"), (1, 1, "assistant", "q"), (1, 2, "user", ""), (None, 0, "user", "n"), (2, None, "user", "x"), (2, 5, None, "y"), (3, 4, "user", "z" * 100_000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("depth", F.lit("clash"))
+    calls, results = chat_tools.conversation_calls(turns)
+    got = {(r.conv_id, r.turn): r for r in chat_tools.format_tools(calls, results, {"reply": chat_tools.REPLY}).collect()}
+    assert set(got) == {(1, 0), (1, 2), (None, 0), (2, None), (3, 4)}
+    assert got[1, 0].n_calls == 3 and got[1, 0].n_results == 2 and got[1, 2].depth == 1 and got[2, None].position is None
+    assert not got[2, None].valid and got[3, 4].valid and len(got[3, 4].json) > 100_000
+
+
 def test_tools_long_chain(spark):
     calls = spark.range(700).selectExpr("1L AS conv_id", "id AS turn", "'c' || id AS call_id", "'t' AS name", "'{}' AS arguments", "'c' || (id - 1) AS follows")
     got = chat_tools.format_tools(calls, spark.createDataFrame([], "conv_id long, turn long, call_id string, content string"), {"t": {}})
