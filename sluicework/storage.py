@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import gc
 import re
 import tempfile
@@ -11,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[tempfile.TemporaryDirectory] = []
+_CLEANED: set[str] = set()
 
 
 def _own_dir() -> str:
@@ -31,9 +33,19 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = f"file://{_own_dir()}"
-    place = sc._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/sluicework/{sc.applicationId}/{uuid.uuid4().hex[:12]}")
-    uri = place.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(place).toString()
-    return re.sub("^file:/(?!/)", "file:///", uri)
+    top = sc._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/sluicework/{sc.applicationId}")
+    fs = top.getFileSystem(sc._jsc.hadoopConfiguration())
+    if sc.applicationId not in _CLEANED:
+        _CLEANED.add(sc.applicationId)
+        atexit.register(_delete, fs, top)
+    uri = re.sub("^file:/(?!/)", "file:///", fs.makeQualified(top).toString())
+    return f"{uri}/{uuid.uuid4().hex[:12]}"
+
+
+def _delete(fs, top) -> None:
+    """Remove an application's folder when its driver ends in order; one that was killed leaves it."""
+    with contextlib.suppress(Exception):  # the JVM may have ended first
+        fs.delete(top, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
