@@ -252,3 +252,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: doc_id, class_id (least doc_id among those linked with it), n_links, n_copies."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+#: All pairs by shared shingles.
+OP9_SQL = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, CASE WHEN len(w) >= 5 THEN w[i:i + 4] ELSE w END AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b, k = x.n AND k = y.n AS same FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 1000 * k >= 800 * (x.n + y.n - k)),
+both_ways AS (SELECT a AS u, b AS v, same FROM links UNION ALL SELECT b, a, same FROM links),
+reach(u, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT v, root FROM reach JOIN both_ways USING (u)),
+counts AS (SELECT u, count(*) AS n_links, 1 + count(*) FILTER (same) AS n_copies FROM both_ways GROUP BY u)
+SELECT r.u AS doc_id, min(root) AS class_id, coalesce(any_value(n_links), 0) AS n_links, coalesce(any_value(n_copies), 1) AS n_copies FROM reach r LEFT JOIN counts USING (u) GROUP BY r.u
+"""

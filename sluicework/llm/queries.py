@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_suffix_dedup": suffix_dedup.OP3_SQL,
     "op4_tool_linking": chat_tools.OP4_SQL,
     "op8_host_rules": host_rules.OP8_SQL,
+    "op9_jaccard_join": jaccard_join.OP9_SQL,
 }

@@ -342,3 +342,17 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     got = suffix_dedup(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), F.size("runs").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same on hexadecimal text: two characters a byte.
+OP3_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+wins AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 100)) AS i FROM d)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM wins) WHERE k > 1),
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM again),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked) GROUP BY doc_id, g),
+parts AS (SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS f, a AS t FROM runs UNION ALL SELECT doc_id, coalesce(max(b), 0), any_value(length(h) // 2) FROM d LEFT JOIN runs USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS k FROM parts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, (length(h) - length(k)) // 2 AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id) USING (doc_id)
+"""
