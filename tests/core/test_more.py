@@ -36,3 +36,19 @@ def test_restitch_equals_stitch(spark):
     assert key(graph.restitch(e, before, changed, order, 0.5)) == key(graph.stitch(e, order, 0.5))
     cover = {r.node_type: (r.nodes, r.entities) for r in graph.coverage(before).collect()}
     assert cover == {"a": (12, 4), "b": (4, 4)}
+
+
+def rows_from(offset, limit):
+    return [{"i": i, "s": str(i)} for i in range(offset, min(offset + limit, 57))]
+
+
+def test_paged_reader():
+    from pyspark.sql.types import StructType
+
+    from sluicework.sources.paged import PagedReader
+
+    schema = StructType.fromDDL("s string, i long, none string")
+    reader = PagedReader(schema, {"fetch": f"{__name__}:rows_from", "total": "57", "size": "10", "parts": "3"})
+    parts = reader.partitions()
+    assert len(parts) == 3
+    assert [t for p in parts for t in reader.read(p)] == [(str(i), i, None) for i in range(57)]
