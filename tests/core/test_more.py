@@ -42,7 +42,7 @@ def rows_from(offset, limit):
     return [{"i": i, "s": str(i)} for i in range(offset, min(offset + limit, 57))]
 
 
-def test_paged_reader():
+def test_paged_reader(spark):
     from pyspark.sql.types import StructType
 
     from sluicework.sources.paged import PagedReader
