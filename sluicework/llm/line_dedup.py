@@ -94,17 +94,18 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
     place = F.struct("doc", "th", "first")
     found = materialize(rows.mapInArrow(_scan, "digest binary, " + _PLACE), "chunks")
     often = materialize(found.groupBy("digest").count().where("count > 1").select("digest"), "often")
-    candidates = materialize(found.join(often, "digest", "left_semi"), "candidates")
+    candidates = materialize(found.join(often.hint("merge"), "digest", "left_semi"), "candidates")
     release(spark)
     per = candidates.groupBy("doc", "th").agg(F.collect_set(F.struct("first", "n_lines")).alias("places"))
-    cut = rows.join(per, ["doc", "th"]).select("doc", "th", "text", "places").mapInArrow(_cut, "digest binary, " + _PLACE + ", data binary")
+    # the same join at every size: whether one side happens to fit a broadcast isn't left to chance
+    cut = rows.join(per.hint("merge"), ["doc", "th"]).select("doc", "th", "text", "places").mapInArrow(_cut, "digest binary, " + _PLACE + ", data binary")
     # groups of one digest and the same bytes: their first keeps its place
     cut = materialize(cut, "cut")
     release(spark)
     firsts = materialize(cut.groupBy("digest", "data").agg(F.min(place).alias("least")), "firsts")
     # a digest nearly always stands for one text, so the join compares each chunk with its first
     other = firsts.select(F.col("digest").alias("d"), F.col("data").alias("bytes"), "least")
-    pairs = cut.join(other, (F.col("digest") == F.col("d")) & (F.col("data") == F.col("bytes")))
+    pairs = cut.join(other.hint("merge"), (F.col("digest") == F.col("d")) & (F.col("data") == F.col("bytes")))
     return pairs.where(place != F.col("least")).select("doc", "th", "first", "n_lines")
 
 
@@ -131,7 +132,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (totals, removed, counts)), pa.array(texts, pa.string())], names=["doc_id", "n_lines", "n_removed", "n_chunks", "text"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    joined = rows.join(gone, ["doc", "th"], "left").select(F.nullif("doc", F.lit(-(1 << 63))).alias("doc"), "text", "places")
+    joined = rows.join(gone.hint("merge"), ["doc", "th"], "left").select(F.nullif("doc", F.lit(-(1 << 63))).alias("doc"), "text", "places")
     return joined.mapInArrow(cut, "doc_id long, n_lines long, n_removed long, n_chunks long, text string")
 
 
