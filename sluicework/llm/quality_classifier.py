@@ -208,12 +208,29 @@ def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return out.select("doc_id", "th", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= keep_at).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that the classifier doesn't reject, with all their columns."""
-    bad = scores(docs, labels, id_col, text_col, **options).where("predicted = 0").select(F.col("doc_id").alias("bad_id__"), F.col("th").alias("bad_th__")).distinct()
-    bad = materialize(bad, "rejected")
-    key, th = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))
-    return docs.join(bad, key.eqNullSafe(F.col("bad_id__")) & (th == F.col("bad_th__")), "left_anti")
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep_at: float = KEEP_AT) -> DataFrame:
+    """The rows of ``docs`` that the classifier doesn't reject, with all their columns.
+
+    The statistics are written beside the documents' own columns, so the verdict is a filter on what is
+    reread: texts are neither shuffled nor joined.
+    """
+    bounded_batches(docs.sparkSession)
+
+    @F.pandas_udf("array<double>")
+    def stats_of(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(document_stats(texts.tolist())), dtype=object)
+
+    own = "stats__"
+    while own in docs.columns:
+        own += "_"
+    known = materialize(docs.withColumn(own, stats_of(text_or_empty(text_col))), "documents-stats")
+    model = fit(known.select(F.col(id_col).cast("long").alias("doc_id"), F.col(own).alias("stats")), labels, id_col, label_col)
+
+    @F.pandas_udf("double")
+    def score_of(stats: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.stack(stats.to_numpy())) if len(stats) else [], dtype=float)
+
+    return known.where(score_of(own) >= keep_at).select([known[c] for c in docs.columns])
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
