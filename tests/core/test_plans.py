@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import sluicework.plans.controls
+import sluicework.plans.loads
 import sluicework.plans.reports  # noqa: F401
 from sluicework.plans.queries import QUERIES, SQL
 
