@@ -1,20 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Texts become words: lower case, ASCII punctuation as white space. A test item's seeds are its
-   three-word windows.
-2. A first pass over the documents counts in how many documents each seed occurs. Each item keeps
-   the rarer half of its seeds, at least ``LEAST_SEEDS`` and with all that tie.
-3. A second pass joins passages to items: a document's windows are looked up among the kept seeds,
-   hits of an item on nearby diagonals make a passage, and the passage is aligned with the item by
-   words (match 2, mismatch -1, gap -1). The score is the best local alignment's share of the item's
-   own score, and a pair at ``LEAST_SCORE`` or more is a leak.
+"""Benchmark decontamination: word-pair seeds counted in windows, then Smith-Waterman alignment.
+
+1. Texts become words: lower case, ASCII punctuation as white space.
+2. A pair of a document and an item is a leak if the best local alignment by words (match 2, mismatch
+   -1, gap -1) has ``LEAST_SCORE`` or more of the item's own score.
+3. A seed is two words of an item that are next to each other or have one word between them, and it hits
+   such a pair of words in a document. For an item of m words and a least score s, an alignment with a
+   matches and edits of cost e has 2a - e >= 2ms. Of the a - 1 gaps between its matches at most
+   e / 2 <= a - ms cost 2 or more, and each other one is a hit: at least ms - 1 of them, at places
+   within a + e <= (3 - 2s)m words of the document. Only where an item has so many hits within so many
+   words, and from so many of its places, are the words around them aligned with it. So no leak is missed, however it is edited and however
+   often its words occur elsewhere, and the score is that of aligning with the whole document.
 
 Only seeds of the items go to the tasks: items are split by hash into slices of about
 ``SLICE_SEEDS`` seeds at most, and each slice is a pass of its own, so what a task gets is bounded
 however many items there are. Texts never leave the task that reads them.
 
-Edge cases: null and empty texts, of documents or items, match nothing; items with fewer than three
-words have one seed of all their words; repeated rows are judged alike, and repeated items each
+Edge cases: null and empty texts, of documents or items, match nothing; of an item of two words both
+must occur; where ms <= 1 the seeds are single words; repeated rows are judged alike, and repeated items each
 count; null ids are ids; long texts are searched whole; empty tables give no row; other columns
 are ignored by ``leaks`` and kept by ``keep_clean``.
 """
@@ -29,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import bounded_batches, materialize, shingles, table, text_or_empty, word_hashes
+from sluicework.llm.common import bounded_batches, materialize, mix, table, text_or_empty, word_hashes
 
-SEED_WORDS = 3
-LEAST_SEEDS = 12
 LEAST_SCORE = 0.5
 SLICE_SEEDS = 500_000
+#: Hits that a task holds at a time, but for those of one document.
+HITS = 1 << 20
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
 
@@ -69,79 +72,96 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best / (2.0 * len(item)), start, end
 
 
+def pairs(words: np.ndarray, counts: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each word with the one ``step`` words on in its text (0: of single words), and the places of the first."""
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(len(words))
+    at = np.flatnonzero(left > step)
+    return (mix(words[at] * _BASE + words[at + step]) if step else words[at]), at
+
+
 class Seeds:
-    """The seeds of some items, sorted by hash; ``kept`` marks those that are looked up."""
+    """The seeds of some items, sorted by hash; how many hits within how many words an item needs."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], least_score: float = LEAST_SCORE):
         self.ids = [i for i, _ in items]
         words, counts = plain_words([t for _, t in items])
-        grams, per = shingles(words, counts, SEED_WORDS)
         ends = np.cumsum(counts)
         self.words = [words[e - n : e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-        item = np.repeat(np.arange(len(items)), per)
-        place = np.arange(len(grams)) - np.repeat(np.cumsum(per) - per, per)
-        order = np.argsort(grams, kind="stable")
-        self.grams, self.item, self.place = grams[order], item[order], place[order]
-        self.distinct = np.unique(self.grams)
-
-    def keep_rare(self, frequency: np.ndarray) -> None:
-        """``frequency``: in how many documents each of ``distinct`` occurs."""
-        of = frequency[np.searchsorted(self.distinct, self.grams)]
-        kept = np.zeros(len(self.grams), bool)
-        order = np.lexsort([of, self.item])
-        for at in np.split(order, np.flatnonzero(np.diff(self.item[order])) + 1):
-            if len(at):
-                most = of[at[min(max(LEAST_SEEDS, (len(at) + 1) // 2), len(at)) - 1]]
-                kept[at] = of[at] <= most
-        self.grams, self.item, self.place = self.grams[kept], self.item[kept], self.place[kept]
-
-    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place among ``grams``, item, place in the item) wherever a gram is a seed."""
-        low, high = np.searchsorted(self.grams, grams), np.searchsorted(self.grams, grams, side="right")
-        found = np.flatnonzero(high > low)
-        n = (high - low)[found]
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[found], n)
-        return np.repeat(found, n), self.item[at], self.place[at]
-
-    def search(self, words: np.ndarray, grams: np.ndarray) -> list[tuple[int, float, int, int, int]]:
-        """For one document, the best passage for each item at all: (item, score, start, end, hits)."""
-        at, item, place = self.hits(grams)
-        if not len(at):
-            return []
-        out, order = [], np.lexsort([at - place, item])
-        for group in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
-            own = self.words[item[group[0]]]
-            m, starts = len(own), (at - place)[group]
-            best = (0.0, 0, 0, 0)
-            for run in np.split(np.arange(len(group)), np.flatnonzero(np.diff(starts) > m) + 1):
-                first, last = max(int(starts[run[0]]) - m // 2, 0), min(int(starts[run[-1]]) + m + m // 2, len(words))
-                score, a, b = align(own, words[first:last])
-                best = max(best, (score, first + a, first + b, len(run)))
-            out.append((int(item[group[0]]), *best))
-        return out
-
-
-def _frequency(docs: DataFrame, seeds: Seeds) -> np.ndarray:
-    """In how many documents each distinct seed occurs: a partition counts, Spark adds up."""
-    distinct = seeds.distinct
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(distinct), np.int64)
-        for batch in batches:
-            words, counts = plain_words(batch.column(2).to_pylist())
-            grams, per = shingles(words, counts, SEED_WORDS)
-            at = np.minimum(np.searchsorted(distinct, grams), len(distinct) - 1)
-            hit = np.flatnonzero(distinct[at] == grams)
-            doc = np.repeat(np.arange(len(per)), per)[hit]
-            pairs = np.unique(doc * len(distinct) + at[hit])
-            total += np.bincount(pairs % len(distinct), minlength=len(distinct))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], names=["seed", "n"])
-
-    out = np.zeros(len(distinct), np.int64)
-    for row in docs.mapInArrow(run, "seed int, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():
-        out[row["seed"]] = row["n"]
-    return out
+        self.need = np.maximum(np.ceil(counts * least_score - 1 - 1e-9), 1).astype(np.int64)
+        self.span = np.ceil(counts * max(3 - 2 * least_score, 1)).astype(np.int64) + 1
+        single = (counts == 1) | ((counts > 2) & (counts * least_score <= 1 + 1e-9))
+        owner, grams, item = np.repeat(np.arange(len(items)), counts), [], []
+        for step in (0, 1, 2):
+            gram, at = pairs(words, counts, step)
+            mine = single[owner[at]] == (step == 0)
+            grams.append(gram[mine])
+            item.append(owner[at][mine])
+        self.steps = [k for k, g in enumerate(grams) if len(g) or k]
+        gram, at = np.concatenate(grams), np.concatenate(item)
+        order = np.lexsort([at, gram])
+        gram, at = gram[order], at[order]
+        new = np.r_[True, (np.diff(gram) != 0) | (np.diff(at) != 0)][: len(gram)]
+        self.grams, self.item = gram[new], at[new]
+
+    def search(self, words: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
+        """The best passage of each document for each item that may leak: (document, item, score, start, end, hits)."""
+        ends = np.cumsum(counts)
+        owner, found, low, n = np.repeat(np.arange(len(counts)), counts), [], [], []
+        for step in self.steps:
+            gram, at = pairs(words, counts, step)
+            first = np.searchsorted(self.grams, gram)
+            hit = np.flatnonzero(self.grams[np.minimum(first, len(self.grams) - 1)] == gram)
+            found.append(at[hit])
+            low.append(first[hit])
+            n.append(np.searchsorted(self.grams, gram[hit], side="right") - first[hit])
+        found, low, n = (np.concatenate(x) for x in (found, low, n))
+        order = np.argsort(found, kind="stable")
+        found, low, n = found[order], low[order], n[order]
+        upto = np.r_[0, np.cumsum(n)][np.searchsorted(found, ends)]  # hits in the documents so far
+        at = 0
+        while at < len(counts):
+            till = max(int(np.searchsorted(upto, (upto[at - 1] if at else 0) + HITS, side="right")), at + 1)
+            a, b = np.searchsorted(found, [ends[at] - counts[at], ends[till - 1]])
+            yield from self._passages(words, ends, counts, owner, found[a:b], low[a:b], n[a:b])
+            at = till
+
+    def _places(self, i: int, passage: np.ndarray) -> int:
+        """At how many of its places an item has a seed that hits the passage; a hit's place in the item is its own, too."""
+        own, hit = self.words[i], np.zeros(len(self.words[i]), bool)
+        of_item, of_passage = ([pairs(w, np.array([len(w)]), step) for step in self.steps] for w in (own, passage))
+        grams = np.concatenate([gram for gram, _ in of_passage])
+        for gram, at in of_item:
+            hit[at[np.isin(gram, grams)]] = True
+        return int(hit.sum())
+
+    def _passages(self, words: np.ndarray, ends: np.ndarray, counts: np.ndarray, owner: np.ndarray, found: np.ndarray, low: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
+        seed = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        place = np.repeat(found, n)
+        key = np.sort((owner[place] * len(self.ids) + self.item[seed]) * len(words) + place)
+        if not len(key):
+            return
+        key = key[np.r_[True, np.diff(key) != 0]]
+        group, place = key // len(words), key % len(words)
+        item = group % len(self.ids)
+        last = np.arange(len(key)) + self.need[item] - 1
+        ends_in = np.minimum(last, len(key) - 1)
+        dense = np.flatnonzero((last < len(key)) & (group[ends_in] == group) & (place[ends_in] - place < self.span[item]))
+        change = np.bincount(dense, minlength=len(key) + 1) - np.bincount(last[dense] + 1, minlength=len(key) + 1)
+        keep = np.flatnonzero(np.cumsum(change)[:-1] > 0)
+        best: dict[int, tuple[float, int, int, int]] = {}
+        for run in np.split(keep, np.flatnonzero((np.diff(group[keep]) != 0) | (np.diff(place[keep]) >= self.span[item[keep[1:]]])) + 1):
+            if not len(run):
+                continue
+            g, i = int(group[run[0]]), int(item[run[0]])
+            d = g // len(self.ids)
+            begin, reach = int(ends[d] - counts[d]), int(self.span[i])
+            first, stop = max(int(place[run[0]]) - reach, begin), min(int(place[run[-1]]) + reach, int(ends[d]))
+            if self._places(i, words[first:stop]) < self.need[i]:
+                continue
+            score, x, y = align(self.words[i], words[first:stop])
+            best[g] = max(best.get(g, (0.0, 0, 0, 0)), (score, first - begin + x, first - begin + y, len(run)))
+        for g, x in best.items():
+            yield (g // len(self.ids), g % len(self.ids), *x)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, slice_seeds: int = SLICE_SEEDS) -> DataFrame:
@@ -150,27 +170,21 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), text_or_empty(text_col).alias("text"))
     item = items.select(F.col(item_col).cast("long").alias("item_id"), text_or_empty(item_text_col).alias("text"))
-    size = item.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0  # no text has more words
+    size = item.agg(F.sum(F.length("text") + 2)).first()[0] or 0  # no text has more than half as many words, of two seeds each
     n_slices = int(-(-size // slice_seeds)) or 1
     schema = "doc_id long, th long, item_id long, score double, start_word long, end_word long, n_hits long"
     out = spark.createDataFrame([], schema)
     for k in range(n_slices):
         mine = item if n_slices == 1 else item.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_slices)) == k)
-        seeds = Seeds([(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()])
+        seeds = Seeds([(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()], least_score)
         if len(seeds.grams):
-            seeds.keep_rare(_frequency(rows, seeds))
             shared = spark.sparkContext.broadcast(seeds)
 
             def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     words, counts = plain_words(batch.column(2).to_pylist())
-                    grams, per = shingles(words, counts, SEED_WORDS)
-                    ends, stops, got = np.cumsum(counts), np.cumsum(per), []
-                    doc = np.repeat(np.arange(len(per)), per)
-                    near = np.minimum(np.searchsorted(shared.value.grams, grams), len(shared.value.grams) - 1)
-                    for d in np.unique(doc[shared.value.grams[near] == grams]).tolist():
-                        found = shared.value.search(words[ends[d] - counts[d] : ends[d]], grams[stops[d] - per[d] : stops[d]])
-                        got += [(batch.column(0)[d].as_py(), batch.column(1)[d].as_py(), shared.value.ids[i], *x) for i, *x in found if x[0] >= least_score]
+                    found = shared.value.search(words, counts)
+                    got = [(batch.column(0)[d].as_py(), batch.column(1)[d].as_py(), shared.value.ids[i], *x) for d, i, *x in found if x[0] >= least_score]
                     if got:
                         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*got, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "th", "item_id", "score", "start_word", "end_word", "n_hits"])
 

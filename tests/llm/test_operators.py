@@ -191,6 +191,28 @@ def test_leaks(spark):
     assert decontamination.leaks(docs, items.where("false")).count() == 0 and decontamination.leaks(docs.where("false"), items).count() == 0
 
 
+def test_leaks_edited_copies(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "HITS", 500)
+    rng = np.random.default_rng(11)
+    vocabulary = np.array([f"w{i}" for i in range(60)])
+    items = [(i, list(rng.choice(vocabulary, n))) for i, n in enumerate([2, 3, 4, 5, 6, 7, 9, 15, 25, 40, 40])]
+    edits = {"replace": lambda w: ["edit"], "insert": lambda w: [w, "more"], "delete": lambda w: []}
+    rows = []
+    for every in (1, 2, 3, 4, 5, 6):
+        for edit in edits.values():
+            for _, item in items[6:]:  # no copy is verbatim
+                copy = [x for k, w in enumerate(item) for x in (edit(w) if k % every == every - 1 else [w])]
+                rows.append([*rng.choice(vocabulary, 30), *copy, *rng.choice(vocabulary, 30)])
+    rows += [list(rng.choice(vocabulary, n)) for n in (0, 1, 3, 50, 200)] + [items[9][1][:20] + ["x"] * n + items[9][1][20:] for n in (15, 25)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    table_of = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    hashed = lambda w: decontamination.plain_words([" ".join(w)])[0]
+    for least in (0.5, 0.7, 0.3):
+        want = {(d, i): decontamination.align(hashed(w), hashed(r))[0] for d, r in enumerate(rows) for i, w in items if len(w) > 2}
+        got = {(r.doc_id, r.item_id): r.score for r in decontamination.leaks(docs, table_of, least_score=least).collect()}
+        assert {k: x for k, x in got.items() if k[1]} == {k: x for k, x in want.items() if x >= least}
+
+
 def test_align_brute():
     rng = np.random.default_rng(5)
     for _ in range(30):
