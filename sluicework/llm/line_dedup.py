@@ -1,8 +1,13 @@
 """Line dedup by content-defined chunks of lines.
 
 A text's lines are hashed, and a rolling hash over the last ``ROLL`` line hashes ends a chunk wherever
-it falls on one of ``EVERY`` values, so boundaries follow the content and shift with it. A chunk of
-two or more lines, with a word in it, that occurs more than once over all documents is a repeat once its
+it falls on one of ``EVERY`` values, so boundaries follow the content and shift with it. A boundary less
+than ``LEAST_LINES`` lines after the last one, or before the text's end, is passed over; from the next two
+boundaries that far apart on, the same lines are cut alike again. So every line of a text of two or more
+lines is in a chunk of two or more, and a whole copy goes whole. A passage repeated amid other lines keeps
+those up to its first common boundary and after its last; one without a chunk of its own stays.
+
+A chunk with a word in it that occurs more than once over all documents is a repeat once its
 bytes are the same as its first occurrence's (least document, then place); all later ones are removed.
 
 Digests of 128 bits bring chunks together and the bytes themselves decide: rows are counted by digest
@@ -39,8 +44,12 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
     rolled = hashes.copy()
     for k in range(1, ROLL):
         rolled[k:] += hashes[:-k] * np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64))
-    ends = np.flatnonzero(mix(rolled) % np.uint64(EVERY) == 0) + 1
-    return sorted({*ends.tolist(), len(lines)})
+    ends, at = [], 0
+    for end in (np.flatnonzero(mix(rolled) % np.uint64(EVERY) == 0) + 1).tolist():
+        if end - at >= LEAST_LINES and len(lines) - end >= LEAST_LINES:
+            ends.append(end)
+            at = end
+    return [*ends, len(lines)]
 
 
 def chunks(text: str) -> list[tuple[int, int, bytes]]:

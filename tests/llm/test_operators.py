@@ -67,6 +67,25 @@ def test_line_chunks_shift():
     assert len(a & b) >= len(a) - 2
 
 
+def test_line_dedup_whole_copies(spark):
+    rng = np.random.default_rng(6)
+    texts = ["\n".join(f"line {x}" for x in rng.integers(0, 1 << 40, n)) for n in [2, 3] * 150 + list(range(4, 24))]
+    rows = [(i + 1000 * k, t) for k in range(3) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.n_lines - r.n_removed, r.text) for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: (0, "") if d >= 1000 else (t.count("\n") + 1, t) for d, t in rows}
+
+
+def test_line_dedup_inner_passages():
+    rng = np.random.default_rng(7)
+    new = lambda n: [f"line {x}" for x in rng.integers(0, 1 << 40, n)]
+    for _ in range(200):
+        passage = new(40)
+        texts = ["\n".join(new(int(rng.integers(1, 9))) + passage + new(int(rng.integers(1, 9)))) for _ in range(2)]
+        (a, b), place = ({x[2] for x in line_dedup.chunks(t)} for t in texts), {x: i for i, x in enumerate(passage)}
+        same = sorted(place[x.decode()] for data in a & b for x in data.split(b"\n"))
+        assert same == list(range(same[0], same[-1] + 1)) and len(same) >= 12  # no line stays between removed ones
+
+
 def test_line_dedup_odd(spark, odd_docs, no_docs):
     twice = odd_docs.select("doc_id", F.concat("text", F.lit("\nx y\nz w\nq r\ns t")).alias("text"), "th")
     assert line_dedup.line_dedup(odd_docs).count() == odd_docs.count()
