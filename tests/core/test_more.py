@@ -52,3 +52,26 @@ def test_paged_reader(spark):
     parts = reader.partitions()
     assert len(parts) == 3
     assert [t for p in parts for t in reader.read(p)] == [(str(i), i, None) for i in range(57)]
+
+
+def test_stitch_all_lines(spark, sf):
+    from sluicework.plans import reports
+    from sluicework.plans.queries import read
+
+    lines = read(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").distinct().count()
+    assert reports.QUERIES["graph_edges_all"](spark, sf).where("b_type = 'supplier'").count() == lines
+    recent = graph.in_influence(graph.aggregate_edges(reports._all_edges(spark, sf)), F.lit("2001-09-01").cast("timestamp"), {"customer": 1000, "order": -1, "supplier": 400}).collect()
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    rank = lambda x: ({"customer": 1, "supplier": 2, "order": 3}[x[0]], x)
+    for r in recent:
+        a, b = sorted((find((r.a_type, r.a_value)), find((r.b_type, r.b_value))), key=lambda x: (rank(x)[0], ":".join(x)))
+        root[b] = a
+    assert any(r.b_type == "supplier" for r in recent)
+    got = {(r.node_type, r.node_value): (r.root_type, r.root_value) for r in reports.graph_entities_all(spark, sf).collect()}
+    assert got == {x: find(x) for x in root}
