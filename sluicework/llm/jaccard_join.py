@@ -124,8 +124,8 @@ def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def verify(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of sets with at least the threshold, between sides 0 and 1, or within side 0 if that is all there is.
+def verify(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, within: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of sets with at least the threshold, ``within`` side 0, or between sides 0 and 1; none if a side is empty.
 
     Returns each set's links, weighted by the copies of its partners, and the least index of its component.
     Sets are compared in tiles ordered by size; tiles whose sizes differ too much are passed over.
@@ -133,7 +133,7 @@ def verify(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, thresho
     order = np.argsort([len(s) for s in sets], kind="stable")
     links, label = np.zeros(len(sets), np.int64), np.arange(len(sets))
     parts = [order[side[order] == x] for x in (0, 1)]
-    left, right = (parts[0], parts[1]) if len(parts[1]) else (parts[0], parts[0])
+    left, right = (parts[0], parts[0]) if within else (parts[0], parts[1])
     for i in range(0, len(left), TILE):
         a = left[i : i + TILE]
         for j in range(0, len(right), TILE):
@@ -169,7 +169,7 @@ def _verify_units(threshold: float):
         _, number = np.unique(np.concatenate(sets), return_inverse=True)
         ends = np.cumsum([len(s) for s in sets])
         sets = [np.sort(number[e - len(s) : e]) for e, s in zip(ends, sets, strict=True)]
-        links, label = verify(sets, unit["copies"].to_numpy(), (unit["block"] != unit["i"]).to_numpy().astype(int), threshold)
+        links, label = verify(sets, unit["copies"].to_numpy(), (unit["block"] != unit["i"]).to_numpy().astype(int), bool(unit["i"].iloc[0] == unit["j"].iloc[0]), threshold)
         digests = unit["digest"].to_numpy()
         return pd.DataFrame({"digest": digests, "links": links, "root": digests[label]})
 

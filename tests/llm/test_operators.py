@@ -367,6 +367,16 @@ def test_jaccard(spark, sf, block):
     assert got == want
 
 
+def test_jaccard_empty_blocks(spark):
+    rows = []
+    for group in range(25):
+        words = [f"g{group}w{i}" for i in range(120)]
+        rows += [(group * 10 + k, " ".join([*words, *(f"end{k}{i}" for i in range(k))])) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.near_duplicates(docs, block=(120, 1000)).collect()}
+    assert got == brute_groups(rows)  # as many blocks as classes, so that some get none
+
+
 def test_jaccard_odd(spark, odd_docs, no_docs):
     got = jaccard_join.near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count() and jaccard_join.near_duplicates(no_docs).count() == 0
