@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sluicework.storage import materialize, release, shared_dir
 
-__all__ = ["bounded_batches", "materialize", "mix", "powers", "release", "shared_dir", "shingles", "table", "text_or_empty", "word_hashes"]
+__all__ = ["bounded_batches", "materialize", "mix", "powers", "release", "row_order", "shared_dir", "shingles", "table", "text_or_empty", "word_hashes"]
 
 #: Rows of one Arrow batch that an operator hands to Python. Texts can be long, so it is small.
 BATCH_ROWS = 512
@@ -34,6 +34,11 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def row_order(df: DataFrame) -> Column:
+    """An order of rows by all their columns; rows that are equal in it are alike."""
+    return F.to_json(F.struct(*[df[c] for c in df.columns]), {"ignoreNullFields": "false"})
+
+
 # --- hashing of words, many texts at a time -------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15 | 1

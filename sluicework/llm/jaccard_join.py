@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import bounded_batches, materialize, mix, shingles, table, word_hashes
+from sluicework.llm.common import bounded_batches, materialize, mix, row_order, shingles, table, word_hashes
 from sluicework.operators.components import components
 
 SHINGLE = 5
@@ -244,7 +244,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     out = docs.join(kept, key.eqNullSafe(F.col("kept_id__")) & (th == F.col("kept_th__")))
     if kept.where("kept_n__ > 1").limit(1).count():
         wordy = F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
-        place = Window.partitionBy("kept_id__", "kept_th__").orderBy(F.monotonically_increasing_id())
+        place = Window.partitionBy("kept_id__", "kept_th__").orderBy(row_order(docs))
         out = out.withColumn("kept_n__", F.when(wordy, F.row_number().over(place)).otherwise(1)).where("kept_n__ = 1")
     return out.select([docs[c] for c in docs.columns])
 

@@ -2,14 +2,14 @@
 
 Each source's words are repeated or thinned to a target; a document's expected number of copies is
 its source's target divided by the source's size. The whole part is taken at once.
-The fractional parts are rounded dependently: two documents trade mass, in a random direction whose
-odds keep each one's expectation, until one of the two has a whole number; documents come in order
-of size, largest first, and words that a trade between unequal sizes wins or loses are made up by
-the next ones. So all but one document of a group are settled. What is left of each group (one
-document, and the words still owed) goes up a reduction tree, and the last of a source is settled
-by what brings the source nearer to its target, so that is missed by about a small document.
-
-Edge cases: a null text has size 0; a document of size 0 takes nothing; the null source is a source,
+The fractional parts are rounded dependently: two documents trade words, in a random direction whose
+odds keep each one's expectation, until one of the two has a whole number of copies. A trade moves as
+many words to one as from the other, so the words of the source stay as they are, whatever the two sizes.
+Documents come in order of size, largest first, so that the one left over of a group tends to be small. It
+goes up a reduction tree, where the left-overs of several groups trade; the last one of a
+source is settled by what brings the source nearer to its target, which is missed by half its size at most.
+
+Edge cases: a null text has size 0; documents of size 0 take nothing, and are drawn one by one; the null source is a source,
 last in order; repeated rows are rows of their own, and their number of copies is drawn among them;
 null and repeated ids are allowed; very long texts count in full; an empty table gives no row; other
 columns are ignored, or kept by ``mix`` whatever their names.
@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import WORD, materialize, table, text_or_empty
+from sluicework.llm.common import WORD, materialize, row_order, table, text_or_empty
+from sluicework.llm.common import mix as spread
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A source's target is at most this multiple of its size.
@@ -33,7 +34,9 @@ MOST_COPIES = 3.0
 GROUP_ROWS = 4096
 FAN_IN = 64
 SEED = 20240611
-_STATE = "source string, bucket long, doc_id long, tie long, size long, whole long, part double, carry double"
+#: A part this near to a whole number is one.
+NEAR = 1e-9
+_STATE = "source string, bucket long, doc_id long, tie long, size long, whole long, part double"
 
 
 def text_size(name: str) -> Column:
@@ -45,70 +48,59 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     """From source and source_size, the target of each source; a row per source.
 
     Weights repeat over the sources in code-point order, null last. Targets are a common level times
-    the weight, but at most ``most`` times the size: sources are ordered by the level at which they
-    are full, and the level is what remains when those below it have taken their limit.
+    the weight, but at most ``most`` times the size. The level rises from round to round, a sum over the sources
+    each: what those that are full at it leave is dealt to the others by weight.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    cycle = F.array(*map(F.lit, weights))
-    full = Window.orderBy("full", F.col("source").asc_nulls_last())
-    below, everything = full.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(0))
-    df = sizes.withColumn("weight", F.get(cycle, ((F.row_number().over(by_name) - 1) % len(weights)).cast("int"))).withColumn("most", most * F.col("source_size"))
-    df = df.withColumn("full", F.col("most") / F.col("weight"))
-    rest_size = F.sum("source_size").over(everything) - F.coalesce(F.sum("most").over(below), F.lit(0.0))
-    rest_weight = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(below), F.lit(0.0))
-    df = df.withColumn("level", F.greatest(rest_size, F.lit(0.0)) / rest_weight)
-    first = F.min(F.when(F.col("level") <= F.col("full"), F.struct("full", "level"))).over(everything)
-    df = df.withColumn("level", first["level"])
-    return df.select("source", "source_size", F.least("most", F.coalesce(F.col("level") * F.col("weight"), F.col("most"))).alias("target"))
-
-
-def pivot(parts: np.ndarray, sizes: np.ndarray, draws: np.ndarray, carry: float = 0.0) -> tuple[np.ndarray, int, float]:
-    """Round ``parts`` (each in 0..1) one against another, in the given order, largest size first.
-
-    The document held and the next one trade mass until one of them is settled; which way is drawn, by
-    odds that keep both expectations. Where the two differ in size, the words that the trade won or
-    lost are made up by the documents that follow (``carry``: words still owed to them). Returns the
-    parts, the index of the one that is left with a fraction, or -1, and the words still owed.
+    by_name = F.col("source").asc_nulls_last()
+    ranked = sizes.select("source", "source_size", (most * F.col("source_size")).alias("most")).repartitionByRange(by_name).sortWithinPartitions(by_name)
+    ranked = materialize(ranked.withColumn("number", F.monotonically_increasing_id()), "ranked").withColumn("range", F.shiftright("number", 33))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    shifts = ranked.groupBy("range").agg(F.min("number").alias("low"), F.count("*").alias("n")).select("range", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low")).alias("shift"))
+    weight = F.get(F.array(*map(F.lit, weights)), ((F.col("number") + F.col("shift")) % len(weights)).cast("int"))
+    df = materialize(ranked.join(shifts, "range").select("source", "source_size", "most", weight.alias("weight")), "weights")
+    total, level = df.agg(F.sum("source_size")).first()[0] or 0, 0.0
+    while True:
+        full = F.col("weight") * level >= F.col("most")
+        taken, left = df.agg(F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("weight")))).first()
+        rises = (total - (taken or 0.0)) / left if left else level
+        if rises <= level:
+            return df.select("source", "source_size", F.least("most", F.col("weight") * level).alias("target"))
+        level = rises
+
+
+def pivot(parts: np.ndarray, sizes: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, int]:
+    """Round ``parts`` (each in 0..1) one against another, in the given order.
+
+    The document held and the next one trade words until one of them is whole; which way is drawn, by
+    odds that keep both expectations. Returns the parts and the index of the one that is left with a
+    fraction, or -1.
     """
-    out, held = parts.astype(float).copy(), -1
-    for i in range(len(out)):
-        q, s = out[i], float(sizes[i])
-        if s == 0 or q <= 0.0 or q >= 1.0:
+    out, held = parts.astype(float).tolist(), -1
+    sizes, draws = sizes.astype(float).tolist(), draws.tolist()
+    for i, (q, s) in enumerate(zip(out, sizes, strict=True)):
+        if not NEAR < q < 1.0 - NEAR:
+            out[i] = float(round(q))
             continue
-        want = q + carry / s
-        q = min(max(want, 0.0), 1.0)
-        carry = (want - q) * s
-        if abs(q - round(q)) < 1e-9:
-            carry += (q - round(q)) * s
-            out[i] = round(q)
+        if s == 0:
+            out[i] = float(draws[i] < q)
             continue
-        out[i] = q
         if held < 0:
             held = i
             continue
-        p, total = out[held], out[held] + q
-        if total < 1.0:  # one goes to 0 and the other takes all
-            keep = draws[i] * total < p
-            p_new, q_new = (total, 0.0) if keep else (0.0, total)
-        else:  # one goes to 1 and the other keeps the rest
-            keep = draws[i] * (2.0 - total) < 1.0 - p
-            p_new, q_new = (total - 1.0, 1.0) if keep else (1.0, total - 1.0)
-        carry -= (p_new - p) * float(sizes[held]) + (q_new - q) * s
-        out[held], out[i] = p_new, q_new
-        held = held if keep else i
-        if abs(out[held] - round(out[held])) < 1e-9:
-            out[held] = round(out[held])
-            held = -1
-    if held < 0 and abs(carry) >= 0.5 and (sizes > 0).any():  # a settled document carries on what is owed
-        held = int(np.flatnonzero(sizes > 0)[-1])
-    return out, held, carry
-
-
-def _draws(tie: np.ndarray, level: int, seed: int) -> np.ndarray:
-    """A draw in 0..1 for each document, the same in each run."""
-    from sluicework.llm.common import mix as spread
-
-    keys = spread(tie.astype(np.int64).view(np.uint64) + np.uint64((seed * 1000 + level) & (1 << 64) - 1))
+        p, t = out[held], sizes[held]
+        wins, loses = min((1.0 - p) * t, q * s), min(p * t, (1.0 - q) * s)  # most words that the held one can
+        move = wins if draws[i] * (wins + loses) < loses else -loses
+        p, q = p + move / t, q - move / s
+        out[held] = p if NEAR < p < 1.0 - NEAR else float(round(p))
+        out[i] = q if NEAR < q < 1.0 - NEAR else float(round(q))
+        if out[held] in (0.0, 1.0):
+            held = -1 if out[i] in (0.0, 1.0) else i
+    return np.array(out), held
+
+
+def _draws(tie: np.ndarray, place: np.ndarray, level: int, seed: int) -> np.ndarray:
+    """A draw in 0..1 for each document at its place in a group, the same in each run."""
+    keys = spread(tie.astype(np.int64).view(np.uint64) + spread(place.astype(np.uint64) + np.uint64((seed * 1000 + level) & (1 << 64) - 1)))
     return (keys >> np.uint64(11)).astype(float) / (1 << 53)
 
 
@@ -122,28 +114,31 @@ def _round(state: DataFrame, level: int, seed: int, last: bool = False) -> DataF
     dealt = state.repartition("source", "bucket").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # the row left over so far, as a frame of one row
+        held, last_key, seen = None, None, 0  # the row left over so far, as a frame of one row; its group, and that one's rows so far
         for rows in batches:
-            if held is not None:
-                rows = pd.concat([held, rows], ignore_index=True)
-                held = None
             if not len(rows):
                 continue
-            key = rows["source"].isna().astype(str) + rows["source"].fillna("") + "\x00" + rows["bucket"].astype(str)
-            part, open_ = rows["part"].to_numpy(float).copy(), np.zeros(len(rows), bool)
-            carry = rows["carry"].to_numpy(float).copy()
-            size, draws = rows["size"].to_numpy(), _draws(rows["tie"].to_numpy(), level, seed)
-            starts = np.flatnonzero(np.r_[True, (key.to_numpy()[1:] != key.to_numpy()[:-1])])
-            left = -1
-            for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
-                part[a:b], at, owed = pivot(part[a:b], size[a:b], draws[a:b], float(carry[a:b].sum()))
-                carry[a:b] = 0.0
+            key = (rows["source"].isna().astype(str) + rows["source"].fillna("") + "\x00" + rows["bucket"].astype(str)).to_numpy()
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            ends = np.r_[starts[1:], len(rows)]
+            place = np.arange(len(rows)) - np.repeat(starts, ends - starts)
+            place[: ends[0]] += seen if key[0] == last_key else 0
+            last_key, seen = key[-1], int(place[-1]) + 1
+            draws = _draws(rows["tie"].to_numpy(), place, level, seed)
+            if held is not None:
+                rows, draws, key = pd.concat([held, rows], ignore_index=True), np.r_[0.0, draws], np.r_[[held_key], key]
+                starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+                ends, held = np.r_[starts[1:], len(rows)], None
+            part, open_, left = rows["part"].to_numpy(float).copy(), np.zeros(len(rows), bool), -1
+            size = rows["size"].to_numpy()
+            for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+                part[a:b], at = pivot(part[a:b], size[a:b], draws[a:b])
                 left = a + at if at >= 0 else -1
                 if left >= 0:
-                    open_[left], carry[left] = True, owed
-            rows = rows.assign(part=part, carry=carry, open=open_)
+                    open_[left] = True
+            rows = rows.assign(part=part, open=open_)
             if left >= 0:  # the last group may go on in the next batch
-                held = rows.iloc[[left]].drop(columns="open")
+                held, held_key = rows.iloc[[left]].drop(columns="open"), key[left]
                 rows = rows.drop(index=left)
             yield rows
         if held is not None:
@@ -151,8 +146,7 @@ def _round(state: DataFrame, level: int, seed: int, last: bool = False) -> DataF
 
     out = dealt.mapInPandas(run, _STATE + ", open boolean")
     if last:
-        nearest = F.when(F.col("part") * F.col("size") + F.col("carry") >= F.col("size") / 2, 1.0).otherwise(0.0)
-        out = out.withColumn("part", F.when(F.col("open"), nearest).otherwise(F.col("part")))
+        out = out.withColumn("part", F.when(F.col("open"), F.round("part")).otherwise(F.col("part")))
     return out
 
 
@@ -169,7 +163,7 @@ def copies(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id",
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     wide = rows.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("factor", factor)
     groups = F.ceil(F.col("n") / group_rows).cast("long")
-    state = wide.select("source", F.pmod(F.col("tie"), groups).alias("bucket"), "doc_id", "tie", "size", F.floor("factor").cast("long").alias("whole"), (F.col("factor") - F.floor("factor")).alias("part"), F.lit(0.0).alias("carry"))
+    state = wide.select("source", F.pmod(F.col("tie"), groups).alias("bucket"), "doc_id", "tie", "size", F.floor("factor").cast("long").alias("whole"), (F.col("factor") - F.floor("factor")).alias("part"))
     most_groups = targets.agg(F.max(groups)).first()[0] or 1
     level, settled = 0, []
     while True:
@@ -194,7 +188,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as ``copies`` says; columns as they were.
 
     Rows are matched by id and text hash. Rows that are the same in both share their copies evenly:
-    the number they have together is what was drawn.
+    the number they have together is what was drawn, and odd ones go to the first in order of all columns.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     took = copies(docs, **options).groupBy("tie", "doc_id", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
@@ -204,7 +198,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     tie, source = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)), F.col(options.get("source_col", "source")).cast("string")
     out = docs.join(took, (tie == F.col(names["tie"])) & source.eqNullSafe(F.col(names["source"])) & F.col(id_col).cast("long").eqNullSafe(F.col(names["doc_id"])))
     if took.where(F.col(names["rows"]) > 1).limit(1).count():
-        place = Window.partitionBy(names["tie"], names["doc_id"], names["source"]).orderBy(F.monotonically_increasing_id())
+        place = Window.partitionBy(names["tie"], names["doc_id"], names["source"]).orderBy(row_order(docs))
         share = F.floor(F.col(names["copies"]) / F.col(names["rows"])) + F.when(F.row_number().over(place) <= F.col(names["copies"]) % F.col(names["rows"]), 1).otherwise(0)
         out = out.withColumn(names["copies"], share.cast("long"))
     out = out.where(F.col(names["copies"]) > 0)

@@ -446,6 +446,36 @@ def test_pivot_expectation():
     assert np.abs(runs[:, :3].mean(axis=0) - 0.4).max() < 0.06
 
 
+@pytest.mark.parametrize("sizes, part", [([1000] + [10] * 9, 0.3), ([60, 55, 50, 45, 40, 35], 0.4), ([7] * 8, 0.75), ([500, 400, 3, 2, 1, 1, 1], 0.5)])
+def test_pivot_expectation_of_each(sizes, part):
+    rng = np.random.default_rng(9)
+    sizes = np.array(sizes)
+    runs = [mixing.pivot(np.full(len(sizes), part), sizes, rng.random(len(sizes))) for _ in range(10_000)]
+    out = np.array([r for r, _ in runs])
+    assert np.abs(out.mean(axis=0) - part).max() < 0.02
+    assert np.allclose(out @ sizes, part * sizes.sum())  # trades move words, and none is lost
+    assert all(((row == 0) | (row == 1) | (np.arange(len(sizes)) == at)).all() for row, at in runs)
+
+
+def test_mixing_keeps_odds(spark):
+    rows = [(i, " ".join(["w"] * (1000 if i % 7 == 0 else 10)), "a" if i % 3 else "b") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    drawn = [mixing.copies(docs, seed=s, group_rows=64).toPandas() for s in range(12)]
+    every = drawn[0].assign(mean=sum(d.set_index("doc_id").copies for d in drawn).reindex(drawn[0].doc_id).to_numpy() / 12)
+    for (_, size), g in every.groupby(["source", "size"]):
+        assert abs(g["mean"].mean() - (g.target / g.source_size).iloc[0]) < 0.06, size
+    for d in drawn:
+        got = d.assign(took=d.copies * d["size"]).groupby("source").agg(took=("took", "sum"), target=("target", "first"))
+        assert ((got.took - got.target).abs() <= 500).all()
+
+
+def test_mix_alike_rows(spark):
+    rows = [(1, " ".join(["w"] * 50), "a", x) for x in "pqrs"] + [(2, "z " * 500, "b", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = [sorted(map(tuple, mixing.mix(docs.repartition(n, "lang")).collect())) for n in (1, 3)]
+    assert got[0] == got[1] and got[0]
+
+
 def test_mix_rows(spark, odd_docs, no_docs):
     got, drawn = mixing.mix(odd_docs), mixing.copies(odd_docs)
     assert got.columns == odd_docs.columns
