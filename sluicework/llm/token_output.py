@@ -3,12 +3,21 @@
 A document's key is its id together with a copy number (0, 1, ... among rows of the same id), so
 repeated rows keep an entry each. Layout below ``path``:
 
-``shard-NNNNN.bin``   ids of many documents, little-endian unsigned, 16-bit where the vocabulary
+``shard-N-A.bin``     ids of many documents, little-endian unsigned, 16-bit where the vocabulary
                       allows and else 32-bit, one after the other in ascending key order; shards
                       are in ascending order too.
-``meta/``             Parquet, a row per document: key, shard, offset in the shard, number of ids.
-``index-NNNNN.mph``   for each bucket of keys a minimal perfect hash function and, at each of its
-                      slots, a fingerprint of the key, the shard, the offset and the number of ids.
+``meta/``             Parquet, a row per document: key, shard, attempt, offset in the shard, number of ids.
+``index-N-A.mph``     for each bucket of keys a minimal perfect hash function and, at each of its
+                      slots, a fingerprint of the key, the shard, its attempt, the offset and the number of ids.
+``buckets/``          Parquet, a row per bucket: its attempt and its number of keys.
+
+A is the attempt of the task that wrote a file. A task that runs again, after a lost executor or by
+speculation, writes a file of its own; Spark commits the rows of one attempt only, and only the files
+that these name are read.
+
+Keys are hashed to 128 bits, 64 for the bucket and the slot and 64 as fingerprint. Should two keys of a bucket
+agree in the first half, the bucket's function takes another mix of both halves. Keys in and
+entries out are counted, and a difference is an error.
 
 Edge cases: a null text counts as empty and has the end id only; null ids sort first and have
 copy numbers as other ids have; ties and repeated rows are ordered by a hash of the text; very long
@@ -20,7 +29,6 @@ from __future__ import annotations
 import itertools
 import os
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -32,14 +40,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import bounded_batches, mix, shared_dir, table, text_or_empty
+from sluicework.llm.common import bounded_batches, materialize, mix, shared_dir, table, text_or_empty
 
 #: Keys of one index bucket, on average; an index task holds one bucket in memory.
 BUCKET_KEYS = 100_000
 #: Slots of a level of the hash function, per key that is still without one.
 GAMMA = 1.5
 LEVELS = 40
-_ENTRY = np.dtype([("fingerprint", "<u8"), ("shard", "<i4"), ("offset", "<i8"), ("n", "<i8")])
+#: Text bytes of a shard, on average, where there are more than Spark's shuffle partitions take.
+SHARD_BYTES = 512 << 20
+MOST_SEEDS = 16
+_BUCKET = "bucket int, built long, n_keys long"
+_WHERE = "shard int, attempt long, offset long, n_tokens long"
+_ENTRY = np.dtype([("fingerprint", "<u8"), ("shard", "<i4"), ("attempt", "<i8"), ("offset", "<i8"), ("n", "<i8")])
 
 # --- encoding ------------------------------------------------------------------------------
 
@@ -137,36 +150,45 @@ def _place(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _put(uri: str, name: str, chunks: Iterator[bytes]) -> None:
-    """Write a file under another name and move it when whole, so that a task that ran twice does no harm."""
     fs, root = _place(uri)
-    tmp = f"{root}/.{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(tmp) as f:
+    with fs.open_output_stream(f"{root}/{name}") as f:
         for chunk in chunks:
             f.write(chunk)
-    fs.move(tmp, f"{root}/{name}")
+
+
+def shard_name(shard: int, attempt: int) -> str:
+    return f"shard-{shard:05d}-{attempt}.bin"
+
+
+def index_name(bucket: int, attempt: int) -> str:
+    return f"index-{bucket:05d}-{attempt}.mph"
 
 
 # --- shards --------------------------------------------------------------------------------
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode whole texts, append ``end_id`` to each, and write shards in ascending key order below ``path``.
 
     Rows are dealt by ranges of the id, so a shard is one task's ids, streamed to its file as they
-    come. Returns the metadata: doc_id, copy, shard, offset, n_tokens.
+    come; there are as many as ``shard_bytes`` asks for, and at least as Spark has shuffle partitions.
+    Returns the metadata: doc_id, copy, shard, attempt, offset, n_tokens.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     fs, root = _place(path)
     fs.create_dir(root, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    n_bytes = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n_shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // shard_bytes))
+    rows = rows.repartitionByRange(n_shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = (b for b in batches if b.num_rows)
         head = next(batches, None)
         if head is None:
             return
-        shard, coder = TaskContext.get().partitionId(), encoder(tokenizer)
+        shard, attempt, coder = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), encoder(tokenizer)
         encode, end, width = coder.encode, np.array([end_id], coder.dtype).tobytes(), np.dtype(coder.dtype).itemsize
         done: list[pa.RecordBatch] = []
 
@@ -183,12 +205,13 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                     lengths.append(len(payload) // width + 1)
                     offset += lengths[-1]
                     yield payload + end
-                done.append(pa.RecordBatch.from_arrays([batch.column(0), pa.array(copies, pa.int64()), pa.array([shard] * len(ids), pa.int32()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["doc_id", "copy", "shard", "offset", "n_tokens"]))
+                n = len(ids)
+                done.append(pa.RecordBatch.from_arrays([batch.column(0), pa.array(copies, pa.int64()), pa.array([shard] * n, pa.int32()), pa.array([attempt] * n, pa.int64()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["doc_id", "copy", "shard", "attempt", "offset", "n_tokens"]))
 
-        _put(path, f"shard-{shard:05d}.bin", chunks())
+        _put(path, shard_name(shard, attempt), chunks())
         yield from done
 
-    schema = "doc_id long, copy long, shard int, offset long, n_tokens long"
+    schema = f"doc_id long, copy long, {_WHERE}"
     rows.mapInArrow(write, schema).write.parquet(f"{path}/meta")
     return spark.read.schema(schema).parquet(f"{path}/meta")
 
@@ -233,24 +256,44 @@ def mph_slots(keys: np.ndarray, levels: list[np.ndarray], left: np.ndarray) -> n
     return slots
 
 
+def _seeded(keys: np.ndarray, fingerprints: np.ndarray, seed: int) -> np.ndarray:
+    """64 bits of a key's 128: its hash, or for later seeds another mix of hash and fingerprint."""
+    return keys if not seed else mix(mix(keys + np.uint64(seed)) ^ fingerprints)
+
+
 def pack_index(keys: np.ndarray, entries: np.ndarray) -> bytes:
-    """An index bucket as bytes: sizes, bits of the levels, left-over keys, entries by slot."""
-    levels, left = build_mph(keys)
-    by_slot = np.empty(len(keys), _ENTRY)
-    by_slot[mph_slots(keys, levels, left)] = entries
-    head = np.array([len(levels), len(left), len(keys), *map(len, levels)], "<i8")
+    """An index bucket as bytes: sizes and seed, bits of the levels, left-over keys, entries by slot."""
+    for seed in range(MOST_SEEDS):
+        own = _seeded(keys, entries["fingerprint"], seed)
+        if len(np.unique(own)) == len(own):
+            break
+    else:
+        raise ValueError("two keys of a bucket agree in all 128 bits")
+    levels, left = build_mph(own)
+    by_slot = np.empty(len(own), _ENTRY)
+    by_slot[mph_slots(own, levels, left)] = entries
+    head = np.array([len(levels), len(left), len(own), seed, *map(len, levels)], "<i8")
     return b"".join([head.tobytes(), *(np.packbits(x, bitorder="little").tobytes() for x in levels), left.astype("<u8").tobytes(), by_slot.tobytes()])
 
 
-def unpack_index(data: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    n_levels, n_left, n = np.frombuffer(data, "<i8", 3).tolist()
-    sizes, at, levels = np.frombuffer(data, "<i8", n_levels, 24).tolist(), 24 + 8 * n_levels, []
+def unpack_index(data: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, int]:
+    n_levels, n_left, n, seed = np.frombuffer(data, "<i8", 4).tolist()
+    sizes, at, levels = np.frombuffer(data, "<i8", n_levels, 32).tolist(), 32 + 8 * n_levels, []
     for size in sizes:
         width = (size + 7) // 8
         levels.append(np.unpackbits(np.frombuffer(data, np.uint8, width, at), count=size, bitorder="little").astype(bool))
         at += width
     left = np.frombuffer(data, "<u8", n_left, at)
-    return levels, left, np.frombuffer(data, _ENTRY, n, at + 8 * n_left)
+    return levels, left, np.frombuffer(data, _ENTRY, n, at + 8 * n_left), seed
+
+
+def find_keys(data: bytes, keys: np.ndarray, fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys an index bucket knows, and the entries of these."""
+    levels, left, entries, seed = unpack_index(data)
+    slots = mph_slots(_seeded(keys, fingerprints, seed), levels, left)
+    got = entries[np.maximum(slots, 0)]
+    known = (slots >= 0) & (got["fingerprint"] == fingerprints)
+    return known, got[known]
 
 
 def _keyed(df: DataFrame, n_buckets: int) -> DataFrame:
@@ -259,51 +302,54 @@ def _keyed(df: DataFrame, n_buckets: int) -> DataFrame:
     return df.withColumns({"key": F.xxhash64(*key), "fingerprint": F.xxhash64(F.lit("fingerprint"), *key)}).withColumn("bucket", F.pmod(F.shiftright("key", 7), F.lit(n_buckets)).cast("int"))
 
 
+def _unsigned(column: pd.Series) -> np.ndarray:
+    return column.to_numpy().astype(np.int64).view(np.uint64)
+
+
 def write_index(meta: DataFrame, path: str, bucket_keys: int = BUCKET_KEYS) -> int:
     """Write the index of all keys in ``meta`` below ``path``; returns the number of buckets.
 
     Keys are spread over buckets by hash, so a bucket's size doesn't depend on hot ids.
     """
-    n_buckets = max(1, -(-meta.count() // bucket_keys))
+    n_keys = meta.count()
+    n_buckets = max(1, -(-n_keys // bucket_keys))
 
     def write(rows: pd.DataFrame) -> pd.DataFrame:
         entries = np.empty(len(rows), _ENTRY)
-        for name, col in (("fingerprint", "fingerprint"), ("shard", "shard"), ("offset", "offset"), ("n", "n_tokens")):
-            entries[name] = rows[col].to_numpy().astype("<i8").view("<u8") if name == "fingerprint" else rows[col].to_numpy()
-        bucket = int(rows["bucket"].iloc[0])
-        _put(path, f"index-{bucket:05d}.mph", iter([pack_index(rows["key"].to_numpy().astype(np.int64).view(np.uint64), entries)]))
-        return pd.DataFrame({"bucket": [bucket], "n_keys": [len(rows)]})
-
-    wrote = _keyed(meta, n_buckets).select("bucket", "key", "fingerprint", "shard", "offset", "n_tokens").groupBy("bucket").applyInPandas(write, "bucket int, n_keys long")
-    wrote.agg(F.sum("n_keys")).collect()
+        entries["fingerprint"] = _unsigned(rows["fingerprint"])
+        for name, col in (("shard", "shard"), ("attempt", "attempt"), ("offset", "offset"), ("n", "n_tokens")):
+            entries[name] = rows[col].to_numpy()
+        bucket, attempt = int(rows["bucket"].iloc[0]), TaskContext.get().taskAttemptId()
+        _put(path, index_name(bucket, attempt), iter([pack_index(_unsigned(rows["key"]), entries)]))
+        return pd.DataFrame({"bucket": [bucket], "built": [attempt], "n_keys": [len(rows)]})
+
+    wrote = _keyed(meta, n_buckets).select("bucket", "key", "fingerprint", "shard", "attempt", "offset", "n_tokens").groupBy("bucket").applyInPandas(write, _BUCKET)
+    wrote.write.parquet(f"{path}/buckets")
+    indexed = meta.sparkSession.read.schema(_BUCKET).parquet(f"{path}/buckets").agg(F.sum("n_keys")).first()[0] or 0
+    if indexed != n_keys:
+        raise ValueError(f"{n_keys} keys, but {indexed} in the index")
     return n_buckets
 
 
 def look_up(keys: DataFrame, path: str, n_buckets: int) -> DataFrame:
-    """For keys (doc_id, copy), each one's shard, offset and n_tokens from the index; no row for an unknown key.
+    """For keys (doc_id, copy), each one's shard, attempt, offset and n_tokens from the index; no row for an unknown key.
 
     A key takes constant time: its bucket, its slot there, a comparison of fingerprints.
     """
+    columns = ["doc_id", "copy", "shard", "attempt", "offset", "n_tokens"]
 
     def find(rows: pd.DataFrame) -> pd.DataFrame:
         fs, root = _place(path)
-        name = f"{root}/index-{int(rows['bucket'].iloc[0]):05d}.mph"
-        if fs.get_file_info(name).type == pafs.FileType.NotFound:
-            return rows.iloc[:0].assign(shard=0, offset=0, n_tokens=0)[["doc_id", "copy", "shard", "offset", "n_tokens"]]
-        with fs.open_input_file(name) as f:
-            levels, left, entries = unpack_index(f.read())
-        slots = mph_slots(rows["key"].to_numpy().astype(np.int64).view(np.uint64), levels, left)
-        got = entries[np.maximum(slots, 0)]
-        known = (slots >= 0) & (got["fingerprint"].view("<i8") == rows["fingerprint"].to_numpy().astype(np.int64))
-        got = got[known]
-        return rows.loc[known, ["doc_id", "copy"]].assign(shard=got["shard"], offset=got["offset"], n_tokens=got["n"])
+        with fs.open_input_file(f"{root}/{index_name(int(rows['bucket'].iloc[0]), int(rows['built'].iloc[0]))}") as f:
+            known, got = find_keys(f.read(), _unsigned(rows["key"]), _unsigned(rows["fingerprint"]))
+        return rows.loc[known, ["doc_id", "copy"]].assign(shard=got["shard"], attempt=got["attempt"], offset=got["offset"], n_tokens=got["n"])[columns]
 
-    schema = "doc_id long, copy long, shard int, offset long, n_tokens long"
-    return _keyed(keys.select("doc_id", "copy"), n_buckets).groupBy("bucket").applyInPandas(find, schema)
+    built = keys.sparkSession.read.schema(_BUCKET).parquet(f"{path}/buckets").select("bucket", "built")
+    return _keyed(keys.select("doc_id", "copy"), n_buckets).join(built, "bucket").groupBy("bucket").applyInPandas(find, f"doc_id long, copy long, {_WHERE}")
 
 
 def read_payloads(places: DataFrame, path: str, dtype: str) -> DataFrame:
-    """Read the ids at (shard, offset, n_tokens) from the shards and add ids_crc32, the checksum of them as 32-bit integers.
+    """Read the ids at (shard, attempt, offset, n_tokens) from the shards and add ids_crc32, the checksum of them as 32-bit integers.
 
     Places are dealt by shard and sorted by offset, so a shard is read from front to back, a
     document at a time.
@@ -315,11 +361,11 @@ def read_payloads(places: DataFrame, path: str, dtype: str) -> DataFrame:
         shard, file = None, None
         for rows in batches:
             sums = []
-            for number, offset, n in zip(rows["shard"].tolist(), rows["offset"].tolist(), rows["n_tokens"].tolist(), strict=True):
-                if number != shard:
+            for *name, offset, n in zip(*(rows[c].tolist() for c in ("shard", "attempt", "offset", "n_tokens")), strict=True):
+                if name != shard:
                     if file is not None:
                         file.close()
-                    shard, file = number, fs.open_input_file(f"{root}/shard-{number:05d}.bin")
+                    shard, file = name, fs.open_input_file(f"{root}/{shard_name(*name)}")
                 file.seek(width * offset)
                 sums.append(zlib.crc32(np.frombuffer(file.read(width * n), dtype).astype("<u4").tobytes()))
             yield rows.assign(ids_crc32=sums)
@@ -337,9 +383,12 @@ def token_output(docs: DataFrame, tokenizer: str, path: str | None = None) -> Da
     path = path or f"{shared_dir(docs.sparkSession)}/tokens"
     meta = write_shards(docs, path, tokenizer)
     n_buckets = write_index(meta, path)
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
     starts = meta.groupBy("shard").agg(F.sum("n_tokens").alias("total")).select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("shard_start"))
-    read = read_payloads(look_up(meta, path, n_buckets), path, encoder(tokenizer).dtype)
+    places = materialize(look_up(meta, path, n_buckets), "places")
+    if (asked := meta.count()) != (found := places.count()):
+        raise ValueError(f"{asked} keys, but the index knows {found}")
+    read = read_payloads(places, path, encoder(tokenizer).dtype)
     return read.join(starts, "shard").select("doc_id", "copy", "shard", (F.col("shard_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 

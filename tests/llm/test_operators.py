@@ -283,10 +283,36 @@ def test_perfect_hash():
     assert sorted(token_output.mph_slots(keys, levels, left).tolist()) == list(range(5000))
     entries = np.zeros(5000, token_output._ENTRY)
     entries["offset"] = np.arange(5000)
-    levels, left, slots = token_output.unpack_index(token_output.pack_index(keys, entries))
+    entries["fingerprint"] = keys ^ np.uint64(5)
+    levels, left, slots, _ = token_output.unpack_index(token_output.pack_index(keys, entries))
     assert slots["offset"][token_output.mph_slots(keys, levels, left)].tolist() == list(range(5000))
 
 
+def test_colliding_keys():
+    keys, entries = np.array([5, 9, 9, 12, 9], np.uint64), np.zeros(5, token_output._ENTRY)
+    entries["fingerprint"], entries["offset"] = [1, 2, 3, 4, 5], np.arange(5)
+    known, got = token_output.find_keys(token_output.pack_index(keys, entries), keys, entries["fingerprint"])
+    assert known.all() and got["offset"].tolist() == list(range(5))
+    known, _ = token_output.find_keys(token_output.pack_index(keys, entries), np.array([9, 77], np.uint64), np.array([6, 1], np.uint64))
+    assert not known.any()
+    entries["fingerprint"][2] = 2
+    with pytest.raises(ValueError):
+        token_output.pack_index(keys, entries)
+
+
+def test_tokens_of_two_attempts(spark, sf, tmp_path):
+    path, docs, tokenizer = f"file://{tmp_path}", table(spark, sf, "documents"), token_output.default_tokenizer()
+    meta = token_output.write_shards(docs, path, tokenizer, shard_bytes=100_000)
+    shards = sorted(p.name for p in tmp_path.glob("shard-*.bin"))
+    assert len(shards) >= docs.agg(F.sum(F.octet_length("text"))).first()[0] / 100_000 * 0.9
+    (tmp_path / (shards[0].rsplit("-", 1)[0] + "-999999.bin")).write_bytes(b"half of a lost attempt")
+    (tmp_path / "index-00000-999999.mph").write_bytes(b"")
+    read = token_output.read_payloads(token_output.look_up(meta, path, token_output.write_index(meta, path, 50)), path, "<u2")
+    got = {r.doc_id: r.ids_crc32 for r in read.collect()}
+    rows = documents(spark, sf)
+    assert got == {d: zlib.crc32(ids) for (d, _, _), ids in zip(rows, brute_tokens(t for _, t, _ in rows))}
+
+
 def test_unknown_key(spark, odd_docs, tmp_path):
     path = f"file://{tmp_path}"
     n = token_output.write_index(token_output.write_shards(odd_docs, path, token_output.default_tokenizer()), path)
