@@ -1,26 +1,34 @@
 """Main text of web pages by consensus paths of their hosts.
 
-1. Each page is scanned into blocks of text, each with the path of the elements around it. Menus,
-   headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden elements and reader
-   comments are left out by tag, role and the words of class and id.
-2. Containers are scored by the text below them that isn't link text; from the top, the best
+1. Each page is scanned into blocks of text, each with the innermost element around it; elements know their parents.
+   Menus, footers, sidebars, forms, scripts, styles and hidden elements are left out by tag, role and attribute, and
+   headers unless an article or main element holds them.
+2. Names of classes and ids give hints. A name that only has words for adverts, notices, comments and the like
+   (``cookie-notice``, ``comments``, ``ad-slot``; not ``related-work``) is a strong hint, and its blocks are left out. One such
+   word that also names content (``related``, ``privacy``) is a weak hint, on a grouping element only: its blocks are left out if
+   half of their text or more is links, or if other texts of the host repeat them, by votes that Spark counts.
+   Where hints would leave a tenth of a page's text or less, the page takes none.
+3. Containers are scored by the text below them that isn't link text; from the top, the best
    container is the deepest that still holds most of its parent's score, and the title if the parent
-   has one; an article isn't taken apart.
-3. Each page votes for its container's generalised path (tags and first classes, digits removed), and
-   Spark counts votes by host and path, map-side first, so a hot host is no harder than another.
-4. Pages are scanned again with their host's winning path: the blocks below the elements on that
-   path are the text. A page on which that path holds nothing uses its own best container.
+   has one; an article isn't taken apart, nor is text that is nested step by step.
+4. Each page votes for its container's generalised path (tags and first classes, digits removed), by a running hash
+   that is as short at any depth, and Spark counts votes by host and path, map-side first, so a hot host is no harder than another.
+5. Pages are scanned again with their host's winning path: the blocks below the elements on that
+   path are the text. A page on which these hold less than ``SHARE`` of the score of its own best container uses that one, and
+   so does a host on which no path has ``LEAST_VOTES`` of the votes.
 
 Edge cases: a null html is empty and gives an empty text; text without markup is one block; truncated
-and badly nested markup closes as browsers close it; pages without a host (null url) vote together; ties
-between paths go to the shorter, then the lesser; repeated pages each vote; long pages are scanned
+and badly nested markup closes as browsers close it, in time linear in the page's length at any depth; pages without a host (null url) vote together; ties
+between paths go to the shorter, then the lesser; repeated pages each vote for a path, and count as one text for repeated blocks; long pages are scanned
 whole; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,24 +38,36 @@ from pyspark.sql import functions as F
 
 from sluicework.llm.common import bounded_batches, materialize, table
 
-# Elements by what they do to text.
+# Elements by what they do to text, and words of names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-LEFT_OUT = frozenset("nav header footer aside form button select option datalist script style noscript template iframe object svg math canvas audio video head title dialog menu fieldset".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow msup msub mfrac msqrt".split())
+LEFT_OUT = frozenset("nav footer aside form button select option datalist script style noscript template iframe object svg canvas audio video head title dialog menu fieldset".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-LEFT_OUT_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr privacy notice notices alert popup modal overlay newsletter "
-    "subscribe subscription signup login paywall sidebar aside nav navbar navigation menu menus breadcrumb breadcrumbs toolbar footer header masthead topbar share sharing social related recommended "
-    "recommendations outbrain taboola widget widgets pagination pager comment comments commentlist respond replies disqus discussion hidden disclaimer skip tags".split()
+STRONG = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored consent gdpr popup modal overlay newsletter subscribe subscription signup login paywall sidebar nav navbar breadcrumb "
+    "breadcrumbs toolbar masthead topbar share sharing outbrain taboola pagination pager comment comments commentlist respond replies disqus skip".split()
 )
-LEFT_OUT_STARTS = ("advert", "sponsor", "comment", "cookie", "sidebar", "newsletter", "breadcrumb", "navbar")
+WEAK = frozenset("alert aside banner cookie cookies disclaimer discussion footer header hidden menu menus navigation notice notices privacy promo promotion recommendations recommended related social tags widget widgets".split())
+#: Words that say what an element is for its layout only.
+NEUTRAL = frozenset(
+    "a area bar block body bottom box btn button buttons center col column container count div first form group icon icons id inner item items label last layout left link links list main module outer panel post posts region right row section "
+    "site slot page top title unit wrap wrapper".split()
+)
+STRONG_STARTS = ("advert", "sponsor", "comment", "newsletter", "breadcrumb", "navbar")
+GROUPING = frozenset("div section ul ol dl table tbody tr td center main article".split())
 CONTAINERS = frozenset("html body main article section div td table tbody tr center blockquote".split())
 #: Elements of one kind that end when the next begins.
 _CLOSES = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 #: How much of a container's score one below it needs, to be taken instead.
 MOST = 0.6
+#: How much of the page's score may be right in the containers passed on the way down.
+OWN = 0.2
 BOOST = {"article": 3.0, "main": 2.0}
+#: How much of the own best container's score the host's path has to hold on a page, and of the host's votes the path.
+SHARE, LEAST_VOTES = 0.5, 0.2
+#: Texts of a host that have to have a block, for it to be a repeated one.
+REPEATED = 3
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -58,67 +78,99 @@ _DIGITS = re.compile(r"\d+")
 @dataclass(slots=True)
 class Block:
     text: str
-    path: tuple[int, ...]
+    at: int  # the innermost element, or -1
     links: int
 
 
 @dataclass(slots=True)
 class Page:
-    """Blocks of text, and the elements around them by number: tag, generalised path."""
+    """Blocks of text, and the elements around them by number, parents first: tag, parent, hash of the generalised path, hint."""
 
     blocks: list[Block] = field(default_factory=list)
     tags: list[str] = field(default_factory=list)
-    paths: list[str] = field(default_factory=list)
+    parents: list[int] = field(default_factory=list)
+    names: list[str] = field(default_factory=list)
+    keys: list[bytes] = field(default_factory=list)
+    hints: list[int] = field(default_factory=list)  # 0 for none, or the least number of a hinted element around, counted from 1, negative if strong
+
+    def path(self, at: int) -> str:
+        """The generalised path of an element, to be read; the middle of a very deep one is cut."""
+        names: list[str] = []
+        while at >= 0:
+            names.append(self.names[at])
+            at = self.parents[at]
+        return "/" + "/".join(names[::-1] if len(names) <= 64 else [*names[:-33:-1], "...", *names[31::-1]]) if names else ""
+
+    def below(self, tops: set[int] | None, key: bytes | None = None) -> list[bool]:
+        """For each element whether it is one of ``tops``, or on the path with this key, or below such a one."""
+        inside: list[bool] = []
+        for number, parent in enumerate(self.parents):
+            inside.append(parent >= 0 and inside[parent] or (number in tops if tops is not None else self.keys[number] == key))
+        return inside
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in reversed(list(_ATTRIBUTE.finditer(text)))}
 
 
-def left_out(tag: str, attributes: dict[str, str]) -> bool:
-    """Whether an element is none of the main text, by its tag, role, class and id."""
-    if tag in LEFT_OUT or attributes.get("role", "").lower() in LEFT_OUT_ROLES:
-        return True
-    if not attributes:
-        return False
-    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
+def left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is none of the main text, by its tag, role and attributes."""
+    if tag in LEFT_OUT or tag == "header" and not in_article or attributes.get("role", "").lower() in LEFT_OUT_ROLES:
         return True
+    return bool(attributes) and ("hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")) is not None)
+
+
+def hint(tag: str, attributes: dict[str, str]) -> int:
+    """2 if a class or id of an element is a strong hint, 1 if a weak one, else 0."""
+    found = 0
     if tag in ("html", "body", "main", "article"):
-        return False
+        return 0
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         words = [w.lower() for w in _NAME_WORDS.findall(name)]
-        if not {"has", "with", "no", "without"} & set(words) and any(w in LEFT_OUT_WORDS or w.startswith(LEFT_OUT_STARTS) for w in words):
-            return True
-    return False
+        said = [w for w in words if w not in NEUTRAL and not w.isdigit()]
+        strong = sum(w in STRONG or w.startswith(STRONG_STARTS) for w in said)
+        weak = sum(w in WEAK for w in said)
+        if said and strong + weak == len(said):
+            found = max(found, 2 if strong or weak > 1 else 1 if tag in GROUPING else 0)
+    return found
 
 
 def scan(source: str) -> Page:
     """The blocks of a page's text that aren't left out."""
     page = Page()
     stack: list[tuple[str, int, bool]] = []  # tag, number of the element or -1 for inline ones, left out
+    places: dict[str, list[int]] = defaultdict(list)  # of each tag, where it stands in the stack
     pieces: list[str] = []
-    links = 0
-    at, out, numbers, in_link = 0, 0, (), 0
+    links = at = out = in_link = 0
+    here = -1  # the innermost element
 
     def flush() -> None:
         nonlocal links
-        text = " ".join(entities.unescape("".join(pieces)).split())
+        text = " ".join(entities.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            page.blocks.append(Block(text, numbers, min(links, len(text))))
+            page.blocks.append(Block(text, here, min(links, len(text))))
         pieces.clear()
         links = 0
 
+    def push(tag: str, number: int, off: bool) -> None:
+        nonlocal out, in_link
+        places[tag].append(len(stack))
+        stack.append((tag, number, off))
+        out += off
+        in_link += tag == "a"
+
     def pop(to: int) -> None:
         """Close elements until ``to`` are open."""
-        nonlocal out, numbers, in_link
+        nonlocal out, here, in_link
         if any(number >= 0 for _, number, _ in stack[to:]):
             flush()
         while len(stack) > to:
             tag, number, off = stack.pop()
+            places[tag].pop()
             out -= off
             in_link -= tag == "a"
             if number >= 0:
-                numbers = numbers[:-1]
+                here = page.parents[number]
 
     def text(part: str) -> None:
         nonlocal links
@@ -129,12 +181,8 @@ def scan(source: str) -> Page:
 
     def open_above(tag: str, *walls: str) -> int:
         """The place of the nearest open ``tag`` that no wall hides, or -1."""
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                return i
-            if stack[i][0] in walls:
-                break
-        return -1
+        i = places[tag][-1] if places[tag] else -1
+        return -1 if any(places[w] and places[w][-1] > i for w in walls) else i
 
     while found := _MARKUP.search(source, at):
         text(source[at : found.start()])
@@ -152,86 +200,117 @@ def scan(source: str) -> Page:
         if tag in VOID:
             if tag == "hr":
                 flush()
-            elif tag in ("br", "wbr"):
-                text(" " if tag == "br" else "")
+            elif tag == "br":
+                text(" ")
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
             at = end.end() if end else len(source)
             continue
+        given = _attributes(found[3] or found[6] or "")
         if tag in INLINE:
-            given = found[3] or found[6] or ""
-            off = bool(given) and left_out(tag, _attributes(given))
-            stack.append((tag, -1, off))
-            in_link += tag == "a"
-        else:
-            if tag in _CLOSES and (i := open_above(tag, *_CLOSES[tag])) >= 0:
-                pop(i)
-            if (i := open_above("p", "td", "th", "table", "article", "main", "button")) >= 0:
-                pop(i)
-            flush()
-            given = _attributes(found[3] or found[6] or "")
-            off = left_out(tag, given)
-            number = len(page.tags)
-            page.tags.append(tag)
-            name = given.get("class", "").split()
-            here = tag + ("." + _DIGITS.sub("#", name[0]) if name else "")
-            above = page.paths[numbers[-1]] if numbers else ""
-            page.paths.append(f"{above}/{here}" if len(numbers) < 64 else above)
-            numbers = (*numbers, number)
-            stack.append((tag, number, off))
-        out += off
+            push(tag, -1, bool(given) and (left_out(tag, given, True) or hint(tag, given) > 1))
+            continue
+        if tag in _CLOSES and (i := open_above(tag, *_CLOSES[tag])) >= 0:
+            pop(i)
+        if (i := open_above("p", "td", "th", "table", "article", "main", "button")) >= 0:
+            pop(i)
+        flush()
+        number, classes = len(page.tags), given.get("class", "").split()
+        name = tag + ("." + _DIGITS.sub("#", classes[0]) if classes else "")
+        around, told = page.hints[here] if here >= 0 else 0, hint(tag, given) if given else 0
+        page.tags.append(tag)
+        page.parents.append(here)
+        page.names.append(name)
+        page.keys.append(hashlib.blake2b((page.keys[here] if here >= 0 else b"") + name.encode("utf-8", "replace"), digest_size=16).digest())
+        page.hints.append(around if around < 0 or around and told < 2 else -(number + 1) if told > 1 else number + 1 if told else 0)
+        here = number
+        push(tag, number, left_out(tag, given, bool(places["article"] or places["main"])))
     text(source[at:])
     flush()
     return page
 
 
-def best_container(page: Page) -> int:
-    """The number of the element that holds the main text; -1 for the page itself."""
-    score: dict[int, float] = {}
-    below: dict[int, set[int]] = {}
-    for block in page.blocks:
-        value = len(block.text) - block.links
-        for number in block.path:
-            if page.tags[number] in BOOST:
-                value *= BOOST[page.tags[number]]
-                break
-        above = -1
-        score[-1] = score.get(-1, 0.0) + value
-        for number in block.path:
-            if page.tags[number] not in CONTAINERS:
-                break
-            score[number] = score.get(number, 0.0) + value
-            below.setdefault(above, set()).add(number)
-            above = number
-    headings = [b.path for b in page.blocks if b.path and page.tags[b.path[-1]] == "h1"]
-    at = -1
-    while inner := below.get(at):
-        top = max(inner, key=lambda n: (score[n], -n))
+def hinted(page: Page) -> list[int]:
+    """Of each block the hint: 0, or the number of its element from 1, negative if strong; none where hints would leave a tenth of the text or less."""
+    hints = [page.hints[b.at] if b.at >= 0 else 0 for b in page.blocks]
+    value = [len(b.text) - b.links for b in page.blocks]
+    free = sum(v for v, h in zip(value, hints, strict=True) if h >= 0)
+    return [0] * len(hints) if 10 * free <= sum(value) else hints
+
+
+def best_container(page: Page) -> tuple[int, list[float]]:
+    """The number of the element that holds the main text, -1 for the page itself; and each element's score, the page's as the last."""
+    n = len(page.tags)
+    chain, home, boost, score, titles = [False] * n, [-1] * n, [1.0] * n, [0.0] * (n + 1), [0] * (n + 1)
+    inner: dict[int, list[int]] = defaultdict(list)  # of containers, those right below
+    for number, (tag, parent) in enumerate(zip(page.tags, page.parents, strict=True)):
+        above = parent < 0 or chain[parent]
+        chain[number] = above and tag in CONTAINERS
+        home[number] = number if chain[number] else home[parent] if parent >= 0 else -1
+        boost[number] = boost[parent] if parent >= 0 and boost[parent] > 1.0 else BOOST.get(tag, 1.0)
+        if chain[number]:
+            inner[parent].append(number)
+    for block, told in zip(page.blocks, hinted(page), strict=True):
+        if told >= 0:
+            score[home[block.at] if block.at >= 0 else -1] += (len(block.text) - block.links) * (boost[block.at] if block.at >= 0 else 1.0)
+            titles[block.at] += block.at >= 0 and page.tags[block.at] == "h1"
+    own = score.copy()  # of the blocks right in a container
+    for number in range(n - 1, -1, -1):
+        titles[page.parents[number]] += titles[number]
+        if chain[number]:
+            score[page.parents[number]] += score[number]
+    at, first, passed = -1, None, 0.0
+    while inner[at]:
+        top = max(inner[at], key=lambda k: (score[k], -k))
         if score[top] <= 0 or score[top] < MOST * score[at]:
             break
         if at >= 0 and (page.tags[at] == "article" or page.tags[at] == "main" and page.tags[top] != "article"):
             break
-        if any((at < 0 or at in path) and top not in path for path in headings):  # the title would be lost
+        if titles[top] < titles[at]:  # the title would be lost
             break
+        if own[at] > 0:
+            first, passed = at if first is None else first, passed + own[at]
+            if passed > OWN * score[-1]:  # text nested step by step is one text
+                return first, score
         at = top
-    return at
+    return at, score
+
+
+def digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def main_path(source: str) -> str:
-    """The generalised path of a page's best container; empty for the page itself."""
+def main_path(source: str) -> tuple[bytes, str, int, list[int]]:
+    """Of a page's best container the path's hash (empty for the page itself), the path and its depth; and the hashes of weakly hinted blocks there."""
     page = scan(source)
-    at = best_container(page)
-    return page.paths[at] if at >= 0 else ""
+    at, _ = best_container(page)
+    inside = page.below({at}) if at >= 0 else [True] * len(page.tags)
+    weak = {digest(b.text) for b, told in zip(page.blocks, hinted(page), strict=True) if told > 0 and inside[b.at]}
+    depth, up = 0, at
+    while up >= 0:
+        depth, up = depth + 1, page.parents[up]
+    return (page.keys[at] if at >= 0 else b"", page.path(at), depth, sorted(weak))
 
 
-def main_text(source: str, path: str | None) -> str:
-    """The text below the elements on ``path``, or below the page's own best container."""
+def main_text(source: str, key: bytes | None, repeated: list[int] | None = None) -> str:
+    """The text below the elements on the path with this hash, or below the page's own best container."""
     page = scan(source)
-    blocks = [b.text for b in page.blocks if any(page.paths[n] == path for n in b.path)] if path else []
-    if not blocks:
-        at = best_container(page)
-        blocks = [b.text for b in page.blocks if at < 0 or at in b.path]
+    at, score = best_container(page)
+    inside = page.below({at}) if at >= 0 else [True] * len(page.tags)
+    if key:
+        on = page.below(None, key)
+        tops = [n for n, yes in enumerate(on) if yes and not (page.parents[n] >= 0 and on[page.parents[n]])]
+        if sum(score[n] for n in tops) >= SHARE * score[at] and tops and any(score[n] > 0 for n in tops):
+            at, inside = tops[0], on
+    hints, linked, whole, often = hinted(page), defaultdict(int), defaultdict(int), set(repeated or ())
+    for block, told in zip(page.blocks, hints, strict=True):
+        linked[told] += block.links
+        whole[told] += len(block.text)
+    blocks = []
+    for block, told in zip(page.blocks, hints, strict=True):
+        if (at < 0 or block.at >= 0 and inside[block.at]) and told >= 0 and not (told > 0 and (2 * linked[told] >= whole[told] or digest(block.text) in often)):
+            blocks.append(block.text)
     return "\n".join(blocks)
 
 
@@ -240,30 +319,53 @@ def host(url: str) -> Column:
     return F.nullif(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """A row per host: host, path (the one with most votes), votes, n_pages."""
+def _votes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """A row per page: host, page (a hash of its html), key, path, depth, weak."""
     bounded_batches(pages.sparkSession)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = [main_path(x or "") for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["host", "path"])
+            if batch.num_rows:
+                key, path, depth, weak = zip(*[main_path(x or "") for x in batch.column(2).to_pylist()], strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(key, pa.binary()), pa.array(path, pa.string()), pa.array(depth, pa.int64()), pa.array(weak, pa.list_(pa.int64()))], names=["host", "page", "key", "path", "depth", "weak"])
+
+    html = F.col(html_col).cast("string")
+    return materialize(pages.select(host(url_col).alias("host"), F.xxhash64(html).alias("page"), html.alias("html")).mapInArrow(vote, "host string, page long, key binary, path string, depth long, weak array<long>"), "votes")
 
-    votes = pages.select(host(url_col).alias("host"), F.col(html_col).cast("string").alias("html")).mapInArrow(vote, "host string, path string")
-    counts = votes.groupBy("host", "path").agg(F.count("*").alias("votes"))
-    rank = F.struct(-F.col("votes"), F.length("path"), F.col("path"))
-    return counts.groupBy("host").agg(F.min_by("path", rank).alias("path"), F.max("votes").alias("votes"), F.sum("votes").alias("n_pages"))
+
+def _winners(votes: DataFrame) -> DataFrame:
+    counts = votes.groupBy("host", "key").agg(F.min("path").alias("path"), F.min("depth").alias("depth"), F.count("*").alias("votes"))
+    rank = F.struct(-F.col("votes"), "depth", "path", "key")
+    won = counts.groupBy("host").agg(F.min_by(F.struct("key", "path"), rank).alias("won"), F.max("votes").alias("votes"), F.sum("votes").alias("n_pages"))
+    return won.select("host", "won.key", "won.path", "votes", "n_pages")
+
+
+def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """A row per host: host, key and path (those with most votes), votes, n_pages."""
+    return _winners(_votes(pages, url_col, html_col))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """A row per page: page_id, url, text, n_chars, host, path (the host's)."""
-    won = materialize(host_paths(pages, url_col, html_col).select(F.col("host").alias("h"), "path"), "paths")
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
-    rows = rows.join(won, F.col("host").eqNullSafe(F.col("h"))).select("page_id", "url", "host", "path", "html")
+    votes = _votes(pages, url_col, html_col)
+    agreed = F.col("votes") >= LEAST_VOTES * F.col("n_pages")
+    won = materialize(_winners(votes).select(F.col("host").alias("h"), F.when(agreed, F.col("key")).alias("key"), F.when(agreed, F.col("path")).alias("path")), "paths")
+    weak = votes.where(F.size("weak") > 0).select("host", "page", F.explode("weak").alias("block")).distinct()
+    often = weak.groupBy("host", "block").agg(F.count("*").alias("texts")).where(F.col("texts") >= REPEATED).select(F.col("host").alias("h"), "block")
+    repeated = weak.join(often, weak["host"].eqNullSafe(often["h"]) & (weak["block"] == often["block"]), "left_semi")
+    repeated = materialize(repeated.groupBy(F.col("host").alias("rh"), F.col("page").alias("rp")).agg(F.collect_list("block").alias("repeated")), "repeated")
+    html = F.col(html_col).cast("string")
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host(url_col).alias("host"), F.xxhash64(html).alias("page"), html.alias("html"))
+    rows = rows.join(won, F.col("host").eqNullSafe(F.col("h")))
+    if repeated.limit(1).count():
+        rows = rows.join(repeated, F.col("host").eqNullSafe(F.col("rh")) & (F.col("page") == F.col("rp")), "left")
+    else:
+        rows = rows.withColumn("repeated", F.lit(None).cast("array<long>"))
+    rows = rows.select("page_id", "url", "host", "path", "key", "repeated", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(x or "", path) for path, x in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
+            texts = [main_text(x or "", key, often) for key, often, x in zip(*(batch.column(i).to_pylist() for i in (4, 5, 6)), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "host", "path", "text", "n_chars"])
 
     kind = pages.schema[id_col].dataType.simpleString()

@@ -1,8 +1,10 @@
 """The operators against brute force on small tables, and on odd rows."""
 
 import hashlib
+import time
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -337,6 +339,83 @@ def test_html(spark):
     assert html_extraction.extract(pages.where("false")).count() == 0
 
 
+class ArticleText(HTMLParser):
+    """The article of a page of the given tables, by the standard parser: blocks end at each tag that isn't inline."""
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.blocks, self.now, self.depth, self.off = [], "", 0, 0
+        self.feed(source)
+        self.close()
+        self.flush()
+
+    def flush(self):
+        if text := " ".join(self.now.split()):
+            self.blocks.append(text)
+        self.now = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.now += " "
+        elif tag not in ("b", "i", "a", "em", "strong", "span"):
+            self.flush()
+        self.depth += tag == "article"
+        self.off += tag in ("script", "style", "nav", "form", "aside")
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "i", "a", "em", "strong", "span"):
+            self.flush()
+        self.depth -= tag == "article"
+        self.off -= tag in ("script", "style", "nav", "form", "aside")
+
+    def handle_data(self, data):
+        if self.depth > 0 and not self.off:
+            self.now += data
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_html_against_standard_parser(spark, folder):
+    rows = table(spark, f"/root/testdata/{folder}", "pages").select("page_id", "html").collect()
+    got = {r.page_id: r.text for r in html_extraction.op7_html_extraction(spark, f"/root/testdata/{folder}").collect()}
+    with_article = [r for r in rows if r.html and "<article" in r.html and "</article>" in r.html]
+    assert len(got) == len(rows) and len(with_article) > 0.8 * len(rows)
+    assert all(got[r.page_id] == "\n".join(ArticleText(r.html).blocks) for r in with_article)
+
+
+def test_html_keeps_articles():
+    text = lambda x: html_extraction.main_text(x, None)
+    body = "<p>A sentence of the body that is long enough to count.</p>"
+    assert text(f"<header>Site</header><article><header><h1>Title</h1></header>{body}</article>").startswith("Title\nA sentence")
+    for kept in ("<div class='related-work'>Work of others</div>", "<p class='privacy'>On privacy</p>", "<p>so <math><mi>m</mi><mo>=</mo></math> holds</p>", "<div class='notice'>A notice period</div>"):
+        assert len(text(f"<article>{body}{kept}</article>").split("\n")) == 2, kept
+    for gone in ("<div class=ad>Buy</div>", "<div class='cookie-notice'>We use</div>", "<section id=comments><p>First!</p></section>", "<div class='social-share'>Tell</div>", "<footer>By us</footer>", "<div class='related'><a href=x>more</a></div>", "<p>a<span class=advert>Buy</span></p>"):
+        assert "\n" not in text(f"<article>{body}{gone}</article>").replace("\na", ""), gone
+    assert text(f"<div class='ads'>{body * 9}</div>").count("\n") == 8  # hints that would leave nothing count for nothing
+
+
+def test_html_host_path_and_own(spark):
+    story = "<html><body><div class=list><p>teaser of the story</p></div><div class=story>{}</div></body></html>".format("<p>One of the many long sentences of the story itself.</p>" * 8)
+    index = "<html><body><div class=list>{}</div></body></html>".format("<p>A teaser of some story {0} that is long.</p>" * 6)
+    notes = "<html><body><div class=story><p>{0} text of its own that is long enough.</p><p>More of {0}.</p><div class=disclaimer>No advice, all rights with us</div></div></body></html>"
+    rows = [(i, "https://a.example/x", index.format(i)) for i in range(6)] + [(6, "https://a.example/y", story)]
+    rows += [(10 + i, "https://b.example/x", notes.format(f"page{i}")) for i in range(4)] + [(20 + i, "https://c.example/x", notes.format("same")) for i in range(4)]
+    got = {r.page_id: r for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[6].path.endswith("div.list") and got[6].text.count("sentences") == 8  # the host's path holds the teaser only
+    assert all("No advice" not in got[10 + i].text and got[10 + i].text.count("page") == 2 for i in range(4))
+    assert all("No advice" in got[20 + i].text for i in range(4))  # repeated pages are one text
+
+
+def test_html_deep_and_tied(spark):
+    started = time.time()
+    assert html_extraction.main_text("<div>x" * 100_000, None).count("x") == 100_000
+    assert time.time() - started < 10
+    deep = "<html><body>" + "<div>" * 3000 + "<article><p>The text at the bottom of it all.</p></article><div class=x><p>aside</p></div>"
+    rows = [(i, "https://deep.example/", deep) for i in range(3)] + [(5, "https://tie.example/", "<main><p>One</p></main>"), (6, "https://tie.example/", "<article><p>Two</p></article>"), (6, "https://tie.example/", "<article><p>Two</p></article>"), (7, "https://tie.example/", "<main><p>One</p></main>")]
+    got = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got if r.page_id < 5} == {"The text at the bottom of it all."}
+    assert {(r.path, r.text) for r in got if r.page_id >= 5} == {("/article", "One"), ("/article", "Two")}
+
+
 # --- 8 -------------------------------------------------------------------------------------
 
 
