@@ -2,17 +2,17 @@
 
 1. Each text becomes the set of its five-word shingles (64-bit hashes), a 128-bit digest of that set
    and band hashes of a MinHash signature. Texts with one digest are one class: all copies link.
-2. Classes are shuffled on band hashes. In a bucket each class gets an edge to the least one only, so
-   edges grow with the rows, whatever the bucket's size; connected components of these edges hold
-   every pair that shares a band.
-3. Within a component all pairs of classes are verified on full shingle sets. A component is cut into
-   blocks of bounded size, and each pair of blocks is one unit of work for one task. A task counts
-   each class's links and keeps a spanning forest of them; it doesn't emit the pairs.
+2. Classes are shuffled on band hashes. Buckets of more than one class are the units of verification; buckets that
+   hold the very same classes, as those of two near copies mostly do, are one unit.
+3. In a unit, pairs of classes are verified on full shingle sets. A unit is cut into blocks of bounded size, and
+   each pair of blocks goes to one task. Each class comes with the units it is in, and a pair that is together in several is
+   verified in the least of them only. A task counts each class's links and keeps a spanning forest of them; it
+   doesn't emit the pairs. Texts that only a chain of buckets joins are never compared.
 4. Components of the verified links are the groups of near copies.
 
 Bands and rows: the most rows per band for which a pair at the threshold shares a band with the
 target recall, within a limit on hashes. Sizes of what is shuffled: a row of 24 bytes per class and
-band, the texts of classes in candidate components, their sets.
+band, the texts of classes in units, and their sets once for each unit and block.
 
 Edge cases: texts with fewer than five words have one shingle of all their words; a text without
 words (null or empty too) has no link and a class of its own; ties and repeated rows are copies; null
@@ -44,14 +44,16 @@ TILE, COLUMNS = 256, 8192
 
 
 def choose_bands(threshold: float, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
-    """(bands, rows): the most rows for which bands * rows <= most reach the recall at the threshold."""
-    found = (1, 1)
+    """(bands, rows): the most rows for which bands * rows <= most reach the recall at the threshold; an error if none do."""
+    found = None
     for rows in range(1, most + 1):
         hit = threshold**rows
-        bands = 1 if hit >= recall else math.ceil(math.log(1 - recall) / math.log(1 - hit))
+        bands = 1 if hit >= recall else math.ceil(math.log1p(-recall) / math.log1p(-hit))
         if bands * rows > most:
             break
         found = (bands, rows)
+    if found is None:
+        raise ValueError(f"{most} hashes can't find pairs at {threshold} with recall {recall}")
     return found
 
 
@@ -124,10 +126,23 @@ def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def verify(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, within: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def _together(units: list[np.ndarray], unit: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of ``a`` and ``b`` are in a lesser unit together, too."""
+    below = [[set(units[k][units[k] < unit].tolist()) for k in x] for x in (a, b)]
+    both = set().union(*below[0]) & set().union(*below[1])
+    out = np.zeros((len(a), len(b)), bool)
+    for u in both:
+        out |= np.array([u in x for x in below[0]])[:, None] & np.array([u in x for x in below[1]])[None, :]
+        if out.all():
+            break
+    return out
+
+
+def verify(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, within: bool, threshold: float, units: list[np.ndarray] | None = None, unit: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of sets with at least the threshold, ``within`` side 0, or between sides 0 and 1; none if a side is empty.
 
-    Returns each set's links, weighted by the copies of its partners, and the least index of its component.
+    Pairs that are together in one of their ``units`` below ``unit`` are left to that one. Returns each set's links,
+    weighted by the copies of its partners, and the least index of its component.
     Sets are compared in tiles ordered by size; tiles whose sizes differ too much are passed over.
     """
     order = np.argsort([len(s) for s in sets], kind="stable")
@@ -142,14 +157,18 @@ def verify(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, within:
                 continue
             if len(sets[a[-1]]) < threshold * len(sets[b[0]]) or len(sets[b[-1]]) < threshold * len(sets[a[0]]):
                 continue
-            shared = _intersections([sets[k] for k in a], [sets[k] for k in b]).astype(np.int64)
-            sizes = np.array([len(sets[k]) for k in a])[:, None] + np.array([len(sets[k]) for k in b])[None, :]
-            # shared / (sizes - shared) >= threshold, in whole thousandths
-            near = 1000 * shared >= round(1000 * threshold) * (sizes - shared)
+            mine = np.ones((len(a), len(b)), bool) if units is None else ~_together(units, unit, a, b)
             if left is right and i == j:
-                near = np.triu(near, 1)
-            x, y = np.nonzero(near)
-            x, y = a[x], b[y]
+                mine = np.triu(mine, 1)
+            rows, columns = np.flatnonzero(mine.any(axis=1)), np.flatnonzero(mine.any(axis=0))
+            if not len(rows):
+                continue
+            a_, b_, mine = a[rows], b[columns], mine[np.ix_(rows, columns)]
+            shared = _intersections([sets[k] for k in a_], [sets[k] for k in b_]).astype(np.int64)
+            sizes = np.array([len(sets[k]) for k in a_])[:, None] + np.array([len(sets[k]) for k in b_])[None, :]
+            # shared / (sizes - shared) >= threshold, in whole thousandths
+            x, y = np.nonzero(mine & (1000 * shared >= round(1000 * threshold) * (sizes - shared)))
+            x, y = a_[x], b_[y]
             np.add.at(links, x, copies[y])
             np.add.at(links, y, copies[x])
             while (label[x] != label[y]).any():
@@ -161,35 +180,47 @@ def verify(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, within:
 
 
 def _verify_units(threshold: float):
-    """For rows sorted by (component, i, j): a row per class with its links there and the least class it hangs on."""
+    """For rows sorted by (unit, i, j): a row per linked class with its links there and the least class it hangs on."""
 
-    def of(unit: pd.DataFrame) -> pd.DataFrame:
-        unit = unit.drop_duplicates("digest")
-        sets = [np.frombuffer(g, np.uint64) for g in unit["grams"]]
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("digest")
+        sets = [np.frombuffer(g, np.uint64) for g in rows["grams"]]
         _, number = np.unique(np.concatenate(sets), return_inverse=True)
         ends = np.cumsum([len(s) for s in sets])
         sets = [np.sort(number[e - len(s) : e]) for e, s in zip(ends, sets, strict=True)]
-        links, label = verify(sets, unit["copies"].to_numpy(), (unit["block"] != unit["i"]).to_numpy().astype(int), bool(unit["i"].iloc[0] == unit["j"].iloc[0]), threshold)
-        digests = unit["digest"].to_numpy()
-        return pd.DataFrame({"digest": digests, "links": links, "root": digests[label]})
+        i, j, unit = (int(rows[c].iloc[0]) for c in ("i", "j", "unit"))
+        links, label = verify(sets, rows["copies"].to_numpy(), (rows["block"] != i).to_numpy().astype(int), i == j, threshold, [np.asarray(u, np.int64) for u in rows["units"]], unit)
+        digests = rows["digest"].to_numpy()
+        return pd.DataFrame({"digest": digests, "links": links, "root": digests[label]})[links > 0]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held: list[pd.DataFrame] = []  # rows of the last key so far
+        last = None
         for rows in batches:
-            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
-            held = None
-            key = rows[["component", "i", "j"]]
-            starts = np.flatnonzero((key != key.shift()).any(axis=1).to_numpy())
-            done = [of(rows.iloc[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-            held = rows.iloc[starts[-1] :] if len(starts) else None
-            if done:
-                yield pd.concat(done, ignore_index=True)
-        if held is not None and len(held):
-            yield of(held)
+            key = list(zip(rows["unit"], rows["i"], rows["j"], strict=True))
+            starts = [k for k in range(len(key)) if k == 0 or key[k] != key[k - 1]]
+            for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
+                if held and key[a] != last:
+                    yield of(pd.concat(held, ignore_index=True))
+                    held = []
+                held.append(rows.iloc[a:b])
+                last = key[a]
+        if held:
+            yield of(pd.concat(held, ignore_index=True))
 
     return run
 
 
+def unit_members(classes: DataFrame, block: tuple[int, int]) -> DataFrame:
+    """From classes (digest, n, bands), digest and own: the units that each class is in, and into how many blocks they are cut."""
+    members = classes.select("digest", "n", F.explode("bands").alias("key"))
+    name = (F.xxhash64("digest").cast("decimal(38,0)"), F.xxhash64(F.lit(1), "digest").cast("decimal(38,0)"))
+    buckets = members.groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(name))).where("k > 1")
+    blocks = F.greatest(F.ceil(F.col("n") / block[0]), F.ceil(F.col("k") / block[1])).cast("int")
+    kept = materialize(buckets.groupBy("k", "n", "s0", "s1").agg(F.min("key").alias("unit")).select("unit", blocks.alias("blocks")), "units")
+    return members.join(kept, F.col("key") == F.col("unit")).groupBy("digest").agg(F.collect_list(F.struct("unit", "blocks")).alias("own"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL, block: tuple[int, int] = (BLOCK_SHINGLES, BLOCK_CLASSES)) -> DataFrame:
     """A row per document: doc_id, th, class_id and class_th (id and text hash of the group's least document), n_links, n_copies."""
     spark = docs.sparkSession
@@ -197,33 +228,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = materialize(signatures(docs, id_col, text_col, bands, rows, size), "signatures")
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = materialize(classes, "classes")
-    members = classes.select("digest", F.explode("bands").alias("key"))
-    hubs = materialize(members.groupBy("key").agg(F.min("digest").alias("hub"), F.count("*").alias("k")).where("k > 1").drop("k"), "hubs")
-    candidate = components(members.join(hubs, "key").select(F.col("digest").alias("u"), F.col("hub").alias("v")))
-    candidate = candidate.join(classes.select(F.col("digest").alias("node"), "rep", "copies", "n"), "node")
-    candidate = materialize(candidate, "candidates")
-    blocks = F.greatest(F.ceil(F.sum("n") / block[0]), F.ceil(F.count("*") / block[1])).cast("int")
-    per = materialize(candidate.groupBy("component").agg(blocks.alias("blocks")), "blocks")
-    need = candidate.join(per, "component").select("component", F.col("node").alias("digest"), "copies", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
+    own = unit_members(classes, block)
+    need = own.join(classes.select("digest", "rep", "copies"), "digest").select("digest", "copies", "own", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
     texts = docs.select(F.col(id_col).cast("long").alias("rep_id"), F.xxhash64(F.col(text_col)).alias("rep_th"), F.col(text_col).cast("string").alias("text"))
-    need_text = texts.join(need, texts["rep_id"].eqNullSafe(need["rep_id"]) & (texts["rep_th"] == need["rep_th"])).select("component", "digest", "copies", "blocks", "block", "text")
+    need_text = texts.join(need, texts["rep_id"].eqNullSafe(need["rep_id"]) & (texts["rep_th"] == need["rep_th"])).select("digest", "copies", "own", "text")
 
-    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_ in batches:
-            sets = shingle_sets([t.encode() for t in rows_["text"]], size)
-            yield rows_.drop(columns="text").assign(grams=[s.tobytes() for s in sets])
-
-    with_sets = need_text.mapInPandas(grams, "component binary, digest binary, copies long, blocks int, block int, grams binary")
-    other = with_sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    units = other.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "digest", "copies", "block", "grams")
-    units = units.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+            sets = shingle_sets([t.encode() for t in rows_.column(3).to_pylist()], size)
+            yield pa.RecordBatch.from_arrays([*rows_.columns[:3], pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "copies", "own", "grams"])
+
+    with_sets = need_text.mapInArrow(grams, "digest binary, copies long, own array<struct<unit:long,blocks:int>>, grams binary")
+    spread = with_sets.select("digest", "copies", F.col("own.unit").alias("units"), F.explode("own").alias("of"), "grams").select("digest", "copies", "units", "of.unit", "of.blocks", F.pmod(F.xxhash64("digest"), F.col("of.blocks")).cast("int").alias("block"), "grams")
+    other = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = other.select("unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "digest", "copies", "block", "units", "grams")
+    units = units.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
     found = materialize(units.mapInPandas(_verify_units(threshold), "digest binary, links long, root binary"), "links")
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
-    if per.where("blocks > 1").limit(1).count():
-        groups = components(found.select(F.col("digest").alias("u"), F.col("root").alias("v"))).select(F.col("node").alias("digest"), F.col("component").alias("root"))
-        groups = links.join(groups, "digest", "left").select("digest", "links", F.coalesce("root", "digest").alias("root"))
-    else:
-        groups = found.select("digest", "links", "root")
+    groups = components(found.select(F.col("digest").alias("u"), F.col("root").alias("v"))).select(F.col("node").alias("digest"), F.col("component").alias("root"))
+    groups = links.join(groups, "digest")
     groups = materialize(groups.join(classes.select("digest", "rep"), "digest"), "groups")
     first = materialize(groups.groupBy("root").agg(F.min("rep").alias("first")), "firsts")
     linked = groups.join(first, "root").select("digest", "links", "first")

@@ -472,6 +472,35 @@ def test_jaccard(spark, sf, block):
     assert got == want
 
 
+def test_jaccard_chains(spark):
+    """Texts of which each shares half with the next are no group; the work is as long as the chain."""
+    rng = np.random.default_rng(12)
+    words = [f"c{i}" for i in range(40 * 3000)]
+    rows = [(i, " ".join(words[20 * i : 20 * i + 80])) for i in range(3000)]  # each shares 60 of 80 words with the next one
+    rows += [(5000 + i, " ".join(w if rng.random() > 0.01 else "edit" for w in words[:80])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.near_duplicates(docs).collect()}
+    assert got == brute_groups(rows)
+    signed = jaccard_join.signatures(docs, "doc_id", "text", *jaccard_join.choose_bands(0.8), 5).dropDuplicates(["digest"])
+    per = jaccard_join.unit_members(signed, (1 << 30, 1 << 30)).select(F.explode("own.unit").alias("unit")).groupBy("unit").count()
+    assert per.agg(F.sum(F.col("count") * F.col("count"))).first()[0] < 30 * len(rows)
+
+
+def test_verify_leaves_pairs_to_lesser_units():
+    sets = [np.arange(10), np.arange(10), np.arange(10)]
+    units = [np.array([3, 7]), np.array([3, 7]), np.array([7])]
+    links, label = jaccard_join.verify(sets, np.ones(3, int), np.zeros(3, int), True, 0.8, units, 7)
+    assert links.tolist() == [1, 1, 2] and label.tolist() == [0, 0, 0]
+    links, _ = jaccard_join.verify(sets[:2], np.ones(2, int), np.zeros(2, int), True, 0.8, units[:2], 7)
+    assert links.tolist() == [0, 0]
+
+
+def test_keep_one_alike_rows(spark):
+    rows = [(1, "five words of one text here", x) for x in "qps"] + [(2, "five words of one text here", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert [tuple(r) for n in (1, 3) for r in jaccard_join.keep_one(docs.repartition(n, "lang")).collect()] == [(1, rows[0][1], "p")] * 2
+
+
 def test_jaccard_empty_blocks(spark):
     rows = []
     for group in range(25):
@@ -494,7 +523,9 @@ def test_jaccard_odd(spark, odd_docs, no_docs):
 def test_bands():
     for threshold in (0.5, 0.8, 0.9):
         bands, rows = jaccard_join.choose_bands(threshold, 0.99)
-        assert 1 - (1 - threshold**rows) ** bands >= 0.99 or bands * rows == 1
+        assert 1 - (1 - threshold**rows) ** bands >= 0.99
+    with pytest.raises(ValueError):
+        jaccard_join.choose_bands(0.05, 0.9999)
 
 
 def test_word_hashes():
