@@ -1,4 +1,4 @@
-"""Benchmark decontamination: word-pair seeds counted in windows, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word-pair seeds join documents to items, then Smith-Waterman alignment.
 
 1. Texts become words: lower case, ASCII punctuation as white space.
 2. A pair of a document and an item is a leak if the best local alignment by words (match 2, mismatch
@@ -7,16 +7,17 @@
    such a pair of words in a document. For an item of m words and a least score s, an alignment with a
    matches and edits of cost e has 2a - e >= 2ms. Of the a - 1 gaps between its matches at most
    e / 2 <= a - ms cost 2 or more, and each other one is a hit: at least ms - 1 of them, at places
-   within a + e <= (3 - 2s)m words of the document. Only where an item has so many hits within so many
-   words, and from so many of its places, are the words around them aligned with it. So no leak is missed, however it is edited and however
+   within a + e <= (3 - 2s)m words of the document and from as many places of the item.
+4. So of an item's places all but ms - 2 have to be looked for: a leak hits one of these. One scan counts how often each
+   seed occurs in all documents, and the places with the most frequent seeds are the ones left out.
+5. Another scan gives the places in documents of the rare seeds that are left, behind a Bloom filter of bounded size, and these are
+   joined with the items on the seed. That is two scans, however many items there are.
+6. The words around such a place are joined with the item's. Where all of its seeds have hits enough, and from enough of its places, they
+   are aligned. So no leak is missed, however it is edited and however
    often its words occur elsewhere, and the score is that of aligning with the whole document.
 
-Only seeds of the items go to the tasks: items are split by hash into slices of about
-``SLICE_SEEDS`` seeds at most, and each slice is a pass of its own, so what a task gets is bounded
-however many items there are. Texts never leave the task that reads them.
-
 Edge cases: null and empty texts, of documents or items, match nothing; of an item of two words both
-must occur; where ms <= 1 the seeds are single words; repeated rows are judged alike, and repeated items each
+must occur; where ms <= 1 the seeds are single words; documents alike in id and text are one; repeated items each
 count; null ids are ids; long texts are searched whole; empty tables give no row; other columns
 are ignored by ``leaks`` and kept by ``keep_clean``.
 """
@@ -28,13 +29,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluicework.llm.common import bounded_batches, materialize, mix, table, text_or_empty, word_hashes
 
 LEAST_SCORE = 0.5
-SLICE_SEEDS = 500_000
+#: The filter takes so many bits for a seed, and so many at most (64 MB); beyond them it lets more pass.
+SEED_BITS, MOST_BITS = 16, 1 << 29
+#: Bits of one part of the filter, as it is built.
+PART_BITS = 1 << 20
 #: Hits that a task holds at a time, but for those of one document.
 HITS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -82,20 +87,22 @@ def pairs(words: np.ndarray, counts: np.ndarray, step: int) -> tuple[np.ndarray,
 class Seeds:
     """The seeds of some items, sorted by hash; how many hits within how many words an item needs."""
 
-    def __init__(self, items: list[tuple[int | None, str]], least_score: float = LEAST_SCORE):
-        self.ids = [i for i, _ in items]
-        words, counts = plain_words([t for _, t in items])
+    def __init__(self, words: np.ndarray, counts: np.ndarray, least_score: float = LEAST_SCORE):
+        self.n = len(counts)
         ends = np.cumsum(counts)
         self.words = [words[e - n : e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
         self.need = np.maximum(np.ceil(counts * least_score - 1 - 1e-9), 1).astype(np.int64)
         self.span = np.ceil(counts * max(3 - 2 * least_score, 1)).astype(np.int64) + 1
         single = (counts == 1) | ((counts > 2) & (counts * least_score <= 1 + 1e-9))
-        owner, grams, item = np.repeat(np.arange(len(items)), counts), [], []
+        owner, grams, item, first = np.repeat(np.arange(len(counts)), counts), [], [], []
         for step in (0, 1, 2):
             gram, at = pairs(words, counts, step)
             mine = single[owner[at]] == (step == 0)
             grams.append(gram[mine])
             item.append(owner[at][mine])
+            first.append((at - (ends - counts)[owner[at]])[mine])
+        #: For each place of each item the seeds that begin there: item, place, gram.
+        self.at_places = np.concatenate(item), np.concatenate(first), np.concatenate(grams)
         self.steps = [k for k, g in enumerate(grams) if len(g) or k]
         gram, at = np.concatenate(grams), np.concatenate(item)
         order = np.lexsort([at, gram])
@@ -137,12 +144,12 @@ class Seeds:
     def _passages(self, words: np.ndarray, ends: np.ndarray, counts: np.ndarray, owner: np.ndarray, found: np.ndarray, low: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
         seed = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
         place = np.repeat(found, n)
-        key = np.sort((owner[place] * len(self.ids) + self.item[seed]) * len(words) + place)
+        key = np.sort((owner[place] * self.n + self.item[seed]) * len(words) + place)
         if not len(key):
             return
         key = key[np.r_[True, np.diff(key) != 0]]
         group, place = key // len(words), key % len(words)
-        item = group % len(self.ids)
+        item = group % self.n
         last = np.arange(len(key)) + self.need[item] - 1
         ends_in = np.minimum(last, len(key) - 1)
         dense = np.flatnonzero((last < len(key)) & (group[ends_in] == group) & (place[ends_in] - place < self.span[item]))
@@ -153,7 +160,7 @@ class Seeds:
             if not len(run):
                 continue
             g, i = int(group[run[0]]), int(item[run[0]])
-            d = g // len(self.ids)
+            d = g // self.n
             begin, reach = int(ends[d] - counts[d]), int(self.span[i])
             first, stop = max(int(place[run[0]]) - reach, begin), min(int(place[run[-1]]) + reach, int(ends[d]))
             if self._places(i, words[first:stop]) < self.need[i]:
@@ -161,35 +168,168 @@ class Seeds:
             score, x, y = align(self.words[i], words[first:stop])
             best[g] = max(best.get(g, (0.0, 0, 0, 0)), (score, first - begin + x, first - begin + y, len(run)))
         for g, x in best.items():
-            yield (g // len(self.ids), g % len(self.ids), *x)
+            yield (g // self.n, g % self.n, *x)
+
+
+class Filter:
+    """A Bloom filter of seeds: a bit map whose size is a power of two."""
+
+    def __init__(self, parts: dict[int, bytes], bits: int):
+        self.bits = bits
+        self.map = np.zeros(bits // 8, np.uint8)
+        for part, data in parts.items():
+            self.map[part * PART_BITS // 8 :][: len(data)] = np.frombuffer(data, np.uint8)
+
+    @staticmethod
+    def places(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        spread, last = mix(grams ^ np.uint64(0xD6E8FEB86659FD93)), np.uint64(bits - 1)
+        return ((spread & last).astype(np.int64), (spread >> np.uint64(32) & last).astype(np.int64))
+
+    def passes(self, grams: np.ndarray) -> np.ndarray:
+        a, b = self.places(grams, self.bits)
+        return ((self.map[a >> 3] >> (a & 7).astype(np.uint8)) & (self.map[b >> 3] >> (b & 7).astype(np.uint8)) & np.uint8(1)).astype(bool)
+
+
+def seed_filter(seeds: DataFrame, most_bits: int = MOST_BITS) -> Broadcast:
+    """The filter of all values of ``gram``: its parts are built by tasks, and what comes to the driver has a bounded size."""
+    spark, n = seeds.sparkSession, seeds.count()
+    bits = min(max(1 << 16, 1 << int(max(n, 1) * SEED_BITS - 1).bit_length()), most_bits)
+
+    def ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(np.concatenate(Filter.places(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits)))
+            yield pa.RecordBatch.from_arrays([pa.array(at // PART_BITS), pa.array(at % PART_BITS)], names=["part", "at"])
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        on = np.zeros(min(PART_BITS, bits), np.uint8)
+        on[rows["at"].to_numpy()] = 1
+        return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "data": [np.packbits(on, bitorder="little").tobytes()]})
+
+    parts = seeds.select("gram").mapInArrow(ones, "part long, at long").distinct().groupBy("part").applyInPandas(build, "part long, data binary")
+    return spark.sparkContext.broadcast(Filter({r["part"]: bytes(r["data"]) for r in parts.collect()}, bits))
+
+
+def _item_words(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """A row per item with words: item (a number), item_id, words, n_words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, counts = plain_words(batch.column(1).to_pylist())
+            parts = [x.tobytes() for x in np.split(words, np.cumsum(counts)[:-1])] if len(counts) else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary()), pa.array(counts, pa.int64())], names=["item_id", "words", "n_words"])
+
+    rows = items.select(F.col(item_col).cast("long").alias("item_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, "item_id long, words binary, n_words long")
+    return materialize(rows.where("n_words > 0").withColumn("item", F.monotonically_increasing_id()), "items")
+
+
+def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Words of rows of their bytes, and how many each row has."""
+    data = column.to_pylist()
+    return np.frombuffer(b"".join(data), np.uint64), np.array([len(x) // 8 for x in data], np.int64)
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, slice_seeds: int = SLICE_SEEDS) -> DataFrame:
+def _seeds(items: DataFrame, least_score: float) -> DataFrame:
+    """item, place, gram, need (places that a leak hits), span, single (whether seeds are single words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, counts = _joined(batch.column(1))
+            if not len(counts):
+                continue
+            seeds = Seeds(words, counts, least_score)
+            item, place, gram = seeds.at_places
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(item)), pa.array(place), pa.array(gram.view(np.int64)), pa.array(seeds.need[item]), pa.array(seeds.span[item]), pa.array([0 in seeds.steps] * len(item))], names=["item", "place", "gram", "need", "span", "single"])
+
+    return items.select("item", "words").mapInArrow(run, "item long, place long, gram long, need long, span long, single boolean")
+
+
+def _grams(words: np.ndarray, counts: np.ndarray, steps: tuple[int, ...], passing: Filter) -> tuple[np.ndarray, np.ndarray]:
+    """Word pairs of some texts that the filter lets pass, and the places of their first words."""
+    found = [pairs(words, counts, step) for step in steps]
+    gram, at = (np.concatenate(x) for x in zip(*found, strict=True))
+    yes = passing.passes(gram)
+    return gram[yes], at[yes]
+
+
+def rare_seeds(rows: DataFrame, seeds: DataFrame, steps: tuple[int, ...], most_bits: int = MOST_BITS) -> DataFrame:
+    """item, gram and span of the seeds that a leak of the item can't all lack, the ones that are rarest in ``rows`` (text)."""
+    every = seed_filter(seeds.select("gram").distinct(), most_bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gram, n = np.unique(_grams(*plain_words(batch.column(0).to_pylist()), steps, every.value)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
+
+    often = materialize(rows.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "often")
+    places = seeds.join(often, "gram", "left").groupBy("item", "place").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.first("need").alias("need"))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.col("n").desc(), "place"))
+    kept = places.withColumn("rank", rank).where("rank >= need").select("item", "place")
+    return materialize(seeds.join(kept, ["item", "place"]).select("item", "gram", "span").distinct(), "rare")
+
+
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, most_bits: int = MOST_BITS) -> DataFrame:
     """A row for each document and item that it leaks: doc_id, th, item_id, score, start_word, end_word, n_hits."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), text_or_empty(text_col).alias("text"))
-    item = items.select(F.col(item_col).cast("long").alias("item_id"), text_or_empty(item_text_col).alias("text"))
-    size = item.agg(F.sum(F.length("text") + 2)).first()[0] or 0  # no text has more than half as many words, of two seeds each
-    n_slices = int(-(-size // slice_seeds)) or 1
-    schema = "doc_id long, th long, item_id long, score double, start_word long, end_word long, n_hits long"
-    out = spark.createDataFrame([], schema)
-    for k in range(n_slices):
-        mine = item if n_slices == 1 else item.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_slices)) == k)
-        seeds = Seeds([(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()], least_score)
-        if len(seeds.grams):
-            shared = spark.sparkContext.broadcast(seeds)
-
-            def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    words, counts = plain_words(batch.column(2).to_pylist())
-                    found = shared.value.search(words, counts)
-                    got = [(batch.column(0)[d].as_py(), batch.column(1)[d].as_py(), shared.value.ids[i], *x) for d, i, *x in found if x[0] >= least_score]
-                    if got:
-                        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*got, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "th", "item_id", "score", "start_word", "end_word", "n_hits"])
-
-            out = out.unionByName(rows.mapInArrow(run, schema)) if n_slices > 1 else rows.mapInArrow(run, schema)
-    return out
+    item = _item_words(items, item_col, item_text_col)
+    seeds = materialize(_seeds(item, least_score), "seeds")
+    steps = (0, 1, 2) if seeds.where("single").limit(1).count() else (1, 2)
+    rare = rare_seeds(rows, seeds, steps, most_bits)
+    passing = seed_filter(rare.select("gram").distinct(), most_bits)
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, counts = plain_words(batch.column(2).to_pylist())
+            gram, at = _grams(words, counts, steps, passing.value)
+            owner = np.repeat(np.arange(len(counts)), counts)[at]
+            place = at - (np.cumsum(counts) - counts)[owner]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(gram.view(np.int64)), pa.array(place)], names=["doc_id", "th", "gram", "place"])
+
+    found = rows.mapInArrow(hits, "doc_id long, th long, gram long, place long").join(rare, "gram")
+    found = materialize(found.select("doc_id", "th", "item", F.floor(F.col("place") / F.col("span")).alias("slot"), "span").distinct(), "hits")
+    wanted = found.groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t")).agg(F.collect_list(F.struct("item", "slot", "span")).alias("wanted"))
+    near = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select("doc_id", "th", "text", "wanted")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words around the hits of each item: successive slots, and as many words again on both sides."""
+        for batch in batches:
+            got = []
+            for doc, th, text, slots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words, _ = plain_words([text])
+                last = None
+                for x in sorted(slots, key=lambda x: (x["item"], x["slot"])):
+                    low, high = (x["slot"] - 1) * x["span"], (x["slot"] + 2) * x["span"]
+                    if last is not None and last[0] == x["item"] and low <= last[2]:
+                        last[2] = high
+                        continue
+                    last = [x["item"], max(low, 0), high]
+                    got.append((doc, th, last, words))
+            for at in range(0, max(len(got), 1), 4096):
+                part = got[at : at + 4096]
+                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in part], pa.int64()), pa.array([g[1] for g in part], pa.int64()), pa.array([g[2][0] for g in part], pa.int64()), pa.array([g[2][1] for g in part], pa.int64()), pa.array([g[3][g[2][1] : g[2][2]].tobytes() for g in part], pa.binary())], names=["doc_id", "th", "item", "start", "passage"])
+
+    passages = near.mapInArrow(cut, "doc_id long, th long, item long, start long, passage binary").join(item.select("item", "item_id", "words"), "item")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, Seeds] = {}
+        for batch in batches:
+            got = []
+            for doc, th, number, item_id, start, own, passage in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if number not in known:
+                    if len(known) >= 1024:
+                        known.clear()
+                    known[number] = Seeds(np.frombuffer(own, np.uint64), np.array([len(own) // 8]), least_score)
+                words = np.frombuffer(passage, np.uint64)
+                for _, _, score, first, end, n in known[number].search(words, np.array([len(words)])):
+                    if score >= least_score:
+                        got.append((doc, th, number, item_id, score, start + first, start + end, n))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+            columns = list(zip(*got, strict=True)) if got else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "th", "item", "item_id", "score", "start_word", "end_word", "n_hits"])
+
+    judged = passages.select("doc_id", "th", "item", "item_id", "start", "words", "passage").mapInArrow(judge, "doc_id long, th long, item long, item_id long, score double, start_word long, end_word long, n_hits long")
+    best = judged.groupBy("doc_id", "th", "item", "item_id").agg(F.max(F.struct("score", "start_word", "end_word", "n_hits")).alias("best"))
+    return best.select("doc_id", "th", "item_id", "best.*")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
