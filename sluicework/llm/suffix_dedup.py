@@ -7,16 +7,17 @@ each pass, so most never reach the next.
 
 Digit 1, the anchor: of the ``GRAM``-byte grams in a suffix's first ``WINDOW`` bytes, the one with the
     least hash. It depends on those bytes alone, so equal windows share it, and suffixes that follow
-    one another mostly do too: such a run is one row (a segment), some 30 suffixes long.
-Digit 2, the segment's bytes: of segments that are equal, all but the first go whole.
-Digit 3, the window's bytes: the first ones of segments that share an anchor but differ are sorted
-    window by window; groups of equal windows are the repeated windows.
+    one another mostly do too: such a run is one row (a segment), some 30 suffixes long. The digit is that
+    hash, which only deals out the work: suffixes that share it by chance are told apart by what follows.
+Digit 2, the segment's bytes, as their 128-bit BLAKE2b digest: of segments that are equal, all but the first go whole.
+Digits 3 to 15, the window's bytes, eight at a time: the first ones of segments that share an anchor but
+    differ are sorted window by window, and windows that are alone leave after each digit; groups that are left are
+    the repeated windows, byte by byte.
 
 Passes 1 and 2 are one shuffle and sort by (anchor, segment); a task reads it as a stream, and each
-batch drops its own repeats before it is shuffled. Pass 3 fetches the bytes of the differing
-segments and sorts by anchor in chunks; an anchor with more than ``HOT`` such segments is shuffled by
-window instead, so no group has to fit in one task. Digits are 64-bit hashes; windows are taken as
-equal if both the anchor's and the window's hash are.
+batch drops its own repeats before it is shuffled. The last passes fetch the bytes of the differing
+segments and sort by anchor in chunks; an anchor with more than ``HOT`` such segments is shuffled by
+its windows' BLAKE2b digests instead, so no group has to fit in one task.
 
 Edge cases: a null text is empty; texts shorter than a window stay whole; a null id is the least;
 rows with one id are ordered by a hash of the text; rows that are equal in both are one document,
@@ -27,6 +28,7 @@ no row; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(31).integers(1, 1 << 63, 256, dtype=np.uint64)
 _UP = powers(_BASE, PIECE + 4 * WINDOW)
 _DOWN = powers(_INVERSE, PIECE + 4 * WINDOW)
-_ROW = "key long, digest long, doc long, rank int, span long, gone boolean"
+_ROW = "key long, digest long, more long, doc long, rank int, span long, gone boolean"
 
 
 def pack(low: np.ndarray, high: np.ndarray, anchor: np.ndarray) -> np.ndarray:
@@ -72,12 +74,18 @@ def _hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((prefix[end] - prefix[start]) * _UP[start] + (end - start).astype(np.uint64))
 
 
+def _digests(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128-bit digests of the bytes from start to end, as two numbers each."""
+    found = [blake2b(data[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+    return np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
+
+
 def segments(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of some texts' joined bytes (at most PIECE and a window): key, digest, text number, low, high, anchor."""
+    """Of some texts' joined bytes (at most PIECE and a window): key, the two halves of the digest, text number, low, high, anchor."""
     ends = np.cumsum(lengths)
     starts = ends - lengths
     if len(raw) < WINDOW:
-        return tuple(np.empty(0, np.int64) for _ in range(6))
+        return tuple(np.empty(0, np.int64) for _ in range(7))
     prefix, n = _prefix(raw), len(raw) - GRAM + 1
     grams = _hashes(prefix, np.arange(n), np.arange(n) + GRAM)
     # hash above, place below: the least is the first of the least hash
@@ -93,9 +101,9 @@ def segments(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     low = np.flatnonzero(new & inside)
     stop = np.flatnonzero(np.r_[new[1:] | ~inside[1:], True] & inside)
     high = stop[np.searchsorted(stop, low)]
-    digest = _hashes(prefix, low, high + WINDOW)
+    digest = _digests(raw.tobytes(), low, high + WINDOW)
     base = starts[text[low]]
-    return grams[anchor[low]].view(np.int64), digest.view(np.int64), text[low], low - base, high - base, anchor[low] - base
+    return grams[anchor[low]].view(np.int64), digest[:, 0], digest[:, 1], text[low], low - base, high - base, anchor[low] - base
 
 
 def pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], np.ndarray, np.ndarray]]:
@@ -123,37 +131,37 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, rank = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
         found = []
         for numbers, offsets, raw, lengths in pieces([t.encode() for t in batch.column(2).to_pylist()]):
-            key, digest, text, low, high, anchor = segments(raw, lengths)
+            key, digest, more, text, low, high, anchor = segments(raw, lengths)
             at = np.array(offsets)[text]
-            found.append((key, digest, np.array(numbers)[text], pack(low + at, high + at, anchor + at)))
-        key, digest, number, span = (np.concatenate(x) for x in zip(*found, strict=True))
+            found.append((key, digest, more, np.array(numbers)[text], pack(low + at, high + at, anchor + at)))
+        key, digest, more, number, span = (np.concatenate(x) for x in zip(*found, strict=True))
         docs, ranks = doc[number], rank[number]
-        order = np.lexsort([span, ranks, docs, digest, key])
-        key, digest, docs, ranks, span = key[order], digest[order], docs[order], ranks[order], span[order]
-        gone = np.r_[False, (key[1:] == key[:-1]) & (digest[1:] == digest[:-1])] if len(key) else np.empty(0, bool)
+        order = np.lexsort([span, ranks, docs, more, digest, key])
+        key, digest, more, docs, ranks, span = key[order], digest[order], more[order], docs[order], ranks[order], span[order]
+        gone = np.r_[False, (key[1:] == key[:-1]) & (digest[1:] == digest[:-1]) & (more[1:] == more[:-1])] if len(key) else np.empty(0, bool)
         # what is gone needs no sort: any key deals it out
         key = np.where(gone, mix(docs.view(np.uint64) ^ span.view(np.uint64)).view(np.int64), key)
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.where(gone, 0, digest)), pa.array(docs), pa.array(ranks, pa.int32()), pa.array(span), pa.array(gone)], names=["key", "digest", "doc", "rank", "span", "gone"])
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.where(gone, 0, digest)), pa.array(np.where(gone, 0, more)), pa.array(docs), pa.array(ranks, pa.int32()), pa.array(span), pa.array(gone)], names=["key", "digest", "more", "doc", "rank", "span", "gone"])
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (gone, key, digest, doc, rank, span): keeps what is gone, and the first of segments that differ at one anchor."""
-    last: tuple[int, int] | None = None  # key and digest of the row before
+    """Rows sorted by (gone, key, digest, more, doc, rank, span): keeps what is gone, and the first of segments that differ at one anchor."""
+    last: tuple[int, int, int] | None = None  # key and digest of the row before
     held: pa.RecordBatch | None = None  # the first row of the last segment
     out_already = False  # held has gone out as differing from the one before it
 
     for batch in batches:
-        flag = batch.column(5).to_numpy(zero_copy_only=False)
+        flag = batch.column(6).to_numpy(zero_copy_only=False)
         if flag.any():
             yield batch.filter(pa.array(flag))
             batch = batch.filter(pa.array(~flag))
         if not batch.num_rows:
             continue
-        key, digest = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-        new = np.r_[last != (key[0], digest[0]), (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])]
-        last = (key[-1], digest[-1])
+        key, digest, more = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        new = np.r_[last != (key[0], digest[0], more[0]), (key[1:] != key[:-1]) | (digest[1:] != digest[:-1]) | (more[1:] != more[:-1])]
+        last = (key[-1], digest[-1], more[-1])
         later = batch.filter(pa.array(~new))
-        yield later.set_column(5, "gone", pa.array(np.ones(later.num_rows, bool)))
+        yield later.set_column(6, "gone", pa.array(np.ones(later.num_rows, bool)))
         heads = batch.filter(pa.array(new))
         if not heads.num_rows:
             continue
@@ -184,26 +192,37 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(docs, pa.int64()), pa.array(ranks, pa.int32()), pa.array(spans, pa.int64()), pa.array(parts, pa.binary())], names=["key", "doc", "rank", "span", "part"])
 
 
-def _windows(part: pa.BinaryArray, span: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of segments: each window's hash (with its anchor's), the segment's number and the window's start."""
+def _windows(part: pa.Array, span: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """Of segments: their bytes one after another; for each window its place there, the segment's number and its start in the text."""
     sizes = pc.binary_length(part).to_numpy(zero_copy_only=False).astype(np.int64)
-    hashes, rows, starts = [], [], []
-    low = unpack(span)[0]
-    cuts = np.searchsorted(np.cumsum(sizes), np.arange(0, sizes.sum(), PIECE), side="right") if len(sizes) else []
-    for a, b in zip(cuts, [*cuts[1:], len(sizes)], strict=True):
-        if a == b:
-            continue
-        data = b"".join(part.slice(a, b - a).to_pylist())
-        prefix, own = _prefix(np.frombuffer(data, np.uint8)), sizes[a:b] - WINDOW + 1
-        row = np.repeat(np.arange(a, b), own)
-        inner = np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)
-        at = inner + np.repeat(np.cumsum(sizes[a:b]) - sizes[a:b], own)
-        hashes.append(mix(_hashes(prefix, at, at + WINDOW) ^ mix(key[row].view(np.uint64))))
-        rows.append(row)
-        starts.append(low[row] + inner)
-    if not hashes:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(rows), np.concatenate(starts)
+    own = sizes - WINDOW + 1
+    row = np.repeat(np.arange(len(sizes)), own)
+    inner = np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)
+    return b"".join(part.to_pylist()), inner + np.repeat(np.cumsum(sizes) - sizes, own), row, unpack(span)[0][row] + inner
+
+
+def repeated_windows(data: bytes, at: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Numbers of the windows (bytes from ``at`` on) that equal one before them in their group, by a radix sort of eight bytes a digit.
+
+    Windows that are alone with their digits leave after each pass.
+    """
+    raw, left, group = np.frombuffer(data, np.uint8), np.arange(len(at)), group.copy()
+    eight = np.zeros(max(len(raw) - 7, 0), np.uint64)
+    for i in range(8):
+        eight |= raw[i : len(raw) - 7 + i].astype(np.uint64) << np.uint64(56 - 8 * i)
+    for depth in [*range(0, WINDOW - 8, 8), WINDOW - 8]:
+        digit = eight[at[left] + depth]
+        order = np.lexsort([digit, group[left]])
+        left, digit = left[order], digit[order]
+        own = group[left]
+        number = np.cumsum(np.r_[True, (own[1:] != own[:-1]) | (digit[1:] != digit[:-1])][: len(left)]) - 1
+        many = np.bincount(number, minlength=1)[number] > 1
+        left = left[many]
+        group[left] = number[many]
+        if not len(left):
+            return left
+    own = group[left]
+    return np.sort(left[np.r_[False, own[1:] == own[:-1]]])
 
 
 def _runs(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,12 +241,10 @@ def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         rows = pa.Table.from_batches(parts).combine_chunks()
         key, doc, rank, span = (rows.column(i).to_numpy() for i in range(4))
         part = rows.column(4).chunk(0) if rows.num_rows else pa.array([], pa.binary())
-        hashes, row, start = _windows(part, span, key)
-        order = np.lexsort([start, row, hashes])  # rows are in order of document within each key
-        again = np.r_[False, hashes[order][1:] == hashes[order][:-1]] if len(order) else np.empty(0, bool)
-        at = np.sort(order[again])
-        at = at[np.lexsort([start[at], row[at]])]
-        row, low, high = _runs(row[at], start[at])
+        data, at, row, start = _windows(part, span)
+        again = repeated_windows(data, at, np.cumsum(np.r_[False, key[1:] != key[:-1]][: len(key)])[row])  # rows are in order of document within each key
+        again = again[np.lexsort([start[again], row[again]])]
+        row, low, high = _runs(row[again], start[again])
         return pa.RecordBatch.from_arrays([pa.array(doc[row]), pa.array(rank[row], pa.int32()), pa.array(low), pa.array(high)], names=["doc", "rank", "low", "high"])
 
     for batch in batches:
@@ -248,9 +265,10 @@ def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _each_window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        key, doc, rank, span = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        hashes, row, start = _windows(batch.column(4), span, key)
-        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(doc[row]), pa.array(rank[row], pa.int32()), pa.array(start)], names=["window", "doc", "rank", "low"])
+        doc, rank, span = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+        data, at, row, start = _windows(batch.column(4), span)
+        digest = _digests(data, at, at + WINDOW)
+        yield pa.RecordBatch.from_arrays([pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(doc[row]), pa.array(rank[row], pa.int32()), pa.array(start)], names=["digest", "more", "doc", "rank", "low"])
 
 
 def _ordered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -275,7 +293,7 @@ def repeated_spans(rows: DataFrame, hot: int = HOT) -> DataFrame:
     # the scan's batches hold whole texts; those of the sorted rows are as small, being one job with it
     spark.conf.set(batch, str(BATCH_ROWS))
     found = rows.mapInArrow(_scan, _ROW)
-    found = found.repartition("key").sortWithinPartitions("gone", "key", "digest", "doc", "rank", "span")
+    found = found.repartition("key").sortWithinPartitions("gone", "key", "digest", "more", "doc", "rank", "span")
     judged = materialize(found.mapInArrow(_judge, _ROW), "judged")
     del found
     release(spark)
@@ -293,9 +311,9 @@ def repeated_spans(rows: DataFrame, hot: int = HOT) -> DataFrame:
         fine = parts.repartition("key").sortWithinPartitions("key", "doc", "rank", "span").mapInArrow(_sort_windows, windows)
         return whole.unionByName(materialize(fine, "fine"))
     fine = parts.join(crowded, "key", "left_anti").repartition("key").sortWithinPartitions("key", "doc", "rank", "span").mapInArrow(_sort_windows, windows)
-    each = parts.join(crowded, "key", "left_semi").mapInArrow(_each_window, "window long, doc long, rank int, low long")
-    first = materialize(each.groupBy("window").agg(F.min(F.struct("doc", "rank", "low")).alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
-    later = each.join(first, "window").where(F.struct("doc", "rank", "low") != F.col("first")).select("doc", "rank", "low", F.col("low").alias("high"))
+    each = parts.join(crowded, "key", "left_semi").mapInArrow(_each_window, "digest long, more long, doc long, rank int, low long")
+    first = materialize(each.groupBy("digest", "more").agg(F.min(F.struct("doc", "rank", "low")).alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
+    later = each.join(first, ["digest", "more"]).where(F.struct("doc", "rank", "low") != F.col("first")).select("doc", "rank", "low", F.col("low").alias("high"))
     return whole.unionByName(materialize(fine.unionByName(later), "fine"))
 
 

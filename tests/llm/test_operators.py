@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,33 @@ def test_suffix_dedup(spark, sf, hot):
     assert {r.doc_id: (r.n_bytes, r.n_bytes - r.k, r.n, r.h) for r in got} == want
 
 
+@pytest.mark.parametrize("bits", [0, 2, 64])
+def test_suffix_dedup_colliding_hashes(sf, monkeypatch, bits):
+    """The passes one after another, with hashes cut to a few bits: anchors that agree by chance remove nothing."""
+    whole = suffix_dedup._hashes
+    monkeypatch.setattr(suffix_dedup, "_hashes", lambda *x: whole(*x) & np.uint64((1 << bits) - 1))
+    rng = np.random.default_rng(3)
+    base = "".join(chr(97 + c) for c in rng.integers(0, 4, 700))
+    texts = dict(enumerate([base, base[300:] + base[:350], "x" * 50 + base[100:260] + "y" * 130, base[:99] + "é" + base[1:140], "short", ""]))
+    batch = pa.RecordBatch.from_pydict({"doc": pa.array(texts, pa.int64()), "rank": pa.array([0] * len(texts), pa.int32()), "text": list(texts.values())})
+    table_of = lambda batches: pa.Table.from_batches([b for b in batches if b.num_rows])
+    found = table_of(suffix_dedup._scan([batch.slice(i, 1) for i in range(len(texts))])).sort_by([(c, "ascending") for c in ("gone", "key", "digest", "more", "doc", "rank", "span")])
+    judged = table_of(suffix_dedup._judge(found.to_batches(max_chunksize=7))).to_pylist()
+    spans = defaultdict(list)
+    for x in judged:
+        if x["gone"]:
+            low, high, _ = suffix_dedup.unpack(x["span"])
+            spans[x["doc"]].append((low, high))
+    parts = [{**x, "part": texts[x["doc"]].encode()[low : high + 100]} for x in judged if not x["gone"] for low, high, _ in [suffix_dedup.unpack(x["span"])]]
+    parts = pa.Table.from_pylist(sorted(({k: x[k] for k in ("key", "doc", "rank", "span", "part")} for x in parts), key=lambda x: (x["key"], x["doc"], x["span"])), pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("rank", pa.int32()), ("span", pa.int64()), ("part", pa.binary())]))
+    for b in suffix_dedup._sort_windows(parts.to_batches()):
+        for x in b.to_pylist():
+            spans[x["doc"]].append((x["low"], x["high"]))
+    want = brute_suffix(texts.items())
+    got = {d: suffix_dedup._remove(t.encode(), spans[d]) for d, t in texts.items()}
+    assert {d: (len(runs), hashlib.sha256(kept).hexdigest()) for d, (runs, kept) in got.items()} == {d: w[2:] for d, w in want.items()}
+
+
 def test_suffix_dedup_pieces(spark, monkeypatch):
     rng = np.random.default_rng(1)
     base = "".join(chr(97 + c) for c in rng.integers(0, 20, 3000))
