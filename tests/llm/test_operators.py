@@ -205,12 +205,37 @@ def test_tools_of_odd_conversations(spark):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, "user", None), (1, 1, "assistant", "r"), (1, 1, "assistant", "q"), (1, 2, "user", ""), (None, 0, "user", "n"), (2, None, "user", "x"), (2, 5, None, "y"), (3, 4, "user", "z" * 100_000)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("depth", F.lit("clash"))
     calls, results = chat_tools.conversation_calls(turns)
+    slips = chat_tools.format_tools(*chat_tools.conversation_calls(spark.createDataFrame([(0, 2 * k, "user", None if k == 7 else "t") for k in range(8)], "conv_id long, turn long, role string, text string")), {"reply": chat_tools.REPLY}).orderBy("turn").collect()
+    assert [r.errors for r in slips] == [[], ["missing turn"], ["turn is no integer"], ["unknown lang"], ["no JSON"], [], [], ["missing text"]]
     got = {(r.conv_id, r.turn): r for r in chat_tools.format_tools(calls, results, {"reply": chat_tools.REPLY}).collect()}
     assert set(got) == {(1, 0), (1, 2), (None, 0), (2, None), (3, 4)}
     assert got[1, 0].n_calls == 3 and got[1, 0].n_results == 2 and got[1, 2].depth == 1 and got[2, None].position is None
     assert not got[2, None].valid and got[3, 4].valid and len(got[3, 4].json) > 100_000
 
 
+def test_tools_graphs(spark):
+    """Depths against a longest-path search, on branches that meet, unlike branches, cycles and what follows them."""
+    rng = np.random.default_rng(2)
+    graphs = {1: {i: [i - 1] + ([i - 3] if i % 4 == 3 else []) for i in range(1, 150)} | {0: []}, 2: {0: [], 1: [0], 2: [0, 1], 3: [2, 1], 4: [3, 0, 77], 5: [5], 6: [7, 0], 7: [6], 8: [5, 0], 9: [10, 1], 10: [11], 11: [9], 12: [9, 9]}}
+    graphs[3] = {i: sorted(set(rng.integers(0, i, rng.integers(0, 4)).tolist())) if i else [] for i in range(60)}
+    want = {}
+    for conv, graph in graphs.items():
+        depth = {}
+        for _ in graph:  # as often as there are calls: what isn't known then is on a cycle or after one
+            for i, before in graph.items():
+                if all(b in depth or b not in graph for b in before):
+                    depth[i] = max((depth[b] + 1 for b in before if b in graph), default=0)
+        want |= {(conv, f"c{i}"): depth.get(i) for i in graph}
+    rows = [(conv, -i, f"c{i}", "t", "{}", [f"c{b}" for b in before]) for conv, graph in graphs.items() for i, before in graph.items()]
+    calls = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, name string, arguments string, follows array<string>")
+    got = chat_tools.format_tools(calls, spark.createDataFrame([], "conv_id long, turn long, call_id string, content string"), {"t": {}}).collect()
+    assert {(r.conv_id, r.call_id): r.depth for r in got} == want
+    places = {(r.conv_id, r.call_id): r.position for r in got}
+    for conv, graph in graphs.items():
+        assert sorted(places[conv, f"c{i}"] for i in graph) == list(range(len(graph)))
+        assert all(places[conv, f"c{b}"] < places[conv, f"c{i}"] for i, before in graph.items() for b in before if b in graph and want[conv, f"c{i}"] is not None)
+
+
 def test_tools_long_chain(spark):
     calls = spark.range(700).selectExpr("1L AS conv_id", "id AS turn", "'c' || id AS call_id", "'t' AS name", "'{}' AS arguments", "'c' || (id - 1) AS follows")
     got = chat_tools.format_tools(calls, spark.createDataFrame([], "conv_id long, turn long, call_id string, content string"), {"t": {}})
