@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sluicework.llm import decontamination, jaccard_join, mixing, quality_classifier, token_output
-from sluicework.llm.common import materialize, table
+from sluicework.llm.common import intermediates, materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table of documents; the rows of the last."""
+    """All stages over the table of documents; the rows of the last. A stage's own intermediates go when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with intermediates(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name, keep=True)
     return docs

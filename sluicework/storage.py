@@ -8,11 +8,14 @@ import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[tempfile.TemporaryDirectory] = []
 _CLEANED: set[str] = set()
+#: Folders made in each open scope of intermediates.
+_SCOPES: list[list[str]] = []
 
 
 def _own_dir() -> str:
@@ -22,9 +25,11 @@ def _own_dir() -> str:
     return _OWN[0].name
 
 
-def shared_dir(spark: SparkSession) -> str:
+def shared_dir(spark: SparkSession, keep: bool = False) -> str:
     """A new folder below ``spark.checkpoint.dir``, which the driver and the executors share.
 
+    It goes with the scope of intermediates that is open, unless it is to be kept, or else when the driver ends.
+
     Where that is unset, a local master gets a temporary folder; on a cluster it is an error.
     """
     sc = spark.sparkContext
@@ -39,7 +44,22 @@ def shared_dir(spark: SparkSession) -> str:
         _CLEANED.add(sc.applicationId)
         atexit.register(_delete, fs, top)
     uri = re.sub("^file:/(?!/)", "file:///", fs.makeQualified(top).toString())
-    return f"{uri}/{uuid.uuid4().hex[:12]}"
+    made = f"{uri}/{uuid.uuid4().hex[:12]}"
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(made)
+    return made
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """A scope of intermediate tables: those written in it are deleted at its end, so nothing lazy that reads them may outlive it."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for made in _SCOPES.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made)
+            _delete(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path)
 
 
 def _delete(fs, top) -> None:
@@ -48,13 +68,13 @@ def _delete(fs, top) -> None:
         fs.delete(top, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in a shared folder and return it as read from there.
+def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet in a shared folder and return it as read from there; ``keep`` it beyond a scope of intermediates.
 
     The lineage ends at those files: a lost executor costs only the tasks it ran, and
     several readers of the result don't compute it again.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}"
+    path = f"{shared_dir(df.sparkSession, keep)}/{label}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
