@@ -6,12 +6,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.storage import materialize, release, shared_dir
+from sluicework.storage import intermediates, materialize, release, shared_dir
 
-__all__ = ["bounded_batches", "materialize", "mix", "powers", "release", "row_order", "shared_dir", "shingles", "table", "text_or_empty", "word_hashes"]
+__all__ = ["bounded_batches", "intermediates", "materialize", "mix", "powers", "release", "row_order", "shared_dir", "shingles", "table", "text_or_empty", "word_hashes"]
 
-#: Rows of one Arrow batch that an operator hands to Python. Texts can be long, so it is small.
-BATCH_ROWS = 512
+#: Rows and bytes of one Arrow batch that an operator hands to Python. Texts can be long, so they are small.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 #: A word of a text: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,8 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small, so that a task holds few texts at a time."""
+    """Keep Arrow batches small, so that a task holds few texts at a time.
+
+    Spark reads this setting when a frame runs, which may be after the operator has returned it; so it is the same
+    for all operators, and stays set in the session.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def text_or_empty(name: str) -> Column:

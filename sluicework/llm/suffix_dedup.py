@@ -37,13 +37,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sluicework.llm.common import BATCH_ROWS, materialize, mix, powers, release, table, text_or_empty
+from sluicework.llm.common import bounded_batches, materialize, mix, powers, release, table, text_or_empty
 
 WINDOW = 100
 GRAM = 24
 #: Bytes that are hashed at a time; places within them take 20 bits.
 PIECE = 900_000
-#: Rows of narrow batches, and differing segments of one anchor that a task sorts in memory.
+#: Differing segments that are sorted at a time, and differing segments of one anchor that a task sorts in memory.
 NARROW_ROWS, HOT = 16384, 50_000
 _BASE = 0x2545F4914F6CDD1D
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -289,9 +289,7 @@ def _ordered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
 def repeated_spans(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """From doc, rank (a key together) and text: doc, rank, low, high, where all windows that start from low to high also start earlier."""
     spark = rows.sparkSession
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    # the scan's batches hold whole texts; those of the sorted rows are as small, being one job with it
-    spark.conf.set(batch, str(BATCH_ROWS))
+    bounded_batches(spark)
     found = rows.mapInArrow(_scan, _ROW)
     found = found.repartition("key").sortWithinPartitions("gone", "key", "digest", "more", "doc", "rank", "span")
     judged = materialize(found.mapInArrow(_judge, _ROW), "judged")
@@ -304,7 +302,6 @@ def repeated_spans(rows: DataFrame, hot: int = HOT) -> DataFrame:
     parts = rows.join(per, ["doc", "rank"]).select("doc", "rank", "text", "found").mapInArrow(_contexts, "key long, doc long, rank int, span long, part binary")
     parts = materialize(parts, "parts")
     release(spark)
-    spark.conf.set(batch, str(NARROW_ROWS))
     crowded = materialize(differing.groupBy("key").count().where(F.col("count") > hot).select("key"), "crowded")
     windows = "doc long, rank int, low long, high long"
     if not crowded.limit(1).count():
@@ -351,7 +348,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 kept.append(rest)
             yield pa.RecordBatch.from_arrays([doc, pa.array(n, pa.int64()), pa.array(runs, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "runs", "kept"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     joined = rows.join(spans, ["doc", "rank"], "left").select(F.nullif("doc", F.lit(-(1 << 63))).alias("doc"), "text", "spans")
     return joined.mapInArrow(cut, "doc_id long, n_bytes long, runs array<struct<from:long,to:long>>, kept binary")
 

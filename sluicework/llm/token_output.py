@@ -380,7 +380,7 @@ def token_output(docs: DataFrame, tokenizer: str, path: str | None = None) -> Da
 
     Returns doc_id, copy, shard, start (ids of all documents before it), n_tokens, ids_crc32.
     """
-    path = path or f"{shared_dir(docs.sparkSession)}/tokens"
+    path = path or f"{shared_dir(docs.sparkSession, keep=True)}/tokens"
     meta = write_shards(docs, path, tokenizer)
     n_buckets = write_index(meta, path)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
