@@ -8,11 +8,12 @@
    matches and edits of cost e has 2a - e >= 2ms. Of the a - 1 gaps between its matches at most
    e / 2 <= a - ms cost 2 or more, and each other one is a hit: at least ms - 1 of them, at places
    within a + e <= (3 - 2s)m words of the document and from as many places of the item.
-4. So of an item's places all but ms - 2 have to be looked for: a leak hits one of these. One scan counts how often each
+4. So of an item's places all but ms - ``ASK`` - 1 or so have to be looked for: a leak hits ``ASK`` of these. One scan counts how often each
    seed occurs in all documents, and the places with the most frequent seeds are the ones left out.
 5. Another scan gives the places in documents of the rare seeds that are left, behind a Bloom filter of bounded size, and these are
-   joined with the items on the seed. That is two scans, however many items there are.
-6. The words around such a place are joined with the item's. Where all of its seeds have hits enough, and from enough of its places, they
+   joined with the items on the seed. That is two scans, however many items there are. Hits are counted in
+   windows of documents, and windows with ``ASK`` places of an item stay.
+6. The words around such a window are joined with the item's. Where all of its seeds have hits enough, and from enough of its places, they
    are aligned. So no leak is missed, however it is edited and however
    often its words occur elsewhere, and the score is that of aligning with the whole document.
 
@@ -38,6 +39,8 @@ from sluicework.llm.common import bounded_batches, materialize, mix, table, text
 LEAST_SCORE = 0.5
 #: The filter takes so many bits for a seed, and so many at most (64 MB); beyond them it lets more pass.
 SEED_BITS, MOST_BITS = 16, 1 << 29
+#: Places of an item whose rare seeds have to be near one another in a document, for it to be looked at.
+ASK = 3
 #: Bits of one part of the filter, as it is built.
 PART_BITS = 1 << 20
 #: Hits that a task holds at a time, but for those of one document.
@@ -252,7 +255,7 @@ def _grams(words: np.ndarray, counts: np.ndarray, steps: tuple[int, ...], passin
 
 
 def rare_seeds(rows: DataFrame, seeds: DataFrame, steps: tuple[int, ...], most_bits: int = MOST_BITS) -> DataFrame:
-    """item, gram and span of the seeds that a leak of the item can't all lack, the ones that are rarest in ``rows`` (text)."""
+    """item, place, gram, span and ask of an item's rarest seeds in ``rows`` (text): from so many places that a leak hits ``ask`` of them."""
     every = seed_filter(seeds.select("gram").distinct(), most_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,9 +265,10 @@ def rare_seeds(rows: DataFrame, seeds: DataFrame, steps: tuple[int, ...], most_b
 
     often = materialize(rows.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "often")
     places = seeds.join(often, "gram", "left").groupBy("item", "place").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.first("need").alias("need"))
+    places = places.withColumn("ask", F.least("need", F.lit(ASK)))
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.col("n").desc(), "place"))
-    kept = places.withColumn("rank", rank).where("rank >= need").select("item", "place")
-    return materialize(seeds.join(kept, ["item", "place"]).select("item", "gram", "span").distinct(), "rare")
+    kept = places.withColumn("rank", rank).where("rank > need - ask").select("item", "place", "ask")
+    return materialize(seeds.join(kept, ["item", "place"]).select("item", "place", "gram", "span", "ask"), "rare")
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, most_bits: int = MOST_BITS) -> DataFrame:
@@ -283,22 +287,25 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
             gram, at = _grams(words, counts, steps, passing.value)
             owner = np.repeat(np.arange(len(counts)), counts)[at]
             place = at - (np.cumsum(counts) - counts)[owner]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(gram.view(np.int64)), pa.array(place)], names=["doc_id", "th", "gram", "place"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(gram.view(np.int64)), pa.array(place)], names=["doc_id", "th", "gram", "at"])
 
-    found = rows.mapInArrow(hits, "doc_id long, th long, gram long, place long").join(rare, "gram")
-    found = materialize(found.select("doc_id", "th", "item", F.floor(F.col("place") / F.col("span")).alias("slot"), "span").distinct(), "hits")
+    found = rows.mapInArrow(hits, "doc_id long, th long, gram long, at long").join(rare, "gram")
+    slot = F.floor(F.col("at") / F.col("span"))
+    found = found.select("doc_id", "th", "item", "place", "span", "ask", F.explode(F.array(slot, slot - 1)).alias("slot"))  # a window is two slots
+    found = found.groupBy("doc_id", "th", "item", "slot", "span", "ask").agg(F.size(F.collect_set("place")).alias("n")).where("n >= ask")
+    found = materialize(found.select("doc_id", "th", "item", "slot", "span"), "hits")
     wanted = found.groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t")).agg(F.collect_list(F.struct("item", "slot", "span")).alias("wanted"))
     near = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select("doc_id", "th", "text", "wanted")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words around the hits of each item: successive slots, and as many words again on both sides."""
+        """The words around the windows of each item: windows that touch together, and a slot more on both sides."""
         for batch in batches:
             got = []
             for doc, th, text, slots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words, _ = plain_words([text])
                 last = None
                 for x in sorted(slots, key=lambda x: (x["item"], x["slot"])):
-                    low, high = (x["slot"] - 1) * x["span"], (x["slot"] + 2) * x["span"]
+                    low, high = (x["slot"] - 1) * x["span"], (x["slot"] + 3) * x["span"]
                     if last is not None and last[0] == x["item"] and low <= last[2]:
                         last[2] = high
                         continue
