@@ -11,7 +11,7 @@ from sluicework.storage import intermediates, materialize, release, shared_dir
 __all__ = ["bounded_batches", "intermediates", "materialize", "mix", "powers", "release", "row_order", "shared_dir", "shingles", "table", "text_or_empty", "word_hashes"]
 
 #: Rows and bytes of one Arrow batch that an operator hands to Python. Texts can be long, so they are small.
-BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 
 #: A word of a text: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,6 +46,8 @@ def row_order(df: DataFrame) -> Column:
 
 # --- hashing of words, many texts at a time -------------------------------------------------
 
+#: Bytes of texts that are hashed at a time, but for a longer text.
+HASHED_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -83,8 +85,16 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of UTF-8 texts, in order, and the number of words of each text.
 
     The hash of a word is a polynomial over its bytes, taken from prefix sums modulo 2**64,
-    so there is no Python loop over words.
+    so there is no Python loop over words. Some ten numbers are held for each byte, so texts are taken about
+    ``HASHED_BYTES`` at a time.
     """
+    upto = np.cumsum([len(t) for t in texts]) // HASHED_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
+    found = [_word_hashes(texts[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return np.concatenate([w for w, _ in found]), np.concatenate([c for _, c in found])
+
+
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     joined = b"\n".join(texts)
     raw = np.frombuffer(joined, np.uint8)
     n = len(raw)

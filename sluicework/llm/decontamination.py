@@ -315,7 +315,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                 part = got[at : at + 4096]
                 yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in part], pa.int64()), pa.array([g[1] for g in part], pa.int64()), pa.array([g[2][0] for g in part], pa.int64()), pa.array([g[2][1] for g in part], pa.int64()), pa.array([g[3][g[2][1] : g[2][2]].tobytes() for g in part], pa.binary())], names=["doc_id", "th", "item", "start", "passage"])
 
-    passages = near.mapInArrow(cut, "doc_id long, th long, item long, start long, passage binary").join(item.select("item", "item_id", "words"), "item")
+    passages = materialize(near.mapInArrow(cut, "doc_id long, th long, item long, start long, passage binary"), "passages")  # so that no task runs two Python workers
+    passages = passages.join(item.select("item", "item_id", "words"), "item")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, Seeds] = {}

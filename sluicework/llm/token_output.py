@@ -64,7 +64,7 @@ _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: How byte-level vocabularies write bytes as characters: printable ones as they are, the others from U+0100 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(0x100 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
-_CACHE_UNITS = 1_000_000
+_CACHE_UNITS = 250_000
 _ENCODERS: dict[str, Encoder] = {}
 
 
