@@ -21,6 +21,20 @@ def test_sql(spark, sf, name):
     assert key(got) == key(want)
 
 
+def test_host_rules_with_rejected_hosts(spark, tmp_path):
+    """On the given tables no host is rejected; here one is, and its sound documents go with it."""
+    sound = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    rows = [(i, sound(i) if i % 10 == 0 else "too short", "en", "bad", 1) for i in range(300)] + [(1000 + i, sound(i) if i % 20 else "short", "en", f"h{i % 12}", 1) for i in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(SQL["op8_host_rules"]).df()
+    columns = sorted(want.columns)
+    got = QUERIES["op8_host_rules"](spark, str(tmp_path)).select(columns).toPandas()
+    assert (~got.base_failed & ~got.kept).sum() == 30 and (got.kept & (got.doc_id >= 1000)).sum() == 570
+    assert got.sort_values("doc_id").values.tolist() == want.sort_values("doc_id")[columns].values.tolist()
+
+
 def test_pipeline(spark, sf):
     docs = table(spark, sf, "documents")
     columns, ids = docs.columns, []
