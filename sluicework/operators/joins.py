@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
+
+from sluicework.storage import materialize
 
 
 def interval_join(a: DataFrame, b: DataFrame, keys: list[str], a_ts: str, b_ts: str, seconds: int) -> DataFrame:
@@ -21,18 +30,28 @@ def interval_join(a: DataFrame, b: DataFrame, keys: list[str], a_ts: str, b_ts:
     return left.join(right, [left["slot__"] == right["slot__"], *on, near]).drop("slot__")
 
 
-def as_of(df: DataFrame, when: str, history: DataFrame, keys: list[str], effective: str, columns: list[str]) -> DataFrame:
+def as_of(df: DataFrame, when: str, history: DataFrame, keys: list[str], effective: str, columns: list[str], seconds: int = 86400) -> DataFrame:
     """``columns`` of the latest history row per key that is effective at ``when``; null where there is none.
 
-    One union and one window instead of a range join: history rows and rows to look up are sorted together.
+    One union and one window instead of a range join: history rows and rows to look up are sorted together,
+    within slots of ``seconds``, so that a hot key is spread over its slots. A slot that is looked up starts
+    with what the slots before it leave behind: the latest row of each slot is aggregated map-side, and only these
+    are sorted by key alone. Of rows effective at one time the greatest by ``columns`` counts; a null
+    ``effective`` is before all times, and a null ``when`` sees such rows only.
     """
-    from pyspark.sql import Window
-
-    h = history.select(*keys, F.col(effective).alias("at__"), F.struct(effective, *columns).alias("found__"), F.lit(0).alias("side__"))
-    d = df.select(*keys, F.col(when).alias("at__"), F.lit(None).cast(h.schema["found__"].dataType).alias("found__"), F.lit(1).alias("side__"), F.struct(*df.columns).alias("row__"))
-    both = h.withColumn("row__", F.lit(None).cast(d.schema["row__"].dataType)).unionByName(d)
-    w = Window.partitionBy(*keys).orderBy(F.col("at__").asc_nulls_first(), "side__").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = both.withColumn("found__", F.last("found__", ignorenulls=True).over(w)).where("side__ = 1")
+    slot = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / (seconds * 1_000_000))
+    h = history.select(*keys, slot(effective).alias("slot__"), F.col(effective).alias("at__"), F.struct(effective, *columns).alias("found__"), F.lit(1).alias("side__"))
+    found, row = h.schema["found__"].dataType, F.struct(*df.columns)
+    d = df.select(*keys, slot(when).alias("slot__"), F.col(when).alias("at__"), F.lit(None).cast(found).alias("found__"), F.lit(2).alias("side__"), row.alias("row__"))
+    # found__ begins with the time, so the latest is the greatest
+    slots = h.select(*keys, "slot__", "found__", F.lit(False).alias("asked__")).unionByName(d.select(*keys, "slot__", "found__", F.lit(True).alias("asked__")))
+    slots = slots.groupBy(*keys, "slot__").agg(F.max("found__").alias("found__"), F.bool_or("asked__").alias("asked__"))
+    earlier = Window.partitionBy(*keys).orderBy(F.col("slot__").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = slots.withColumn("found__", F.max("found__").over(earlier)).where("asked__ and found__ is not null")
+    carried = carried.select(*keys, "slot__", F.lit(None).cast(h.schema["at__"].dataType).alias("at__"), "found__", F.lit(0).alias("side__"))
+    both = h.unionByName(carried).withColumn("row__", F.lit(None).cast(d.schema["row__"].dataType)).unionByName(d)
+    w = Window.partitionBy(*keys, "slot__").orderBy(F.col("at__").asc_nulls_first(), "side__").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = both.withColumn("found__", F.max("found__").over(w)).where("side__ = 2")
     return out.select("row__.*", *(F.col(f"found__.{c}").alias(f"{c}_as_of") for c in columns))
 
 
@@ -50,6 +69,54 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def nearest(df: DataFrame, id_col: str, vector: str, items: DataFrame, item: str, item_vector: str, block: int = 1000) -> DataFrame:
+    """id_col, best, score: the item whose vector has the greatest cosine, rounded to nine digits, to each row's; of ties the least item.
+
+    ``items`` is the query set of any size: its blocks of some ``block`` items go to the tasks one by one, each is
+    scored against all rows, and the best over blocks is kept; rows of one id count as one. Items without a name or a vector of some length are
+    none; rows without one, or of another length than the items', have null best and score.
+    """
+    named = items.where(F.col(item).isNotNull() & F.col(item_vector).isNotNull()).select(F.col(item).alias("item"), F.col(item_vector).cast("array<double>").alias("v"))
+    named = materialize(named, "items")
+    blocks = max(1, -(-named.count() // block))
+    named = named.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
+    rows = df.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    none = rows.select("id", F.lit(None).cast(named.schema["item"].dataType).alias("best"), F.lit(None).cast("double").alias("score"))
+    schema = none.schema
+    parts = []
+    for k in range(blocks):
+        known = sorted(((r["item"], np.array(r["v"], float)) for r in named.where(F.col("block") == k).collect()), key=lambda x: x[0])
+        for length in sorted({len(v) for _, v in known}):
+            parts.append(rows.where(F.size("v") == length).mapInArrow(_scorer([x for x in known if len(x[1]) == length], schema["best"].dataType), schema))
+    scored = reduce(DataFrame.unionByName, parts, none)
+    # greatest score first, then the least item
+    top = F.min(F.when(F.col("score").isNotNull(), F.struct((-F.col("score")).alias("minus"), "best")))
+    return scored.groupBy("id").agg(top.alias("top")).select(F.col("id").alias(id_col), "top.best", (-F.col("top.minus")).alias("score"))
+
+
+def _scorer(known: list[tuple[object, np.ndarray]], kind: DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of Arrow batches of id and vectors of one length: the nearest of the known ones."""
+    unit = [(name, v / n) for name, v in known if (n := np.sqrt(v @ v)) > 0 and np.isfinite(n)]
+    names, matrix = [name for name, _ in unit], np.array([v for _, v in unit])
+    kind = to_arrow_type(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows or not names:
+                continue
+            vectors = np.array([[np.nan if x is None else x for x in v] for v in batch.column(1).to_pylist()])
+            norms = np.sqrt((vectors * vectors).sum(axis=1))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                cosines = np.round((vectors @ matrix.T) / norms[:, None], 9)
+            some = np.isfinite(cosines).all(axis=1)
+            at = np.where(some, np.where(np.isfinite(cosines), cosines, -2).argmax(axis=1), 0)
+            best = [names[i] if ok else None for i, ok in zip(at.tolist(), some.tolist(), strict=True)]
+            score = [float(cosines[j, i]) if ok else None for j, (i, ok) in enumerate(zip(at.tolist(), some.tolist(), strict=True))]
+            yield pa.RecordBatch.from_pydict({"id": batch.column(0), "best": pa.array(best, kind), "score": pa.array(score, pa.float64())})
+
+    return run
+
+
 def group_similarity(df: DataFrame, item: str, vector: str, group: str) -> DataFrame:
     """item, group, similarity: the mean cosine of each item to the other members of its group.
 

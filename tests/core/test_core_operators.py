@@ -2,6 +2,7 @@
 
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,50 @@ def test_interval_edges(spark):
     assert len(got) == 2
 
 
+def test_as_of_over_slots(spark):
+    """Slots of a minute and of a day against a search through all history; a key with most rows, ties, nulls, no history."""
+    import random
+
+    rng, t = random.Random(3), datetime(2024, 1, 1)
+    at = lambda: None if rng.random() < 0.05 else t + timedelta(seconds=rng.randrange(0, 4000, 40))
+    key = lambda: rng.choice(["hot"] * 6 + ["a", "b", None])
+    history = [(key(), at(), rng.choice([None, 1, 2, 3]), "x") for _ in range(150)] + [("gone", t, 1, "x")]
+    rows = [(i, key(), at()) for i in range(400)] + [(999, "new", t), (0, "hot", t)]
+    order = lambda h: (h[1] is not None, h[1] or t, h[2] is not None, h[2] or 0)
+    want = []
+    for i, k, when in rows:
+        seen = [h for h in history if h[0] == k and (h[1] is None or when is not None and h[1] <= when)]
+        want.append((i, k, when, max(seen, key=order)[2] if seen else None))
+    h = frame(spark, history, "k string, since timestamp, value int, id string")
+    df = frame(spark, rows, "id int, k string, ts timestamp")
+    for seconds in (60, 86400):
+        got = joins.as_of(df, "ts", h, ["k"], "since", ["value"], seconds)
+        assert got.columns == ["id", "k", "ts", "value_as_of"]
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert joins.as_of(df.limit(0), "ts", h, ["k"], "since", ["value"]).count() == 0
+    assert {r.value_as_of for r in joins.as_of(df, "ts", h.limit(0), ["k"], "since", ["value"]).collect()} == {None}
+
+
+def test_nearest_in_blocks(spark):
+    """Several blocks, ties, and vectors that are null, empty, of no length or of another size."""
+    rng = np.random.default_rng(5)
+    items = [(f"i{k}", rng.integers(-3, 4, 4).astype(float).tolist()) for k in range(57)] + [("tie", [2.0, 0.0, 0.0, 0.0]), ("aa", [5.0, 0.0, 0.0, 0.0]), (None, [1.0] * 4), ("no", None), ("zero", [0.0] * 4), ("short", [1.0])]
+    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(200)] + [(900, [1.0, 0.0, 0.0, 0.0]), (901, None), (902, []), (903, [0.0] * 4), (904, [2.0]), (905, [1.0] * 3), (900, [1.0, 0.0, 0.0, 0.0])]
+    want = {}
+    for i, v in rows:
+        scored = []
+        for name, k in items:
+            if name is not None and k is not None and v is not None and len(k) == len(v) and any(k) and any(v):
+                scored.append((-round(float(np.dot(v, k) / np.sqrt(np.dot(v, v)) / np.sqrt(np.dot(k, k))), 9), name))
+        want[i] = min(scored) if scored else (None, None)
+    df, known = frame(spark, rows, "id int, v array<double>"), frame(spark, items, "item string, v array<double>")
+    for block in (5, 1000):
+        got = {r.id: (None if r.score is None else pytest.approx(-r.score, abs=2e-9), r.best) for r in joins.nearest(df, "id", "v", known, "item", "v", block).collect()}
+        assert got == want
+    assert {r.best for r in joins.nearest(df, "id", "v", known.limit(0), "item", "v").collect()} == {None}
+    assert joins.nearest(df.limit(0), "id", "v", known, "item", "v").count() == 0
+
+
 def test_components_chain_and_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r.node: r.component for r in components.components(frame(spark, edges, "u long, v long")).collect()}
