@@ -255,35 +255,33 @@ def group_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.group_similarity(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label").select("vec_id", "label", F.round("similarity", 9).alias("similarity"))
 
 
-def _edges(spark: SparkSession, sf_dir: str, lines: str = "l_tax = 0 and l_discount = 0 and l_linenumber < 3") -> DataFrame:
-    """Identifier pairs: an order and its customer, an order and its suppliers of tax-free lines (or of others)."""
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifier pairs: an order and its customer, an order and all of its suppliers."""
     o, l_ = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")
     end = lambda t, c: [F.lit(t), F.col(c).cast("string")]
     cols = ["a_type", "a_value", "b_type", "b_value", "match_rule", "source_system", "base_confidence", "cap", "first_seen", "last_seen"]
     a = o.select(*end("order", "o_orderkey"), *end("customer", "o_custkey"), F.lit("placed"), F.lit("s1"), F.lit(0.6), F.lit(0.9), "o_orderdate", F.col("o_orderdate").alias("x")).toDF(*cols)
-    b = l_.where(lines).select(*end("supplier", "l_suppkey"), *end("order", "l_orderkey"), F.lit("shipped"), F.when(F.col("l_quantity") > 25, "s2").otherwise("s1"), F.lit(0.5), F.lit(0.8), "l_shipdate", F.col("l_shipdate").alias("x")).toDF(*cols)
+    b = l_.select(*end("supplier", "l_suppkey"), *end("order", "l_orderkey"), F.lit("shipped"), F.when(F.col("l_quantity") > 25, "s2").otherwise("s1"), F.lit(0.5), F.lit(0.8), "l_shipdate", F.col("l_shipdate").alias("x")).toDF(*cols)
     return a.unionByName(b)
 
 
-Edges = Callable[[SparkSession, str], DataFrame]
-
 _EDGES = """edges AS (SELECT 'customer' AS a_type, o_custkey::VARCHAR AS a_value, 'order' AS b_type, o_orderkey::VARCHAR AS b_value, 'placed' AS match_rule, 's1' AS source_system, 0.6::DOUBLE AS base, 0.9::DOUBLE AS cap, o_orderdate AS t FROM orders
-  UNION ALL SELECT 'order', l_orderkey::VARCHAR, 'supplier', l_suppkey::VARCHAR, 'shipped', CASE WHEN l_quantity > 25 THEN 's2' ELSE 's1' END, 0.5, 0.8, l_shipdate FROM lineitem WHERE l_tax = 0 AND l_discount = 0 AND l_linenumber < 3),
+  UNION ALL SELECT 'order', l_orderkey::VARCHAR, 'supplier', l_suppkey::VARCHAR, 'shipped', CASE WHEN l_quantity > 25 THEN 's2' ELSE 's1' END, 0.5, 0.8, l_shipdate FROM lineitem),
 agg AS (SELECT a_type, a_value, b_type, b_value, match_rule, min(source_system) AS source_system, count(*) AS observations, min(t) AS first_seen, max(t) AS last_seen, max(base) AS base_confidence, round(least(max(cap), max(base) * log2(count(*) + 1)), 9) AS confidence FROM edges GROUP BY 1, 2, 3, 4, 5)"""
 
 
 @query(f"WITH {_EDGES} SELECT * FROM agg")
-def graph_edges(spark: SparkSession, sf_dir: str, edges: Edges = _edges) -> DataFrame:
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undirected edges with observations and confidence."""
-    return graph.aggregate_edges(edges(spark, sf_dir)).withColumn("confidence", F.round("confidence", 9))
+    return graph.aggregate_edges(_edges(spark, sf_dir)).withColumn("confidence", F.round("confidence", 9))
 
 
 @query(f"""WITH {_EDGES}, ends AS (SELECT a_type AS t, a_value AS v, b_type || ':' || b_value AS o FROM agg UNION ALL SELECT b_type, b_value, a_type || ':' || a_value FROM agg),
 hubs AS (SELECT t, v FROM ends GROUP BY 1, 2 HAVING count(DISTINCT o) > 12)
 SELECT a_type, a_value, b_type, b_value, match_rule FROM agg WHERE (a_type, a_value) NOT IN (SELECT (t, v) FROM hubs) AND (b_type, b_value) NOT IN (SELECT (t, v) FROM hubs) AND NOT (b_type = 'supplier' AND b_value IN ('1', '2'))""")
-def graph_filters(spark: SparkSession, sf_dir: str, edges: Edges = _edges) -> DataFrame:
+def graph_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges without listed ends and without ends of too many neighbours."""
-    e = graph.aggregate_edges(edges(spark, sf_dir))
+    e = graph.aggregate_edges(_edges(spark, sf_dir))
     listed = spark.createDataFrame([("supplier", "1"), ("supplier", "2"), ("supplier", None)], "type string, value string")
     return graph.drop_blacklisted(graph.trim_fanout(e, 12), listed).select("a_type", "a_value", "b_type", "b_value", "match_rule")
 
@@ -292,23 +290,23 @@ def graph_filters(spark: SparkSession, sf_dir: str, edges: Edges = _edges) -> Da
 many AS (SELECT t, v FROM ends WHERE ot = 'supplier' GROUP BY 1, 2 HAVING count(DISTINCT ov) >= 2)
 SELECT a_type, a_value, b_type, b_value, match_rule, coalesce(m.v IS NOT NULL OR n.v IS NOT NULL, false) AS conflict, CASE WHEN m.v IS NOT NULL OR n.v IS NOT NULL THEN least(confidence, 0.5) ELSE confidence END AS confidence
 FROM agg LEFT JOIN many m ON a_type = m.t AND a_value = m.v LEFT JOIN many n ON b_type = n.t AND b_value = n.v""")
-def graph_conflicts(spark: SparkSession, sf_dir: str, edges: Edges = _edges) -> DataFrame:
+def graph_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges at nodes with several suppliers are capped."""
-    e = graph.cap_conflicts(graph.aggregate_edges(edges(spark, sf_dir)), "supplier").withColumn("confidence", F.round("confidence", 9))
+    e = graph.cap_conflicts(graph.aggregate_edges(_edges(spark, sf_dir)), "supplier").withColumn("confidence", F.round("confidence", 9))
     return e.select("a_type", "a_value", "b_type", "b_value", "match_rule", "conflict", "confidence")
 
 
 @query(f"""WITH RECURSIVE {_EDGES}, few AS (SELECT * FROM agg WHERE last_seen IS NULL OR date_diff('day', last_seen, TIMESTAMP '2001-09-01') <= CASE WHEN a_type = 'customer' THEN 1000 ELSE 400 END),
-links AS (SELECT a_type || ':' || a_value AS u, b_type || ':' || b_value AS v FROM few WHERE b_type <> 'supplier' UNION SELECT b_type || ':' || b_value, a_type || ':' || a_value FROM few WHERE b_type <> 'supplier'),
-nodes AS (SELECT DISTINCT u FROM links), reach(u, root) AS (SELECT u, u FROM nodes UNION SELECT l.v, r.root FROM reach r JOIN links l ON r.u = l.u),
-best AS (SELECT u, min((CASE split_part(root, ':', 1) WHEN 'customer' THEN 1 WHEN 'supplier' THEN 2 ELSE 3 END, root)) AS b FROM reach GROUP BY 1)
-SELECT split_part(u, ':', 1) AS node_type, split_part(u, ':', 2) AS node_value, split_part(b[2], ':', 1) AS root_type, split_part(b[2], ':', 2) AS root_value,
- 'ent_' || left(translate(to_base64(unhex(sha256(b[2]))), '+/=', '-_'), 16) AS entity_id, count(*) OVER (PARTITION BY b[2]) AS cluster_size FROM best""")
+links AS (SELECT a_type || ':' || a_value AS u, b_type || ':' || b_value AS v FROM few UNION SELECT b_type || ':' || b_value, a_type || ':' || a_value FROM few),
+keyed AS (SELECT DISTINCT u, CASE split_part(u, ':', 1) WHEN 'customer' THEN '1' WHEN 'supplier' THEN '2' ELSE '3' END || u AS k FROM links),
+reach(u, k) USING KEY (u) AS (SELECT u, k FROM keyed UNION SELECT l.v, min(r.k) FROM reach r JOIN links l ON r.u = l.u JOIN recurring.reach c ON c.u = l.v WHERE r.k < c.k GROUP BY l.v),
+best AS (SELECT u, substr(k, 2) AS root FROM reach)
+SELECT split_part(u, ':', 1) AS node_type, split_part(u, ':', 2) AS node_value, split_part(root, ':', 1) AS root_type, split_part(root, ':', 2) AS root_value,
+ 'ent_' || left(translate(to_base64(unhex(sha256(root))), '+/=', '-_'), 16) AS entity_id, count(*) OVER (PARTITION BY root) AS cluster_size FROM best""")
 def graph_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entities by priority union over edges that are recent enough for their types."""
-    e = graph.aggregate_edges(_edges(spark, sf_dir))
-    recent = graph.in_influence(e, F.lit("2001-09-01").cast("timestamp"), {"customer": 1000, "order": -1, "supplier": 400})
-    return graph.stitch(recent.where("b_type <> 'supplier'"), {"customer": 1, "supplier": 2, "order": 3}, 0.0)
+    """Entities over all edges that are recent enough for their types, suppliers' too."""
+    recent = graph.in_influence(graph.aggregate_edges(_edges(spark, sf_dir)), F.lit("2001-09-01").cast("timestamp"), {"customer": 1000, "order": -1, "supplier": 400})
+    return graph.stitch(recent, {"customer": 1, "supplier": 2, "order": 3}, 0.0)
 
 
 @query("""SELECT event_id, CASE WHEN props IS NULL THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS at, sha256(coalesce(user_id::VARCHAR, '') || '|' || coalesce(event_type, '')) AS device FROM events""")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.functions import normalise, reshape
 from sluicework.operators import freshness, graph, joins, runs
-from sluicework.plans.queries import _EDGES, QUERIES, SQL, Edges, _edges, query, read
+from sluicework.plans.queries import _EDGES, _edges, query, read
 
 
 @query("""WITH a AS (SELECT l_suppkey AS k, avg((l_returnflag <> 'R')::INT) AS success, 1 - avg(l_discount) AS quality FROM lineitem GROUP BY 1),
@@ -84,41 +82,35 @@ def prefix_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 s AS (SELECT vec_id, known.label AS best, list_dot_product(embedding::DOUBLE[], k::DOUBLE[]) / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) * list_dot_product(k::DOUBLE[], k::DOUBLE[])) AS c FROM embeddings, known)
 SELECT vec_id, arg_max(best, (round(c, 9), -best)) AS best, round(max(c), 9) AS score, max(c) >= 0.85 AS accepted FROM s GROUP BY 1""")
 def nearest_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nearest of the known items (one per label; a fixed catalogue, checked to be small) by cosine."""
+    """The nearest of the known items (one per label) by cosine."""
     e = read(spark, sf_dir, "embeddings")
     known = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("k"))
-    catalogue = known.collect() if known.limit(1001).count() <= 1000 else None
-    if catalogue is None:
-        raise ValueError("the catalogue has more than 1000 items")
-    items = F.array(*(F.struct(F.lit(r["label"]).alias("best"), F.array(*(F.lit(float(x)) for x in r["k"])).alias("k")) for r in sorted(catalogue, key=lambda r: r["label"])))
-    scored = F.transform(items, lambda i: F.struct(F.round(joins.cosine(F.col("embedding"), i["k"]), 9).alias("c"), (-i["best"]).alias("minus")))
-    top = e.select("vec_id", F.array_max(scored).alias("t"))
-    return top.select("vec_id", (-F.col("t.minus")).alias("best"), F.col("t.c").alias("score"), (F.col("t.c") >= 0.85).alias("accepted"))
+    return joins.nearest(e, "vec_id", "embedding", known, "label", "k").withColumn("accepted", F.col("score") >= 0.85)
 
 
 @query(f"""WITH {_EDGES}, old AS (SELECT a_type, a_value, b_type, b_value, match_rule, confidence, first_seen - INTERVAL 10 DAY AS first_seen, last_seen - INTERVAL 10 DAY AS last_seen FROM agg WHERE a_value::BIGINT % 3 <> 0),
 new AS (SELECT a_type, a_value, b_type, b_value, match_rule, confidence, first_seen, last_seen FROM agg WHERE a_value::BIGINT % 2 = 0)
 SELECT a_type, a_value, b_type, b_value, match_rule, coalesce(new.confidence, old.confidence) AS confidence, least(new.first_seen, old.first_seen) AS first_seen, greatest(new.last_seen, old.last_seen) AS last_seen FROM new FULL JOIN old USING (a_type, a_value, b_type, b_value, match_rule)""")
-def graph_append(spark: SparkSession, sf_dir: str, edges: Edges = _edges) -> DataFrame:
+def graph_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New edges merged into old ones, keeping the earliest and latest sightings."""
-    e = graph.aggregate_edges(edges(spark, sf_dir)).select("a_type", "a_value", "b_type", "b_value", "match_rule", F.round("confidence", 9).alias("confidence"), "first_seen", "last_seen")
+    e = graph.aggregate_edges(_edges(spark, sf_dir)).select("a_type", "a_value", "b_type", "b_value", "match_rule", F.round("confidence", 9).alias("confidence"), "first_seen", "last_seen")
     old = e.where("cast(a_value as bigint) % 3 <> 0").withColumns({c: F.col(c) - F.expr("INTERVAL 10 DAY") for c in ("first_seen", "last_seen")})
     return graph.merge_edges(e.where("cast(a_value as bigint) % 2 = 0"), old)
 
 
 @query(f"""WITH {_EDGES}, hubs AS (SELECT b_value AS v FROM agg WHERE match_rule = 'shipped' AND b_type = 'supplier' GROUP BY 1 HAVING count(DISTINCT a_value) >= 3)
 SELECT a_type, a_value, b_type, b_value, match_rule FROM agg WHERE NOT (match_rule = 'shipped' AND b_value IN (SELECT v FROM hubs))""")
-def graph_gate(spark: SparkSession, sf_dir: str, edges: Edges = _edges) -> DataFrame:
+def graph_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rule's edges at nodes it joins to three or more orders go."""
-    e = graph.gate_shared(graph.aggregate_edges(edges(spark, sf_dir)), "shipped", "order")
+    e = graph.gate_shared(graph.aggregate_edges(_edges(spark, sf_dir)), "shipped", "order")
     return e.select("a_type", "a_value", "b_type", "b_value", "match_rule")
 
 
 @query(f"""WITH {_EDGES}, aged AS (SELECT *, date_diff('day', last_seen, TIMESTAMP '2001-09-01') AS age FROM agg)
 SELECT a_type, a_value, b_type, b_value, match_rule, round(least(0.9, confidence * 0.95 * CASE WHEN b_type = 'supplier' THEN 1 WHEN age <= 90 THEN 1 WHEN age <= 365 THEN 0.8 WHEN age <= 1095 THEN 0.5 ELSE 0 END), 9) AS effective FROM aged""")
-def graph_decay(spark: SparkSession, sf_dir: str, edges: Edges = _edges) -> DataFrame:
+def graph_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confidence after decay by age, at most the cap."""
-    e = graph.aggregate_edges(edges(spark, sf_dir))
+    e = graph.aggregate_edges(_edges(spark, sf_dir))
     age = F.timestamp_diff("DAY", F.col("last_seen"), F.lit("2001-09-01").cast("timestamp"))
     weight = graph.decay(age, F.col("b_type") == "supplier", [(90, 1.0), (365, 0.8), (1095, 0.5)])
     eff = graph.effective_confidence(F.col("confidence"), F.lit(0.9), F.lit(0.95), weight)
@@ -147,43 +139,3 @@ def event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON to an array of pairs and to columns again."""
     e = read(spark, sf_dir, "events").select("event_id", F.transform(F.map_entries(F.from_json("props", "map<string,string>")), lambda x: F.struct(x["key"].alias("name"), x["value"].alias("value"))).alias("pairs"), reshape.path(F.col("props"), "k").alias("k2"))
     return reshape.pairs_to_columns(e, "pairs", "name", "value", ["k"])
-
-
-# --- the graph over all of lineitem: the queries above keep to the lines that their SQL names ---
-
-
-def _all_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Identifier pairs: an order and its customer, an order and all of its suppliers."""
-    return _edges(spark, sf_dir, "true")
-
-
-def _all_lines(sql: str) -> str:
-    return sql.replace(" WHERE l_tax = 0 AND l_discount = 0 AND l_linenumber < 3", "")
-
-
-def _over_all(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    """The query of that name over all edges."""
-    of = QUERIES[name]
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return of(spark, sf_dir, _all_edges)
-
-    run.__name__, run.__doc__ = f"{name}_all", of.__doc__
-    return run
-
-
-for _name in ("graph_edges", "graph_filters", "graph_conflicts", "graph_append", "graph_gate", "graph_decay"):
-    query(_all_lines(SQL[_name]))(_over_all(_name))
-
-
-@query(f"""WITH RECURSIVE {_all_lines(_EDGES)}, few AS (SELECT * FROM agg WHERE last_seen IS NULL OR date_diff('day', last_seen, TIMESTAMP '2001-09-01') <= CASE WHEN a_type = 'customer' THEN 1000 ELSE 400 END),
-links AS (SELECT a_type || ':' || a_value AS u, b_type || ':' || b_value AS v FROM few UNION SELECT b_type || ':' || b_value, a_type || ':' || a_value FROM few),
-keyed AS (SELECT DISTINCT u, CASE split_part(u, ':', 1) WHEN 'customer' THEN '1' WHEN 'supplier' THEN '2' ELSE '3' END || u AS k FROM links),
-reach(u, k) USING KEY (u) AS (SELECT u, k FROM keyed UNION SELECT l.v, min(r.k) FROM reach r JOIN links l ON r.u = l.u JOIN recurring.reach c ON c.u = l.v WHERE r.k < c.k GROUP BY l.v),
-best AS (SELECT u, substr(k, 2) AS root FROM reach)
-SELECT split_part(u, ':', 1) AS node_type, split_part(u, ':', 2) AS node_value, split_part(root, ':', 1) AS root_type, split_part(root, ':', 2) AS root_value,
- 'ent_' || left(translate(to_base64(unhex(sha256(root))), '+/=', '-_'), 16) AS entity_id, count(*) OVER (PARTITION BY root) AS cluster_size FROM best""")
-def graph_entities_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entities over all edges that are recent enough for their types, suppliers' too."""
-    recent = graph.in_influence(graph.aggregate_edges(_all_edges(spark, sf_dir)), F.lit("2001-09-01").cast("timestamp"), {"customer": 1000, "order": -1, "supplier": 400})
-    return graph.stitch(recent, {"customer": 1, "supplier": 2, "order": 3}, 0.0)

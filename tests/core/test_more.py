@@ -55,12 +55,11 @@ def test_paged_reader(spark):
 
 
 def test_stitch_all_lines(spark, sf):
-    from sluicework.plans import reports
-    from sluicework.plans.queries import read
+    from sluicework.plans.queries import QUERIES, _edges, read
 
     lines = read(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").distinct().count()
-    assert reports.QUERIES["graph_edges_all"](spark, sf).where("b_type = 'supplier'").count() == lines
-    recent = graph.in_influence(graph.aggregate_edges(reports._all_edges(spark, sf)), F.lit("2001-09-01").cast("timestamp"), {"customer": 1000, "order": -1, "supplier": 400}).collect()
+    assert QUERIES["graph_edges"](spark, sf).where("b_type = 'supplier'").count() == lines
+    recent = graph.in_influence(graph.aggregate_edges(_edges(spark, sf)), F.lit("2001-09-01").cast("timestamp"), {"customer": 1000, "order": -1, "supplier": 400}).collect()
     root = {}
 
     def find(x):
@@ -73,5 +72,5 @@ def test_stitch_all_lines(spark, sf):
         a, b = sorted((find((r.a_type, r.a_value)), find((r.b_type, r.b_value))), key=lambda x: (rank(x)[0], ":".join(x)))
         root[b] = a
     assert any(r.b_type == "supplier" for r in recent)
-    got = {(r.node_type, r.node_value): (r.root_type, r.root_value) for r in reports.graph_entities_all(spark, sf).collect()}
+    got = {(r.node_type, r.node_value): (r.root_type, r.root_value) for r in QUERIES["graph_entities"](spark, sf).collect()}
     assert got == {x: find(x) for x in root}
