@@ -137,7 +137,7 @@ def _normal_equations(labelled: DataFrame, model: Model) -> tuple[np.ndarray, np
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"i": rows["i"].iloc[:1], "sums": [np.sum(np.stack(rows["sums"].to_numpy()), axis=0)]})
 
-    # ceil(rows / 50,000) partitions, so what is added up is bounded by MOST_LABELLED and not by the input's files
+    # MOST_LABELLED / 50,000 partitions at most, so what is added up is bounded by it and not by the input's files
     parts = labelled.coalesce(max(1, -(-MOST_LABELLED // 50_000))).mapInPandas(run, "i int, sums array<double>")
     rows = parts.groupBy("i").applyInPandas(add, "i int, sums array<double>").orderBy("i").collect()
     total = np.array([r["sums"] for r in rows])
