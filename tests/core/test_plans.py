@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+import sluicework.plans.aggregates
 import sluicework.plans.controls
 import sluicework.plans.loads
 import sluicework.plans.reports  # noqa: F401
