@@ -58,8 +58,7 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for made in _SCOPES.pop():
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made)
-            _delete(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path)
+            remove(spark, made)
 
 
 def _delete(fs, top) -> None:
@@ -79,6 +78,12 @@ def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that ``shared_dir`` gave, when nothing will read it again."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    _delete(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps whose results have been written: it does so when their frames are collected."""
     gc.collect()
