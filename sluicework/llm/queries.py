@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluicework.llm import chat_tools, decontamination, host_rules, html_extraction, jaccard_join, line_dedup, mixing, quality_classifier, suffix_dedup, token_output
+from sluicework.llm import centroid_clustering, chat_tools, decontamination, embedding_whitening, host_rules, html_extraction, jaccard_join, line_dedup, mixing, quality_classifier, simhash, suffix_dedup, token_output
 
 QUERIES = {
     "op1_quality": quality_classifier.op1_quality,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_host_rules": host_rules.op8_host_rules,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
+    "op11_centroid_clustering": centroid_clustering.op11_centroid_clustering,
+    "op12_simhash": simhash.op12_simhash,
+    "op13_embedding_whitening": embedding_whitening.op13_embedding_whitening,
 }
 
 SQL = {
@@ -22,4 +25,5 @@ SQL = {
     "op4_tool_linking": chat_tools.OP4_SQL,
     "op8_host_rules": host_rules.OP8_SQL,
     "op9_jaccard_join": jaccard_join.OP9_SQL,
+    "op11_centroid_clustering": centroid_clustering.OP11_SQL,
 }

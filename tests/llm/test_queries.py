@@ -12,7 +12,7 @@ from sluicework.llm.queries import QUERIES, SQL
 @pytest.mark.parametrize("name", SQL)
 def test_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "pages", "benchmark", "conversations"):
+    for t in ("documents", "labels", "pages", "benchmark", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     want = con.sql(SQL[name]).df()
     columns = sorted(want.columns)
