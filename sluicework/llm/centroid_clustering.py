@@ -177,7 +177,7 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op11_sql() -> str:
     """Every round as a step: all distances, the nearest by (distance, number), then floors of means."""
     steps = [
-        f"kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, c -> CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings WHERE len(embedding) = {DIMS} AND len(list_filter(embedding, c -> c IS NOT NULL AND isfinite(c))) = {DIMS})",
+        f"kept AS MATERIALIZED (SELECT vec_id, [TRY_CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS x FROM embeddings WHERE len(embedding) = {DIMS} AND len([c FOR c IN embedding IF c IS NOT NULL AND isfinite(c)]) = {DIMS})",
         f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id)) - 1 AS k, x AS c FROM kept ORDER BY sha256('{SEED}:' || vec_id) LIMIT {CLUSTERS})",
     ]
     for i in range(ROUNDS + 1):
