@@ -1,13 +1,21 @@
 """Main text of web pages by consensus paths of their hosts.
 
 1. Each page is scanned into blocks of text, each with the innermost element around it; elements know their parents.
-   Menus, footers, sidebars, forms, scripts, styles and hidden elements are left out by tag, role and attribute, and
+   Menus, footers, sidebars, controls, scripts, styles and hidden elements are left out by tag, role and attribute, and
    headers unless an article or main element holds them.
-2. Names of classes and ids give hints. A name that only has words for adverts, notices, comments and the like
-   (``cookie-notice``, ``comments``, ``ad-slot``; not ``related-work``) is a strong hint, and its blocks are left out. One such
-   word that also names content (``related``, ``privacy``) is a weak hint, on a grouping element only: its blocks are left out if
-   half of their text or more is links, or if other texts of the host repeat them, by votes that Spark counts.
-   Where hints would leave a tenth of a page's text or less, the page takes none.
+2. Elements whose class or id only has words for what isn't the main text (``cookie-notice``, ``ad-slot``; not ``related-work``), and
+   forms, are judged one by one, by what they hold and never by their share of the page:
+
+   - reader comments go, unless they hold a main element; on paragraphs and the like the name counts only where two
+     or more have it, as one alone may be the author's;
+   - adverts, notices and the like go, unless they hold an article or main element with text;
+   - buttons for sharing go, unless they hold a sentence, no controls, and less than half of their text is links;
+   - one word that also names content (``related``, ``privacy``), on a grouping element: it goes if half of its text or more is links;
+   - a form goes, unless it holds an article or main element, a title or a hundred characters for each of its controls, as a
+     form around the whole page does.
+
+   What is kept under a name of the last but one and the one before is left out where other texts of the host repeat it, by votes that Spark counts.
+   If nothing at all would be left, the one element but comments that holds most is kept, with those around it.
 3. Containers are scored by the text below them that isn't link text; from the top, the best
    container is the deepest that still holds most of its parent's score, and the title if the parent
    has one; an article isn't taken apart, nor is text that is nested step by step.
@@ -42,21 +50,28 @@ from sluicework.llm.common import bounded_batches, materialize, table
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow msup msub mfrac msqrt".split())
-LEFT_OUT = frozenset("nav footer aside form button select option datalist script style noscript template iframe object svg canvas audio video head title dialog menu fieldset".split())
+LEFT_OUT = frozenset("nav footer aside button select option datalist script style noscript template iframe object svg canvas audio video head title dialog menu".split())
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 STRONG = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored consent gdpr popup modal overlay newsletter subscribe subscription signup login paywall sidebar nav navbar breadcrumb "
-    "breadcrumbs toolbar masthead topbar share sharing outbrain taboola pagination pager comment comments commentlist respond replies disqus skip".split()
+    "breadcrumbs toolbar masthead topbar outbrain taboola pagination pager skip".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist commentform commenter commenters respond replies disqus".split())
+SHARE_WORDS = frozenset("share sharing".split())
 WEAK = frozenset("alert aside banner cookie cookies disclaimer discussion footer header hidden menu menus navigation notice notices privacy promo promotion recommendations recommended related social tags widget widgets".split())
 #: Words that say what an element is for its layout only.
 NEUTRAL = frozenset(
     "a area bar block body bottom box btn button buttons center col column container count div first form group icon icons id inner item items label last layout left link links list main module outer panel post posts region right row section "
     "site slot page top title unit wrap wrapper".split()
 )
-STRONG_STARTS = ("advert", "sponsor", "comment", "newsletter", "breadcrumb", "navbar")
+STRONG_STARTS = ("advert", "sponsor", "newsletter", "breadcrumb", "navbar")
 GROUPING = frozenset("div section ul ol dl table tbody tr td center main article".split())
-CONTAINERS = frozenset("html body main article section div td table tbody tr center blockquote".split())
+CONTAINERS = frozenset("html body main article section div td table tbody tr center blockquote form".split())
+#: What a form can ask with, and single pieces of text, which share a name with others of their kind where it is a list's.
+CONTROLS = frozenset("input button select textarea".split())
+PIECES = frozenset("p pre blockquote figure figcaption address".split())
+#: What the name of an element says of it.
+NOTHING, DOUBTFUL, SHARING, STRONG_HINT, COMMENTS, FORM = range(6)
 #: Elements of one kind that end when the next begins.
 _CLOSES = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 #: How much of a container's score one below it needs, to be taken instead.
@@ -66,6 +81,8 @@ OWN = 0.2
 BOOST = {"article": 3.0, "main": 2.0}
 #: How much of the own best container's score the host's path has to hold on a page, and of the host's votes the path.
 SHARE, LEAST_VOTES = 0.5, 0.2
+#: Characters that a form needs for each control, to be more than a form; and a sentence, at least.
+FORM_TEXT, SENTENCE = 100, 30
 #: Texts of a host that have to have a block, for it to be a repeated one.
 REPEATED = 3
 
@@ -84,14 +101,15 @@ class Block:
 
 @dataclass(slots=True)
 class Page:
-    """Blocks of text, and the elements around them by number, parents first: tag, parent, hash of the generalised path, hint."""
+    """Blocks of text, and the elements around them by number, parents first: tag, parent, hash of the generalised path, what the name says, controls right in it."""
 
     blocks: list[Block] = field(default_factory=list)
     tags: list[str] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
     names: list[str] = field(default_factory=list)
     keys: list[bytes] = field(default_factory=list)
-    hints: list[int] = field(default_factory=list)  # 0 for none, or the least number of a hinted element around, counted from 1, negative if strong
+    kinds: list[int] = field(default_factory=list)
+    controls: list[int] = field(default_factory=list)
 
     def path(self, at: int) -> str:
         """The generalised path of an element, to be read; the middle of a very deep one is cut."""
@@ -115,24 +133,30 @@ def _attributes(text: str) -> dict[str, str]:
 
 def left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     """Whether an element is none of the main text, by its tag, role and attributes."""
+    if tag == "aside" and in_article and any(w.endswith("quote") for w in _name_words(attributes)):
+        return False
     if tag in LEFT_OUT or tag == "header" and not in_article or attributes.get("role", "").lower() in LEFT_OUT_ROLES:
         return True
     return bool(attributes) and ("hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")) is not None)
 
 
+def _name_words(attributes: dict[str, str]) -> list[str]:
+    return [w.lower() for w in _NAME_WORDS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")]
+
+
 def hint(tag: str, attributes: dict[str, str]) -> int:
-    """2 if a class or id of an element is a strong hint, 1 if a weak one, else 0."""
-    found = 0
-    if tag in ("html", "body", "main", "article"):
-        return 0
+    """What the classes and the id of an element say of it; the most that one of them says."""
+    found = NOTHING
+    if tag in ("html", "body", "main"):
+        return found
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
-        words = [w.lower() for w in _NAME_WORDS.findall(name)]
-        said = [w for w in words if w not in NEUTRAL and not w.isdigit()]
-        strong = sum(w in STRONG or w.startswith(STRONG_STARTS) for w in said)
-        weak = sum(w in WEAK for w in said)
-        if said and strong + weak == len(said):
-            found = max(found, 2 if strong or weak > 1 else 1 if tag in GROUPING else 0)
-    return found
+        said = [w for w in _name_words({"id": name}) if w not in NEUTRAL and not w.isdigit()]
+        comment, share = sum(w in COMMENT_WORDS for w in said), sum(w in SHARE_WORDS for w in said)
+        strong, weak = sum(w in STRONG or w.startswith(STRONG_STARTS) for w in said), sum(w in WEAK for w in said)
+        if not said or comment + share + strong + weak < len(said):
+            continue
+        found = max(found, COMMENTS if comment else STRONG_HINT if strong or weak + share > 1 else SHARING if share else DOUBTFUL if tag in GROUPING else NOTHING)
+    return found if tag != "article" or found == COMMENTS else NOTHING
 
 
 def scan(source: str) -> Page:
@@ -197,6 +221,8 @@ def scan(source: str) -> Page:
             elif tag not in INLINE:
                 flush()
             continue
+        if tag in CONTROLS and here >= 0:
+            page.controls[here] += tag != "input" or not re.search(r"type\s*=\s*[\"']?hidden", found[3] or found[6] or "", re.I)
         if tag in VOID:
             if tag == "hr":
                 flush()
@@ -209,7 +235,7 @@ def scan(source: str) -> Page:
             continue
         given = _attributes(found[3] or found[6] or "")
         if tag in INLINE:
-            push(tag, -1, bool(given) and (left_out(tag, given, True) or hint(tag, given) > 1))
+            push(tag, -1, bool(given) and (left_out(tag, given, True) or hint(tag, given) == STRONG_HINT))
             continue
         if tag in _CLOSES and (i := open_above(tag, *_CLOSES[tag])) >= 0:
             pop(i)
@@ -218,12 +244,13 @@ def scan(source: str) -> Page:
         flush()
         number, classes = len(page.tags), given.get("class", "").split()
         name = tag + ("." + _DIGITS.sub("#", classes[0]) if classes else "")
-        around, told = page.hints[here] if here >= 0 else 0, hint(tag, given) if given else 0
+        told = hint(tag, given) if given else NOTHING
         page.tags.append(tag)
         page.parents.append(here)
         page.names.append(name)
         page.keys.append(hashlib.blake2b((page.keys[here] if here >= 0 else b"") + name.encode("utf-8", "replace"), digest_size=16).digest())
-        page.hints.append(around if around < 0 or around and told < 2 else -(number + 1) if told > 1 else number + 1 if told else 0)
+        page.kinds.append(FORM if tag in ("form", "fieldset") and told < STRONG_HINT else told)
+        page.controls.append(0)
         here = number
         push(tag, number, left_out(tag, given, bool(places["article"] or places["main"])))
     text(source[at:])
@@ -231,12 +258,70 @@ def scan(source: str) -> Page:
     return page
 
 
-def hinted(page: Page) -> list[int]:
-    """Of each block the hint: 0, or the number of its element from 1, negative if strong; none where hints would leave a tenth of the text or less."""
-    hints = [page.hints[b.at] if b.at >= 0 else 0 for b in page.blocks]
-    value = [len(b.text) - b.links for b in page.blocks]
-    free = sum(v for v, h in zip(value, hints, strict=True) if h >= 0)
-    return [0] * len(hints) if 10 * free <= sum(value) else hints
+def judged(page: Page) -> list[int]:
+    """Of each block: -1 if it is left out, 0 if not, or the number, from 1, of the element around it that goes where the host repeats the block."""
+    n = len(page.tags)
+    if not any(page.kinds):
+        return [0] * len(page.blocks)
+    text, links, controls = [0] * n, [0] * n, page.controls.copy()
+    says, title, main, article = [False] * n, [False] * n, [False] * n, [False] * n  # what there is in or below an element
+    for block in page.blocks:
+        if (at := block.at) >= 0:
+            text[at] += len(block.text)
+            links[at] += block.links
+            says[at] |= len(block.text) - block.links >= SENTENCE and block.text.rstrip("\"'”’»)")[-1:] in tuple(".!?…。")
+            title[at] |= page.tags[at] == "h1"
+    for number in range(n - 1, -1, -1):
+        if text[number] and page.kinds[number] != COMMENTS:
+            main[number] |= page.tags[number] == "main"
+            article[number] |= page.tags[number] == "article"
+        if (up := page.parents[number]) >= 0:
+            text[up] += text[number]
+            links[up] += links[number]
+            controls[up] += controls[number]
+            says[up] |= says[number]
+            title[up] |= title[number]
+            main[up] |= main[number]
+            article[up] |= article[number]
+    alike: dict[str, int] = defaultdict(int)
+    for name, kind in zip(page.names, page.kinds, strict=True):
+        alike[name] += kind == COMMENTS
+
+    def goes(k: int) -> bool:
+        kind, linked = page.kinds[k], 2 * links[k] >= text[k]
+        if kind == COMMENTS:
+            return not main[k] and (page.tags[k] not in PIECES or alike[page.names[k]] > 1)
+        if kind == STRONG_HINT:
+            return not (main[k] or article[k])
+        if kind == SHARING:
+            return linked or controls[k] > 0 or not says[k]
+        if kind == FORM:
+            return not (main[k] or article[k] or title[k] or text[k] - links[k] >= FORM_TEXT * controls[k])
+        return kind == DOUBTFUL and linked
+
+    gone = [goes(k) for k in range(n)]
+
+    def of_blocks() -> list[int]:
+        told = [0] * n
+        for k, up in enumerate(page.parents):
+            above = told[up] if up >= 0 else 0
+            told[k] = -1 if above < 0 or gone[k] else above or (k + 1 if page.kinds[k] in (DOUBTFUL, SHARING) else 0)
+        return [told[b.at] if b.at >= 0 else 0 for b in page.blocks]
+
+    out = of_blocks()
+    if not any(t >= 0 and len(b.text) > b.links for t, b in zip(out, page.blocks, strict=True)):
+        nearest, held = [-1] * n, defaultdict(int)  # the innermost element around that goes; none below comments
+        for k, up in enumerate(page.parents):
+            lost = up >= 0 and nearest[up] == -2 or gone[k] and page.kinds[k] == COMMENTS
+            nearest[k] = -2 if lost else k if gone[k] else nearest[up] if up >= 0 else -1
+        for b in page.blocks:
+            if b.at >= 0 and nearest[b.at] >= 0:
+                held[nearest[b.at]] += len(b.text) - b.links
+        k = max(held, key=lambda x: (held[x], -x), default=-1)
+        while k >= 0:
+            gone[k], k = False, page.parents[k]
+        out = of_blocks()
+    return out
 
 
 def best_container(page: Page) -> tuple[int, list[float]]:
@@ -251,7 +336,7 @@ def best_container(page: Page) -> tuple[int, list[float]]:
         boost[number] = boost[parent] if parent >= 0 and boost[parent] > 1.0 else BOOST.get(tag, 1.0)
         if chain[number]:
             inner[parent].append(number)
-    for block, told in zip(page.blocks, hinted(page), strict=True):
+    for block, told in zip(page.blocks, judged(page), strict=True):
         if told >= 0:
             score[home[block.at] if block.at >= 0 else -1] += (len(block.text) - block.links) * (boost[block.at] if block.at >= 0 else 1.0)
             titles[block.at] += block.at >= 0 and page.tags[block.at] == "h1"
@@ -282,11 +367,11 @@ def digest(text: str) -> int:
 
 
 def main_path(source: str) -> tuple[bytes, str, int, list[int]]:
-    """Of a page's best container the path's hash (empty for the page itself), the path and its depth; and the hashes of weakly hinted blocks there."""
+    """Of a page's best container the path's hash (empty for the page itself), the path and its depth; and the hashes of the blocks there in doubt."""
     page = scan(source)
     at, _ = best_container(page)
     inside = page.below({at}) if at >= 0 else [True] * len(page.tags)
-    weak = {digest(b.text) for b, told in zip(page.blocks, hinted(page), strict=True) if told > 0 and inside[b.at]}
+    weak = {digest(b.text) for b, told in zip(page.blocks, judged(page), strict=True) if told > 0 and inside[b.at]}
     depth, up = 0, at
     while up >= 0:
         depth, up = depth + 1, page.parents[up]
@@ -303,13 +388,9 @@ def main_text(source: str, key: bytes | None, repeated: list[int] | None = None)
         tops = [n for n, yes in enumerate(on) if yes and not (page.parents[n] >= 0 and on[page.parents[n]])]
         if sum(score[n] for n in tops) >= SHARE * score[at] and tops and any(score[n] > 0 for n in tops):
             at, inside = tops[0], on
-    hints, linked, whole, often = hinted(page), defaultdict(int), defaultdict(int), set(repeated or ())
-    for block, told in zip(page.blocks, hints, strict=True):
-        linked[told] += block.links
-        whole[told] += len(block.text)
-    blocks = []
-    for block, told in zip(page.blocks, hints, strict=True):
-        if (at < 0 or block.at >= 0 and inside[block.at]) and told >= 0 and not (told > 0 and (2 * linked[told] >= whole[told] or digest(block.text) in often)):
+    often, blocks = set(repeated or ()), []
+    for block, told in zip(page.blocks, judged(page), strict=True):
+        if (at < 0 or block.at >= 0 and inside[block.at]) and told >= 0 and not (told > 0 and digest(block.text) in often):
             blocks.append(block.text)
     return "\n".join(blocks)
 

@@ -444,13 +444,22 @@ class ArticleText(HTMLParser):
             self.now += data
 
 
+def in_form(source):
+    """The page as some servers send it: all of the body in one form."""
+    return source.replace("<body>", "<body><form method=post action=x><input type=hidden name=state value=1><div><input name=q><input type=submit></div>").replace("</body>", "</form></body>")
+
+
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
 def test_html_against_standard_parser(spark, folder):
     rows = table(spark, f"/root/testdata/{folder}", "pages").select("page_id", "html").collect()
     got = {r.page_id: r.text for r in html_extraction.op7_html_extraction(spark, f"/root/testdata/{folder}").collect()}
-    with_article = [r for r in rows if r.html and "<article" in r.html and "</article>" in r.html]
+    with_article = [r for r in rows if r.html and "<article" in r.html]
     assert len(got) == len(rows) and len(with_article) > 0.8 * len(rows)
     assert all(got[r.page_id] == "\n".join(ArticleText(r.html).blocks) for r in with_article)
+    # the same pages without article elements, and in a form
+    plain = spark.createDataFrame([(r.page_id, f"https://h{r.page_id % 5}.example/", form(r.html.replace("<article", "<div").replace("</article", "</div"))) for r in with_article for form in (str, in_form)], "page_id long, url string, html string")
+    texts = {r.page_id: "\n".join(ArticleText(r.html).blocks) for r in with_article}
+    assert all(r.text == texts[r.page_id] for r in html_extraction.extract(plain).collect())
 
 
 def test_html_keeps_articles():
@@ -461,7 +470,58 @@ def test_html_keeps_articles():
         assert len(text(f"<article>{body}{kept}</article>").split("\n")) == 2, kept
     for gone in ("<div class=ad>Buy</div>", "<div class='cookie-notice'>We use</div>", "<section id=comments><p>First!</p></section>", "<div class='social-share'>Tell</div>", "<footer>By us</footer>", "<div class='related'><a href=x>more</a></div>", "<p>a<span class=advert>Buy</span></p>"):
         assert "\n" not in text(f"<article>{body}{gone}</article>").replace("\na", ""), gone
-    assert text(f"<div class='ads'>{body * 9}</div>").count("\n") == 8  # hints that would leave nothing count for nothing
+    assert text(f"<div class='ads'>{body * 9}</div>").count("\n") == 8  # what alone holds the text is kept
+
+
+COMMENTS = [
+    ("<section id=comments>{}</section>", "<div class=comment><b>Reader</b><p>I read this {}, and it made me write at some length.</p></div>"),
+    ("<h2 class=comments>Replies</h2><ol class=commentlist>{}</ol>", "<li class='comment odd'><article class=comment-body><h3 class=commenter>Reader</h3><p>I read this {}.</p></article>"),
+    ("<div class='comments-area'><h1>Thread</h1>{}</div>", "<article><p>I read this {}, all of it.</p></article>"),
+    ("<div>{}</div>", "<p class=comment>I read this {}, and it made me write at some length.</p>"),
+]
+
+
+@pytest.mark.parametrize("around, each", COMMENTS)
+@pytest.mark.parametrize("inside", [True, False])
+@pytest.mark.parametrize("story", ["<article>{}{}</article>", "<div class=story>{}{}</div>", "<main>{}{}</main>"])
+def test_html_comments_never_count(around, each, inside, story):
+    """However many there are, wherever they stand."""
+    body = "<p>A story of one paragraph, long enough to be told and short enough for a test.</p>"
+    for n in (2, 5, 9, 40, 400):
+        thread = around.format("".join(each.format(i) for i in range(n)))
+        page = f"<html><body>{story.format(body, thread if inside else '')}{'' if inside else thread}</body></html>"
+        assert html_extraction.main_text(page, None) == body[3:-4], (n, page[:300])
+
+
+def test_html_judges_each_element():
+    text = lambda x: html_extraction.main_text(x, None)
+    body = "<p>A sentence of the body that is long enough to count.</p>"
+    many = lambda kept: text(f"<article>{body}{kept}</article>").count("\n")
+    for kept in (
+        "<p class=comment>One comment of the author, who wrote the story.</p>",
+        "<div class=share><p>We share the results of our work with all who ask.</p></div>",
+        "<div class=commentary><p>What this means.</p></div>",
+        "<aside class=pull-quote>A sentence of the body</aside>",
+        "<pre><code><span class=comment># a comment of the code</span> x = 1</code></pre>",
+    ):
+        assert many(kept) == 1, kept
+    for gone in (
+        "<div class=share>Tell your friends <a href=x>here</a></div>",
+        "<div class=share><p>Send this story to all of your many friends.</p><input name=to></div>",
+        "<aside>At the side</aside>",
+        "<form><p>Your mail, and we write to you every week.</p><input name=mail><button>Go</button></form>",
+        "<form><label>Name</label><input name=a><fieldset>Street<input name=b></fieldset></form>",
+        "<div class='sponsored ad'><p>Buy these. They are the best of all that you can buy.</p></div>",
+    ):
+        assert many(gone) == 0, gone
+    for n in (1, 9, 90):  # an advert is one at any length, and a page's wrapper is none
+        assert text(f"<div class=story>{body}</div><div class=ad>{'<p>Buy this, and then buy it again, as often as you can.</p>' * n}</div>") == body[3:-4]
+        assert text(f"<div class=modal><article>{body}</article></div><p>{'outside ' * n}</p>").startswith(body[3:-4])
+    assert text(f"<form><input type=hidden><input name=q><article>{body}</article></form>") == body[3:-4]
+    assert text(f"<form><input name=q><h1>Title</h1>{body}</form>") == f"Title\n{body[3:-4]}"
+    assert text("<section id=comments><div class=comment>Only these</div></section>") == ""
+    assert text(f"<form>{body}<input name=a><input name=b></form>") == body[3:-4]  # there is nothing else
+    assert text("<div class=ads>" * 20_000 + body) == body[3:-4]
 
 
 def test_html_host_path_and_own(spark):
