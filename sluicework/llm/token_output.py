@@ -10,6 +10,13 @@ repeated rows keep an entry each. Layout below ``path``:
 ``index-N-A.mph``     for each bucket of keys a minimal perfect hash function and, at each of its
                       slots, a fingerprint of the key, the shard, its attempt, the offset and the number of ids.
 ``buckets/``          Parquet, a row per bucket: its attempt and its number of keys.
+``manifest.json``     written last: what a reader needs to know; an output without it isn't finished.
+
+A path that the caller gives is kept; without one the output is scratch, below the session's shared folder, and goes
+when the driver ends. An output is written once: a path that holds one already is an error. ``Reader`` opens a finished output without
+Spark and reads single documents; the time for one doesn't depend on the output's size: each level's
+bits are kept in blocks of 512 with the rank of the first, so a key takes a read of 72 bytes for each level it meets (1.6 on average),
+one of its entry and one of its ids.
 
 A is the attempt of the task that wrote a file. A task that runs again, after a lost executor or by
 speculation, writes a file of its own; Spark commits the rows of one attempt only, and only the files
@@ -20,21 +27,25 @@ agree in the first half, the bucket's function takes another mix of both halves.
 entries out are counted, and a difference is an error.
 
 Edge cases: a null text counts as empty and has the end id only; null ids sort first and have
-copy numbers as other ids have; ties and repeated rows are ordered by a hash of the text; very long
-texts are encoded one at a time; an empty table gives no shard and no row; other columns are ignored.
+copy numbers as other ids have; ties and repeated rows are ordered by a hash of the text and, where they are alike, by where they
+were read, and may lie in several shards; very long texts are encoded one at a time; an empty table gives no shard and no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.dataset as pads
+import xxhash
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -52,6 +63,9 @@ SHARD_BYTES = 512 << 20
 MOST_SEEDS = 16
 _BUCKET = "bucket int, built long, n_keys long"
 _WHERE = "shard int, attempt long, offset long, n_tokens long"
+#: Bits of a level that share a rank: how many bits are set before them, at all levels.
+BLOCK_BITS = 512
+_RANKED = np.dtype([("rank", "<i8"), ("bits", "u1", BLOCK_BITS // 8)])
 _ENTRY = np.dtype([("fingerprint", "<u8"), ("shard", "<i4"), ("attempt", "<i8"), ("offset", "<i8"), ("n", "<i8")])
 
 # --- encoding ------------------------------------------------------------------------------
@@ -170,18 +184,20 @@ def index_name(bucket: int, attempt: int) -> str:
 def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode whole texts, append ``end_id`` to each, and write shards in ascending key order below ``path``.
 
-    Rows are dealt by ranges of the id, so a shard is one task's ids, streamed to its file as they
-    come; there are as many as ``shard_bytes`` asks for, and at least as Spark has shuffle partitions.
+    Rows are dealt by ranges of the id, the text's hash and the place they were read at, so a shard is one task's ids, streamed to its file as they
+    come, and an id that many rows share takes several; there are as many as ``shard_bytes`` asks for, and at least as Spark has shuffle partitions.
+    Copies are numbered within shards first; then those of ids that begin in an earlier shard are moved up.
     Returns the metadata: doc_id, copy, shard, attempt, offset, n_tokens.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     fs, root = _place(path)
     fs.create_dir(root, recursive=True)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), F.spark_partition_id().alias("read_at"))
     n_bytes = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n_shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // shard_bytes))
-    rows = rows.repartitionByRange(n_shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("read_at"))
+    rows = rows.repartitionByRange(n_shards, *order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = (b for b in batches if b.num_rows)
@@ -212,10 +228,28 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         yield from done
 
     schema = f"doc_id long, copy long, {_WHERE}"
-    rows.mapInArrow(write, schema).write.parquet(f"{path}/meta")
+    wrote = materialize(rows.mapInArrow(write, schema), "wrote")
+    wrote.join(F.broadcast(_copies_before(wrote)), F.col("shard").eqNullSafe(F.col("in_shard")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left").select(
+        "doc_id", (F.col("copy") + F.coalesce("before", F.lit(0))).alias("copy"), "shard", "attempt", "offset", "n_tokens"
+    ).write.parquet(f"{path}/meta")
     return spark.read.schema(schema).parquet(f"{path}/meta")
 
 
+def _copies_before(wrote: DataFrame) -> DataFrame:
+    """For an id that goes on from an earlier shard, how many rows of it lie there: in_shard, of_id, before.
+
+    Only the first and the last id of a shard can be in another one, too, so this is a row per shard at most.
+    """
+    at = F.struct(F.col("offset"))
+    ends = wrote.groupBy("shard").agg(*(f(F.struct("doc_id", (F.col("copy") + 1).alias("n")), at).alias(name) for f, name in ((F.min_by, "first"), (F.max_by, "last"))))
+    ends = ends.withColumn("whole", F.col("first.doc_id").eqNullSafe(F.col("last.doc_id")))
+    last = ends.select("shard", F.col("last.doc_id").alias("of_id"), F.col("last.n").alias("n"), F.lit(False).alias("goes_on"))
+    first = ends.where(~F.col("whole")).select("shard", F.col("first.doc_id").alias("of_id"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("goes_on"))
+    earlier = Window.partitionBy("of_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    both = last.unionByName(first).withColumn("before", F.sum("n").over(earlier))
+    return both.where("before > 0").select(F.col("shard").alias("in_shard"), "of_id", "before")
+
+
 # --- the minimal perfect hash function -----------------------------------------------------
 
 
@@ -273,25 +307,69 @@ def pack_index(keys: np.ndarray, entries: np.ndarray) -> bytes:
     by_slot = np.empty(len(own), _ENTRY)
     by_slot[mph_slots(own, levels, left)] = entries
     head = np.array([len(levels), len(left), len(own), seed, *map(len, levels)], "<i8")
-    return b"".join([head.tobytes(), *(np.packbits(x, bitorder="little").tobytes() for x in levels), left.astype("<u8").tobytes(), by_slot.tobytes()])
-
-
-def unpack_index(data: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, int]:
+    return b"".join([head.tobytes(), *(x.tobytes() for x in _ranked(levels)), left.astype("<u8").tobytes(), by_slot.tobytes()])
+
+
+def _ranked(levels: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The bits of each level in blocks, each with the number of bits that are set before it."""
+    before = 0
+    for bits in levels:
+        out = np.zeros(-(-len(bits) // BLOCK_BITS), _RANKED)
+        out["bits"] = np.packbits(np.pad(bits, (0, len(out) * BLOCK_BITS - len(bits))), bitorder="little").reshape(len(out), -1)
+        counts = np.bitwise_count(out["bits"]).sum(axis=1, dtype=np.int64)
+        out["rank"] = before + np.cumsum(counts) - counts
+        before += int(counts.sum())
+        yield out
+
+
+class Index(NamedTuple):
+    """A bucket's function and entries: bits a level has, their blocks, keys that no level settled, entries by slot, seed."""
+
+    sizes: list[int]
+    levels: list[np.ndarray]
+    left: np.ndarray
+    entries: np.ndarray
+    seed: int
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key; for a key that isn't in the set, some slot or -1."""
+        slots, open_ = np.full(len(keys), -1, np.int64), np.arange(len(keys))
+        for level, (size, blocks) in enumerate(zip(self.sizes, self.levels, strict=True)):
+            if not len(open_):
+                break
+            at = _position(keys[open_], level, size)
+            hit, slot = _settled(blocks[at // BLOCK_BITS], at % BLOCK_BITS)
+            slots[open_[hit]] = slot[hit]
+            open_ = open_[~hit]
+        if len(open_) and len(self.left):
+            at = np.minimum(np.searchsorted(self.left, keys[open_]), len(self.left) - 1)
+            found = self.left[at] == keys[open_]
+            slots[open_[found]] = len(self.entries) - len(self.left) + at[found]
+        return slots
+
+
+def _settled(blocks: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a bit of each block is set, and its rank."""
+    bits, byte, rows = blocks["bits"], bit // 8, np.arange(len(bit))
+    own = bits[rows, byte]
+    before = (np.bitwise_count(bits) * (np.arange(bits.shape[1]) < byte[:, None])).sum(axis=1, dtype=np.int64)
+    return (own >> (bit % 8).astype(np.uint8)) & 1 == 1, blocks["rank"] + before + np.bitwise_count(own & ((1 << bit % 8) - 1).astype(np.uint8))
+
+
+def unpack_index(data: bytes) -> Index:
     n_levels, n_left, n, seed = np.frombuffer(data, "<i8", 4).tolist()
     sizes, at, levels = np.frombuffer(data, "<i8", n_levels, 32).tolist(), 32 + 8 * n_levels, []
     for size in sizes:
-        width = (size + 7) // 8
-        levels.append(np.unpackbits(np.frombuffer(data, np.uint8, width, at), count=size, bitorder="little").astype(bool))
-        at += width
-    left = np.frombuffer(data, "<u8", n_left, at)
-    return levels, left, np.frombuffer(data, _ENTRY, n, at + 8 * n_left), seed
+        levels.append(np.frombuffer(data, _RANKED, -(-size // BLOCK_BITS), at))
+        at += levels[-1].nbytes
+    return Index(sizes, levels, np.frombuffer(data, "<u8", n_left, at), np.frombuffer(data, _ENTRY, n, at + 8 * n_left), seed)
 
 
 def find_keys(data: bytes, keys: np.ndarray, fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which keys an index bucket knows, and the entries of these."""
-    levels, left, entries, seed = unpack_index(data)
-    slots = mph_slots(_seeded(keys, fingerprints, seed), levels, left)
-    got = entries[np.maximum(slots, 0)]
+    index = unpack_index(data)
+    slots = index.slots(_seeded(keys, fingerprints, index.seed))
+    got = index.entries[np.maximum(slots, 0)]
     known = (slots >= 0) & (got["fingerprint"] == fingerprints)
     return known, got[known]
 
@@ -334,7 +412,7 @@ def write_index(meta: DataFrame, path: str, bucket_keys: int = BUCKET_KEYS) -> i
 def look_up(keys: DataFrame, path: str, n_buckets: int) -> DataFrame:
     """For keys (doc_id, copy), each one's shard, attempt, offset and n_tokens from the index; no row for an unknown key.
 
-    A key takes constant time: its bucket, its slot there, a comparison of fingerprints.
+    Keys are dealt by bucket, and a task reads the buckets it has keys of, one at a time.
     """
     columns = ["doc_id", "copy", "shard", "attempt", "offset", "n_tokens"]
 
@@ -375,14 +453,31 @@ def read_payloads(places: DataFrame, path: str, dtype: str) -> DataFrame:
     return places.repartition("shard").sortWithinPartitions("shard", "offset").mapInPandas(read, places.schema.add("ids_crc32", "long"))
 
 
+def write_output(docs: DataFrame, tokenizer: str, path: str) -> tuple[DataFrame, int]:
+    """Write shards, index and manifest of ``docs`` below ``path``; returns the metadata and the number of index buckets."""
+    if finished(path):
+        raise FileExistsError(f"{path} holds an output already")
+    meta = write_shards(docs, path, tokenizer)
+    n_buckets = write_index(meta, path)
+    known = {"n_buckets": n_buckets, "n_keys": meta.count(), "dtype": encoder(tokenizer).dtype, "end_id": 0, "tokenizer": os.path.basename(tokenizer)}
+    _put(path, "manifest.json", iter([json.dumps(known).encode()]))
+    return meta, n_buckets
+
+
+def finished(path: str) -> bool:
+    """Whether there is a whole output below ``path``."""
+    fs, root = _place(path)
+    return fs.get_file_info(f"{root}/manifest.json").type == pafs.FileType.File
+
+
 def token_output(docs: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:
     """Write shards and index of ``docs``, look every key up in the index and read its ids back.
 
+    The output stays below ``path``, a URI that driver and executors share; without one it goes when the driver ends.
     Returns doc_id, copy, shard, start (ids of all documents before it), n_tokens, ids_crc32.
     """
     path = path or f"{shared_dir(docs.sparkSession, keep=True)}/tokens"
-    meta = write_shards(docs, path, tokenizer)
-    n_buckets = write_index(meta, path)
+    meta, n_buckets = write_output(docs, tokenizer, path)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
     starts = meta.groupBy("shard").agg(F.sum("n_tokens").alias("total")).select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("shard_start"))
     places = materialize(look_up(meta, path, n_buckets), "places")
@@ -392,6 +487,72 @@ def token_output(docs: DataFrame, tokenizer: str, path: str | None = None) -> Da
     return read.join(starts, "shard").select("doc_id", "copy", "shard", (F.col("shard_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
+# --- single documents, without Spark -------------------------------------------------------
+
+
+def _hashed(seed: int, doc_id: int | None, copy: int) -> int:
+    """What ``_keyed`` makes of a key, as a signed number: each value's XXH64 is the seed of the next one's."""
+    for value, size in ((-1 if doc_id is None else doc_id, 8), (doc_id is None, 4), (copy, 8)):
+        seed = xxhash.xxh64_intdigest(int(value).to_bytes(size, "little", signed=True), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+class Reader:
+    """Single documents of a finished output, by key, in constant time."""
+
+    def __init__(self, path: str):
+        if not finished(path):
+            raise FileNotFoundError(f"there is no finished output in {path}")
+        self.fs, self.root = _place(path)
+        with self.fs.open_input_file(f"{self.root}/manifest.json") as f:
+            self.manifest = json.loads(f.read())
+        buckets = pads.dataset(f"{self.root}/buckets", filesystem=self.fs, format="parquet").to_table(columns=["bucket", "built"])
+        self.built = dict(zip(buckets.column("bucket").to_pylist(), buckets.column("built").to_pylist(), strict=True))
+        self.heads: dict[int, np.ndarray] = {}
+
+    def _entry(self, f, bucket: int, key: int, fingerprint: int) -> np.void | None:
+        if bucket not in self.heads:  # how long the levels are
+            self.heads[bucket] = np.frombuffer(f.read(32), "<i8")
+            self.heads[bucket] = np.append(self.heads[bucket], np.frombuffer(f.read(8 * int(self.heads[bucket][0])), "<i8"))
+        (n_levels, n_left, n, seed), sizes = self.heads[bucket][:4].tolist(), self.heads[bucket][4:].tolist()
+        own, base, slot = _seeded(np.array([key], np.uint64), np.array([fingerprint], np.uint64), seed), 32 + 8 * n_levels, -1
+        for level, size in enumerate(sizes):
+            at = _position(own, level, size)
+            f.seek(base + int(at[0]) // BLOCK_BITS * _RANKED.itemsize)
+            hit, rank = _settled(np.frombuffer(f.read(_RANKED.itemsize), _RANKED), at % BLOCK_BITS)
+            if hit[0]:
+                slot = int(rank[0])
+                break
+            base += -(-size // BLOCK_BITS) * _RANKED.itemsize
+        base = 32 + 8 * n_levels + sum(-(-size // BLOCK_BITS) * _RANKED.itemsize for size in sizes)
+        if slot < 0 and n_left:
+            f.seek(base)
+            left = np.frombuffer(f.read(8 * n_left), "<u8")
+            at = int(np.searchsorted(left, own[0]))
+            slot = n - n_left + at if at < n_left and left[at] == own[0] else -1
+        if slot < 0:
+            return None
+        f.seek(base + 8 * n_left + slot * _ENTRY.itemsize)
+        entry = np.frombuffer(f.read(_ENTRY.itemsize), _ENTRY)[0]
+        return entry if int(entry["fingerprint"]) == fingerprint else None
+
+    def get(self, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
+        """A document's ids with the end id, or nothing if the output has no such key."""
+        key, fingerprint = _hashed(42, doc_id, copy), _hashed(xxhash.xxh64_intdigest(b"fingerprint", 42), doc_id, copy)
+        bucket = (key >> 7) % self.manifest["n_buckets"]
+        if bucket not in self.built:
+            return None
+        mask = (1 << 64) - 1
+        with self.fs.open_input_file(f"{self.root}/{index_name(bucket, self.built[bucket])}") as f:
+            entry = self._entry(f, bucket, key & mask, fingerprint & mask)
+        if entry is None:
+            return None
+        dtype = np.dtype(self.manifest["dtype"])
+        with self.fs.open_input_file(f"{self.root}/{shard_name(int(entry['shard']), int(entry['attempt']))}") as f:
+            f.seek(dtype.itemsize * int(entry["offset"]))
+            return np.frombuffer(f.read(dtype.itemsize * int(entry["n"])), dtype)
+
+
 def default_tokenizer() -> str:
     """The public byte-level vocabulary that the query uses."""
     import public_tokenizers

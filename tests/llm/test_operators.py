@@ -357,8 +357,9 @@ def test_perfect_hash():
     entries = np.zeros(5000, token_output._ENTRY)
     entries["offset"] = np.arange(5000)
     entries["fingerprint"] = keys ^ np.uint64(5)
-    levels, left, slots, _ = token_output.unpack_index(token_output.pack_index(keys, entries))
-    assert slots["offset"][token_output.mph_slots(keys, levels, left)].tolist() == list(range(5000))
+    index = token_output.unpack_index(token_output.pack_index(keys, entries))
+    assert index.slots(keys).tolist() == token_output.mph_slots(keys, levels, left).tolist()
+    assert index.entries["offset"][index.slots(keys)].tolist() == list(range(5000))
 
 
 def test_colliding_keys():
@@ -393,6 +394,58 @@ def test_unknown_key(spark, odd_docs, tmp_path):
     assert sorted((r.doc_id or 0, r.copy) for r in token_output.look_up(asked, path, n).collect()) == [(0, 1), (1, 0)]
 
 
+def test_tokens_of_one_id_take_several_shards(spark, tmp_path):
+    """Rows of one id, null ids among them, and rows that are alike: dealt over shards, with copies numbered through."""
+    rows = [(None, f"text {i % 700} of none") for i in range(3000)] + [(7, "the same text")] * 2000 + [(i, f"own {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    docs.write.parquet(f"{tmp_path}/docs")
+    path = f"file://{tmp_path}/out"
+    got = token_output.token_output(spark.read.parquet(f"{tmp_path}/docs"), token_output.default_tokenizer(), path).collect()
+    by = defaultdict(list)
+    for r in sorted(got, key=lambda r: r.start):
+        by[r.doc_id].append(r)
+    assert [r.copy for r in by[None]] == list(range(3000)) and [r.copy for r in by[7]] == list(range(2001))
+    assert len({r.shard for r in by[None]}) > 1 and Counter(len(r) for r in by.values())[1] == 499
+    reader = token_output.Reader(path)
+    for r in (*by[None][::400], *by[7][::400], *by[3]):
+        assert zlib.crc32(reader.get(r.doc_id, r.copy).astype("<u4").tobytes()) == r.ids_crc32
+    assert reader.get(None, 3000) is None and reader.get(501) is None
+    with pytest.raises(FileExistsError):
+        token_output.write_output(docs, token_output.default_tokenizer(), path)
+
+
+def test_reader_reads_little(spark, sf, tmp_path):
+    """All keys one by one, from many buckets; a key's reads don't grow with the bucket."""
+    path, rows = f"file://{tmp_path}/out", documents(spark, sf)
+    token_output.token_output(table(spark, sf, "documents"), token_output.default_tokenizer(), path)
+    reader = token_output.Reader(path)
+    want = {d: ids for (d, _, _), ids in zip(rows, brute_tokens(t for _, t, _ in rows))}
+    assert all(reader.get(d).astype("<u4").tobytes() == ids for d, ids in want.items())
+    rng, read = np.random.default_rng(3), []
+    for n in (1000, 200_000):
+        keys, entries = rng.integers(0, 1 << 63, n).astype(np.uint64), np.zeros(n, token_output._ENTRY)
+        entries["offset"], entries["fingerprint"] = np.arange(n), keys ^ np.uint64(9)
+        data = token_output.pack_index(keys, entries)
+
+        class File:
+            at = total = 0
+
+            def seek(self, at):
+                self.at = at
+
+            def read(self, k):
+                self.at, self.total = self.at + k, self.total + k
+                return data[self.at - k : self.at]
+
+        file = File()
+        reader.heads.clear()
+        for i in range(0, n, n // 500):
+            file.at = 0
+            assert int(reader._entry(file, 0, int(keys[i]), int(keys[i]) ^ 9)["offset"]) == i
+        read.append(file.total / 500)
+    assert max(read) < 250
+
+
 # --- 7 -------------------------------------------------------------------------------------
 
 

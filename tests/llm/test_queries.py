@@ -1,5 +1,10 @@
 """Queries against their SQL, and the pipeline against its operators."""
 
+import re
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -50,3 +55,26 @@ def test_pipeline(spark, sf):
     assert sets(d) == sets(c) - {r.doc_id for r in decontamination.leaks(c, table(spark, sf, "benchmark")).collect()}
     assert e.count() == sum(r.copies for r in mixing.copies(d).collect())
     assert corpus_pipeline.run(spark, sf).count() == e.count()
+
+
+def test_pipeline_leaves_its_product(sf, tmp_path):
+    """A second process reads it after the first has ended."""
+    out = f"file://{tmp_path}/product"
+    first = f"""
+from pyspark.sql import SparkSession
+import corpus_pipeline
+spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+print("ROWS", corpus_pipeline.run(spark, "{sf}", "{out}").count())
+"""
+    second = f"""
+import zlib
+import pyarrow.dataset as ds
+from sluicework.llm.token_output import Reader
+reader, rows = Reader("{out}/tokens"), ds.dataset("{tmp_path}/product/rows").to_table().to_pylist()
+assert all(zlib.crc32(reader.get(r["doc_id"], r["copy"]).astype("<u4").tobytes()) == r["ids_crc32"] for r in rows)
+print("ROWS", len(rows), reader.manifest["n_keys"])
+"""
+    said = [subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, cwd=str(Path(corpus_pipeline.__file__).parent)) for code in (first, second)]
+    counts = [re.findall(r"ROWS (.*)", x.stdout)[0].split() for x in said]
+    assert counts[1] == counts[0] * 2 and int(counts[0][0]) > 0, [x.stderr[-800:] for x in said]
+    assert not any(p.is_file() for p in Path(tmp_path, "shared").rglob("*"))
