@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet in a
 shared folder and rereads it as the next one's docs. All but the last return the columns of docs.
+
+``run(spark, sf_dir, out)`` leaves the product below ``out``, a URI that driver and executors share: the token shards,
+their index and a manifest, in ``tokens``, and the last stage's rows in ``rows``. ``token_output.Reader(out + "/tokens")`` reads
+documents from it, in any later process. Without ``out`` all of it is scratch and goes when the driver ends.
 """
 
 from __future__ import annotations
@@ -32,9 +36,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token shards and their index; a row per document (and copy) with where its ids are."""
-    return token_output.token_output(docs, token_output.default_tokenizer())
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, out: str | None = None) -> DataFrame:
+    """Token shards and their index, below ``out`` if that is given; a row per document (and copy) with where its ids are."""
+    return token_output.token_output(docs, token_output.default_tokenizer(), out and f"{out.rstrip('/')}/tokens")
 
 
 STAGES = [
@@ -49,10 +53,15 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
     """All stages over the table of documents; the rows of the last. A stage's own intermediates go when its result is written."""
+    if out and token_output.finished(f"{out.rstrip('/')}/tokens"):
+        raise FileExistsError(f"{out} holds a product already")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         with intermediates(spark):
-            docs = materialize(stage(spark, docs, sf_dir), name, keep=True)
+            docs = materialize(tokens(spark, docs, sf_dir, out) if stage is tokens else stage(spark, docs, sf_dir), name, keep=True)
+    if out:
+        docs.write.parquet(f"{out.rstrip('/')}/rows")
+        docs = spark.read.schema(docs.schema).parquet(f"{out.rstrip('/')}/rows")
     return docs
