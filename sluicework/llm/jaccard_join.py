@@ -7,7 +7,9 @@
 3. In a unit, pairs of classes are verified on full shingle sets. A unit is cut into blocks of bounded size, and
    each pair of blocks goes to one task. Each class comes with the units it is in, and a pair that is together in several is
    verified in the least of them only. A task counts each class's links and keeps a spanning forest of them; it
-   doesn't emit the pairs. Texts that only a chain of buckets joins are never compared.
+   doesn't emit the pairs. Texts that only a chain of buckets joins are never compared. A class goes to units once, however
+   many rows have its id and text; a unit of many unlike classes sends each of their sets once for each of its blocks, so
+   what is shuffled for it grows with the square of its classes, by their number over ``BLOCK_CLASSES``.
 4. Components of the verified links are the groups of near copies.
 
 Bands and rows: the most rows per band for which a pair at the threshold shares a band with the
@@ -231,10 +233,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = unit_members(classes, block)
     need = own.join(classes.select("digest", "rep", "copies"), "digest").select("digest", "copies", "own", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
     texts = docs.select(F.col(id_col).cast("long").alias("rep_id"), F.xxhash64(F.col(text_col)).alias("rep_th"), F.col(text_col).cast("string").alias("text"))
-    need_text = texts.join(need, texts["rep_id"].eqNullSafe(need["rep_id"]) & (texts["rep_th"] == need["rep_th"])).select("digest", "copies", "own", "text")
+    # a sort-merge join at any size: its rows come by (rep_id, rep_th), so rows that are alike come one after the other
+    need_text = texts.join(need.hint("merge"), texts["rep_id"].eqNullSafe(need["rep_id"]) & (texts["rep_th"] == need["rep_th"])).select("digest", "copies", "own", "text")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for rows_ in batches:
+            digests = rows_.column(0).to_pylist()
+            first = [d != before for d, before in zip(digests, [last, *digests], strict=False)]
+            if not digests or not any(first):
+                continue
+            last, rows_ = digests[-1], rows_.filter(pa.array(first))  # of a class that has many rows of one id and text, one in each task
             sets = shingle_sets([t.encode() for t in rows_.column(3).to_pylist()], size)
             yield pa.RecordBatch.from_arrays([*rows_.columns[:3], pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "copies", "own", "grams"])
 

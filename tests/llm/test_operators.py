@@ -695,6 +695,34 @@ def test_jaccard_empty_blocks(spark):
     assert got == brute_groups(rows)  # as many blocks as classes, so that some get none
 
 
+def test_jaccard_alike_rows_go_to_units_once(spark, tmp_path, monkeypatch):
+    """Many rows of no id and one text, and near copies of it: tasks that verify hold a few rows."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(words))] * 20_000 + [(i, " ".join([*words[:-1], f"x{i}"])) for i in range(5)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(f"{tmp_path}/docs")
+    seen = f"{tmp_path}/seen"
+    plain = jaccard_join._verify_units
+
+    def counted(threshold):
+        run = plain(threshold)
+
+        def outer(batches):
+            yield from run(write(b) for b in batches)
+
+        def write(batch):
+            with open(seen, "a") as f:
+                f.write(f"{len(batch)}\n")
+            return batch
+
+        return outer
+
+    monkeypatch.setattr(jaccard_join, "_verify_units", counted)
+    got = jaccard_join.near_duplicates(spark.read.parquet(f"{tmp_path}/docs")).collect()
+    assert {r.class_id for r in got} == {None} and {r.n_links for r in got} == {20_004} and Counter(r.n_copies for r in got) == {20_000: 20_000, 1: 5}
+    with open(seen) as f:
+        assert sum(map(int, f)) < 1000
+
+
 def test_jaccard_odd(spark, odd_docs, no_docs):
     got = jaccard_join.near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count() and jaccard_join.near_duplicates(no_docs).count() == 0
