@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.operators.components import components
+from sluicework.storage import materialize
 
 ENDS = ("a_type", "a_value", "b_type", "b_value")
 
@@ -167,12 +168,24 @@ def coverage(nodes: DataFrame) -> DataFrame:
 def restitch(edges: DataFrame, before: DataFrame, changed: DataFrame, priority: dict[str, int], least: float) -> DataFrame:
     """Entities again for those with a changed key (node_type, node_value), and the others as before.
 
-    The keys' entities are expanded to all their nodes, and edges with an end among these or the keys are stitched.
+    ``changed`` has at least one end of each edge that is new, gone or of another confidence. Edges between nodes of unlike old entities
+    are the only ones that can join these; they are contracted to pairs of entities (a node without one is its own), whose components are
+    all that a change can reach, however far. The edges of those entities are stitched. So the rounds are over new links, not over the graph.
     """
-    hit = before.join(changed, ["node_type", "node_value"], "left_semi").select("entity_id").distinct()
-    nodes = before.join(hit, "entity_id", "left_semi").select("node_type", "node_value").unionByName(changed.select("node_type", "node_value")).distinct()
-    ends = lambda e: nodes.select(F.col("node_type").alias(f"{e}_type"), F.col("node_value").alias(f"{e}_value"))
-    some = edges.join(ends("a"), ["a_type", "a_value"], "left_semi").unionByName(edges.join(ends("b"), ["b_type", "b_value"], "left_semi")).distinct()
-    again = stitch(some.select(edges.columns), priority, least)
-    rest = before.join(again.select("node_type", "node_value"), ["node_type", "node_value"], "left_anti")
-    return again.unionByName(rest.select(again.columns))
+    strong = edges.where(F.col("confidence") >= least)
+    own = lambda t, v: F.concat_ws(":", F.lit("new"), t, v)
+    for e in "ab":
+        home = before.select(F.col("node_type").alias(f"{e}t"), F.col("node_value").alias(f"{e}v"), F.col("entity_id").alias(f"{e}_entity"))
+        strong = strong.join(home, (F.col(f"{e}_type") == F.col(f"{e}t")) & (F.col(f"{e}_value") == F.col(f"{e}v")), "left").drop(f"{e}t", f"{e}v")
+        strong = strong.withColumn(f"{e}_entity", F.coalesce(f"{e}_entity", own(f"{e}_type", f"{e}_value")))
+    placed = materialize(strong, "placed")
+    groups = components(placed.where("a_entity != b_entity").select(F.col("a_entity").alias("u"), F.col("b_entity").alias("v")))
+    groups = materialize(groups, "groups")
+    hit = changed.join(before.select("node_type", "node_value", "entity_id"), ["node_type", "node_value"], "left")
+    hit = hit.select(F.coalesce("entity_id", own("node_type", "node_value")).alias("node")).distinct()
+    hit = materialize(hit.join(groups, "node", "left"), "hit")
+    reached = groups.join(hit.select("component").where("component IS NOT NULL").distinct(), "component", "left_semi").select("node")
+    affected = materialize(reached.unionByName(hit.select("node")).distinct().withColumnRenamed("node", "entity_id"), "affected")
+    some = placed.join(affected, placed["a_entity"] == affected["entity_id"], "left_semi").select(edges.columns)
+    again = stitch(some, priority, least)
+    return again.unionByName(before.join(affected, "entity_id", "left_anti").select(again.columns))

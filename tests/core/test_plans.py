@@ -8,7 +8,8 @@ import pytest
 import sluicework.plans.aggregates
 import sluicework.plans.controls
 import sluicework.plans.loads
-import sluicework.plans.reports  # noqa: F401
+import sluicework.plans.reports
+import sluicework.plans.resolution  # noqa: F401
 from sluicework.plans.queries import QUERIES, SQL
 
 
