@@ -7,7 +7,8 @@
    So a chain of n calls takes log2(n) joins, however many branches meet again on it, and other graphs a join per
    level of calls where unlike branches meet. Positions are ranks by depth, then turn, within a conversation; a range sort
    numbers them, so one long conversation is spread over tasks.
-3. Arguments are parsed as variants and checked field by field against the tool's schema.
+3. Arguments are parsed as variants and checked field by field against the tool's schema: types, nested objects, items of arrays and
+   enumerations. Fields are looked up by name, never by path, so names may hold dots, quotes and brackets.
 4. Each call is serialised with its arguments and result as JSON with sorted keys and no white space.
 
 Edge cases: calls of one identifier in a conversation count as one (the least by turn, then arguments), with
@@ -21,13 +22,28 @@ table gives no row; other columns are ignored.
 
 from __future__ import annotations
 
+import json as plain_json
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluicework.llm.common import materialize, table
 
-#: A tool's fields: the JSON type, and whether the field has to be there. Other fields are errors.
-Schema = dict[str, tuple[str, bool]]
+
+
+class Field(NamedTuple):
+    """What a value has to be: its JSON type, whether it has to be there, and of objects their fields, of arrays what each item is, of others a list of values."""
+
+    kind: str
+    needed: bool = True
+    fields: dict[str, Field] | None = None
+    items: Field | None = None
+    values: tuple | None = None
+
+
+#: A tool's fields; other fields are errors. A plain pair is a type, and whether the field has to be there.
+Schema = dict[str, Field | tuple[str, bool]]
 _KINDS = {"string": r"^STRING", "integer": r"^BIGINT", "number": r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)", "boolean": r"^BOOLEAN", "array": r"^ARRAY", "object": r"^OBJECT"}
 _COLUMNS = ("conv_id", "turn", "call_id", "name", "arguments", "follows")
 
@@ -93,20 +109,44 @@ def positions(rows: DataFrame) -> DataFrame:
     return joined.withColumn("position", F.col("number") + F.col("shift")).drop("number", "range", "p_conv", "p_range", "shift")
 
 
-def argument_errors(arguments: str, name: str, schemas: dict[str, Schema]) -> Column:
-    """An array of what is wrong with the arguments of a call; empty if they are valid."""
-    parsed, no = F.try_parse_json(arguments), F.array().cast("array<string>")
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+_MAP = "map<string,variant>"
+
+
+def _field_errors(fields: Column, schema: Schema, path: str = "") -> Column:
+    """An array of what is wrong with the fields of an object, a map from names to variants."""
+    none = F.array().cast("array<string>")
+    checks = [none]
+    for name, given in schema.items():
+        field, value = Field(*given), F.try_element_at(fields, F.lit(name))
+        missing = F.array(F.lit(f"missing {path}{name}")) if field.needed else none
+        checks.append(F.when(value.isNull(), missing).otherwise(_value_errors(value, field, path + name)))
+    known = F.array(*map(F.lit, schema)) if schema else none
+    extra = F.transform(F.array_sort(F.array_except(F.map_keys(fields), known)), lambda k: F.concat(F.lit(f"unknown {path}"), k))
+    return F.concat(*checks, extra)
+
+
+def _value_errors(value: Column, field: Field, path: str) -> Column:
+    """An array of what is wrong with a value, a variant that is there."""
+    inner = F.array().cast("array<string>")
+    if field.values is not None:
+        allowed = [plain_json.dumps(v, ensure_ascii=False) for v in field.values]
+        inner = F.when(F.to_json(value).isin(allowed), inner).otherwise(F.array(F.lit(f"{path} is none of its values")))
+    elif field.fields is not None:
+        inner = _field_errors(F.try_variant_get(value, "$", _MAP), field.fields, f"{path}.")
+    elif field.items is not None:
+        items = F.try_variant_get(value, "$", "array<variant>")
+        inner = F.array_distinct(F.flatten(F.transform(items, lambda x: _value_errors(x, field.items, f"{path}[]"))))
+    return F.when(F.schema_of_variant(value).rlike(_KINDS[field.kind]), inner).otherwise(F.array(F.lit(f"{path} is no {field.kind}")))
+
+
+def argument_errors(parsed: str, fields: str, name: str, schemas: dict[str, Schema]) -> Column:
+    """An array of what is wrong with the arguments of a call, as a variant and as a map of its fields; empty if they are valid.
+
+    Errors come by the schema's fields, then unknown ones by name; equal errors of an array's items count once.
+    """
     found = F.when(F.col(name).isNull(), F.array(F.lit("no tool")))
     for tool, schema in schemas.items():
-        checks = []
-        for field, (kind, needed) in schema.items():
-            value = F.schema_of_variant(F.variant_get(parsed, f"$.{field}", "variant"))
-            missing = F.when(value.isNull(), F.lit(f"missing {field}" if needed else None).cast("string"))
-            checks.append(missing.when(~value.rlike(_KINDS[kind]), F.lit(f"{field} is no {kind}")))
-        extra = F.transform(F.array_except(F.coalesce(F.json_object_keys(arguments), no), F.array(*map(F.lit, schema)) if schema else no), lambda k: F.concat(F.lit("unknown "), k))
-        errors = F.concat(F.array_compact(F.array(*checks)) if checks else no, extra)
-        found = found.when(F.col(name) == tool, F.when(parsed.isNull(), F.array(F.lit("no JSON"))).when(~is_object, F.array(F.lit("no object"))).otherwise(errors))
+        found = found.when(F.col(name) == tool, F.when(F.col(parsed).isNull(), F.array(F.lit("no JSON"))).when(F.col(fields).isNull(), F.array(F.lit("no object"))).otherwise(_field_errors(F.col(fields), schema)))
     return found.otherwise(F.array(F.lit("unknown tool")))
 
 
@@ -118,8 +158,10 @@ def format_tools(calls: DataFrame, results: DataFrame, schemas: dict[str, Schema
     placed = positions(linked.join(deep, F.col("conv_id").eqNullSafe(F.col("d_conv")) & (F.col("call_id") == F.col("d_call"))).drop("d_conv", "d_call"))
     nameless = calls.where("call_id is null").withColumns({"result": F.lit(None).cast("string"), "n_calls": F.lit(1).cast("long"), "n_results": F.lit(0).cast("long"), "depth": F.lit(None).cast("long"), "position": F.lit(None).cast("long")})
     rows = placed.unionByName(nameless.select(placed.columns))
-    errors = argument_errors("arguments", "name", schemas)
-    json = F.to_json(F.struct(F.try_parse_json("arguments").alias("arguments"), "call_id", "name", "result"), {"ignoreNullFields": "false"})
+    rows = rows.withColumn("parsed", F.try_parse_json("arguments"))
+    rows = rows.withColumn("fields", F.when(F.schema_of_variant("parsed").startswith("OBJECT"), F.try_variant_get("parsed", "$", _MAP)))
+    errors = argument_errors("parsed", "fields", "name", schemas)
+    json = F.to_json(F.struct(F.col("parsed").alias("arguments"), "call_id", "name", "result"), {"ignoreNullFields": "false"})
     return rows.select("conv_id", "call_id", "turn", "depth", "position", "n_calls", "n_results", (F.size(errors) == 0).alias("valid"), errors.alias("errors"), json.alias("json"))
 
 

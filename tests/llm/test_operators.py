@@ -201,6 +201,38 @@ def test_tools(spark):
     assert chat_tools.format_tools(calls.where("false"), results, {}).count() == 0
 
 
+def test_tools_schemas(spark):
+    """Names that look like paths, nested objects, items and enumerations."""
+    field = chat_tools.Field
+    schemas = {
+        "odd": {"a.b": ("integer", True), "it's": ("string", False), 'say "x"?': ("boolean", False), "l[0]": ("number", False), "$": ("string", False)},
+        "deep": {
+            "at": field("object", True, {"x": field("number"), "unit": field("string", False, values=("m", "k\u00e9", 3))}),
+            "tags": field("array", False, items=field("string")),
+            "rows": field("array", False, items=field("object", fields={"id": field("integer"), "of": field("array", False, items=field("integer"))})),
+            "mode": field("string", False, values=("on", "off")),
+        },
+    }
+    cases = [
+        ("odd", '{"a.b": 1}', []),
+        ("odd", '{"a": {"b": 1}}', ["missing a.b", "unknown a"]),
+        ("odd", """{"a.b": 1, "it's": 2, "say \\"x\\"?": true, "l[0]": 1.5, "$": "s"}""", ["it's is no string"]),
+        ("odd", '{"a.b": null}', ["a.b is no integer"]),
+        ("odd", '{"a.b": 1, "z": 1, "l": [2], "b": 0}', ["unknown b", "unknown l", "unknown z"]),
+        ("deep", '{"at": {"x": 1.5, "unit": "k\u00e9"}, "tags": ["a", "b"], "rows": [{"id": 1, "of": [1, 2]}], "mode": "on"}', []),
+        ("deep", '{"at": {"x": "1", "unit": "cm", "y": 2}, "mode": "ON"}', ["at.x is no number", "at.unit is none of its values", "unknown at.y", "mode is none of its values"]),
+        ("deep", '{"at": {"x": 1, "unit": 3}}', ["at.unit is no string"]),
+        ("deep", '{"at": [], "tags": ["a", 1, 2], "rows": [{"id": 1}, {"id": "x", "of": ["y", "z"]}, {}, 5]}', ["at is no object", "tags[] is no string", "rows[].id is no integer", "rows[].of[] is no integer", "missing rows[].id", "rows[] is no object"]),
+        ("deep", '{"at": {"x": 1}, "tags": [], "rows": []}', []),
+        ("deep", "{}", ["missing at"]),
+        ("deep", '"text"', ["no object"]),
+        ("deep", "null", ["no object"]),
+    ]
+    calls = spark.createDataFrame([(1, i, f"c{i}", tool, text, None) for i, (tool, text, _) in enumerate(cases)], "conv_id long, turn long, call_id string, name string, arguments string, follows string")
+    got = chat_tools.format_tools(calls, spark.createDataFrame([], "conv_id long, turn long, call_id string, content string"), schemas).orderBy("turn").collect()
+    assert [r.errors for r in got] == [e for _, _, e in cases] and [r.valid for r in got] == [not e for _, _, e in cases]
+
+
 def test_tools_of_odd_conversations(spark):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, "user", None), (1, 1, "assistant", "r"), (1, 1, "assistant", "q"), (1, 2, "user", ""), (None, 0, "user", "n"), (2, None, "user", "x"), (2, 5, None, "y"), (3, 4, "user", "z" * 100_000)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("depth", F.lit("clash"))
