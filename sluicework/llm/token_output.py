@@ -33,10 +33,12 @@ were read, and may lie in several shards; very long texts are encoded one at a t
 
 from __future__ import annotations
 
+import array
 import itertools
 import json
 import os
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -118,7 +120,10 @@ class Encoder:
         self.units, self.pieces = _Cache(self._unit), _Cache(self._piece)
 
     def _ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        packed = array.array("H" if self.dtype == "<u2" else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece, which is written with the library's characters for bytes."""
@@ -126,6 +131,9 @@ class Encoder:
 
     def _unit(self, unit: str, lead: str = " ") -> bytes:
         word = unit.rstrip(_MARKS)
+        if word.isascii() and word.isalpha():  # such words are written as they are
+            piece = self.pieces[(_BYTE_CHARS[32] if lead else "") + word]
+            return piece + self.pieces[unit[len(word) :]] if len(word) < len(unit) else piece
         if unit and max(unit) < "\u0250":
             if word.isalpha() or not word:
                 head, marks = (word, unit[len(word) :]) if word else (unit, "")
