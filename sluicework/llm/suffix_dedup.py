@@ -19,6 +19,10 @@ batch drops its own repeats before it is shuffled. The last passes fetch the byt
 segments and sort by anchor in chunks; an anchor with more than ``HOT`` such segments is shuffled by
 its windows' BLAKE2b digests instead, so no group has to fit in one task.
 
+The anchor of a passage that many documents hold would be one key of the first shuffle too. Such anchors are looked for
+in some ``SAMPLED`` documents first, and their segments are dealt out by (anchor, digest). That list decides where rows
+go and nothing else: equal segments meet either way, and all segments of a listed anchor count as differing.
+
 Edge cases: a null text is empty; texts shorter than a window stay whole; a null id is the least;
 rows with one id are ordered by a hash of the text; rows that are equal in both are one document,
 and none of them repeats another; long texts are cut into pieces that overlap; an empty table gives
@@ -45,6 +49,10 @@ GRAM = 24
 PIECE = 900_000
 #: Differing segments that are sorted at a time, and differing segments of one anchor that a task sorts in memory.
 NARROW_ROWS, HOT = 16384, 50_000
+#: Documents in which common anchors are looked for; one that this share of them has is common; at most this many are listed.
+SAMPLED, COMMON, LISTED = 5000, 1 / 500, 100_000
+#: Marks a span whose segment is dealt by (anchor, digest).
+_SPREAD = 1 << 62
 _BASE = 0x2545F4914F6CDD1D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(31).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -123,8 +131,11 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], np.ndarra
         yield numbers, offsets, np.frombuffer(b"".join(parts), np.uint8), np.array(list(map(len, parts)))
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc, rank, text to segments; those that equal an earlier one of the batch are gone already."""
+def _scan(batches: Iterator[pa.RecordBatch], common: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """doc, rank, text to segments; those that equal an earlier one of the batch are gone already.
+
+    The keys of those at a ``common`` anchor are mixed with their digests, and their spans are marked.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -139,13 +150,34 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.lexsort([span, ranks, docs, more, digest, key])
         key, digest, more, docs, ranks, span = key[order], digest[order], more[order], docs[order], ranks[order], span[order]
         gone = np.r_[False, (key[1:] == key[:-1]) & (digest[1:] == digest[:-1]) & (more[1:] == more[:-1])] if len(key) else np.empty(0, bool)
+        if common is not None and len(common):
+            spread = ~gone & np.isin(key, common)
+            key, span = np.where(spread, _mixed(key, digest), key), np.where(spread, span | _SPREAD, span)
         # what is gone needs no sort: any key deals it out
         key = np.where(gone, mix(docs.view(np.uint64) ^ span.view(np.uint64)).view(np.int64), key)
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.where(gone, 0, digest)), pa.array(np.where(gone, 0, more)), pa.array(docs), pa.array(ranks, pa.int32()), pa.array(span), pa.array(gone)], names=["key", "digest", "more", "doc", "rank", "span", "gone"])
 
 
+def _mixed(key: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """A key with its digest mixed in; the same again takes it out."""
+    return key ^ mix(digest.view(np.uint64)).view(np.int64)
+
+
+def _plain(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with the keys and spans of spread segments as they were."""
+    key, digest, span = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 5))
+    spread = (span & _SPREAD) != 0
+    if not spread.any():
+        return batch
+    key, span = np.where(spread, _mixed(key, digest), key), np.where(spread, span & ~_SPREAD, span)
+    return batch.set_column(0, "key", pa.array(key)).set_column(5, "span", pa.array(span))
+
+
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (gone, key, digest, more, doc, rank, span): keeps what is gone, and the first of segments that differ at one anchor."""
+    """Rows sorted by (gone, key, digest, more, doc, rank, span): keeps what is gone, and the first of segments that differ at one anchor.
+
+    Segments of a common anchor are spread over tasks, so the first of each count as differing.
+    """
     last: tuple[int, int, int] | None = None  # key and digest of the row before
     held: pa.RecordBatch | None = None  # the first row of the last segment
     out_already = False  # held has gone out as differing from the one before it
@@ -161,7 +193,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.r_[last != (key[0], digest[0], more[0]), (key[1:] != key[:-1]) | (digest[1:] != digest[:-1]) | (more[1:] != more[:-1])]
         last = (key[-1], digest[-1], more[-1])
         later = batch.filter(pa.array(~new))
-        yield later.set_column(6, "gone", pa.array(np.ones(later.num_rows, bool)))
+        yield _plain(later.set_column(6, "gone", pa.array(np.ones(later.num_rows, bool))))
         heads = batch.filter(pa.array(new))
         if not heads.num_rows:
             continue
@@ -169,10 +201,10 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             heads = pa.Table.from_batches([held, heads]).combine_chunks().to_batches()[0]
         k = heads.column(0).to_numpy(zero_copy_only=False)
         as_before = np.r_[False, k[1:] == k[:-1]]
-        differs = as_before | np.r_[as_before[1:], False]
+        differs = as_before | np.r_[as_before[1:], False] | ((heads.column(5).to_numpy(zero_copy_only=False) & _SPREAD) != 0)
         tail = bool(differs[-1]) or (len(k) == 1 and out_already)
         differs[0] &= not (held is not None and out_already)
-        yield heads.filter(pa.array(differs))
+        yield _plain(heads.filter(pa.array(differs)))
         held, out_already = heads.slice(heads.num_rows - 1), tail
 
 
@@ -286,11 +318,33 @@ def _ordered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     return rows, rows.dropDuplicates(["doc", "rank"])
 
 
-def repeated_spans(rows: DataFrame, hot: int = HOT) -> DataFrame:
+def common_anchors(rows: DataFrame, sampled: int = SAMPLED) -> np.ndarray:
+    """Keys of anchors that many of some ``sampled`` documents have, chosen by a hash of their ids over the whole table."""
+    every = max(1, rows.count() // sampled)
+    some = rows.where(F.pmod(F.xxhash64("doc", "rank"), F.lit(every)) == 0)
+    per = some.mapInArrow(_sampled_keys, "key long").groupBy("key").count()
+    top = per.where(F.col("count") > max(8, int(sampled * COMMON))).orderBy(F.col("count").desc(), "key").limit(LISTED)
+    return np.array([r["key"] for r in top.select("key").collect()], np.int64)
+
+
+def _sampled_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, rank, text to the distinct keys of each document's segments."""
+    for batch in batches:
+        for text in batch.column(2).to_pylist():
+            keys = [segments(raw, lengths)[0] for _, _, raw, lengths in pieces([text.encode()])]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(keys)))], names=["key"])
+
+
+def dealt(rows: DataFrame, common: np.ndarray) -> DataFrame:
+    """The segments of rows, as they go to the first shuffle: by key."""
+    return rows.mapInArrow(lambda batches: _scan(batches, common), _ROW)
+
+
+def repeated_spans(rows: DataFrame, hot: int = HOT, sampled: int = SAMPLED) -> DataFrame:
     """From doc, rank (a key together) and text: doc, rank, low, high, where all windows that start from low to high also start earlier."""
     spark = rows.sparkSession
     bounded_batches(spark)
-    found = rows.mapInArrow(_scan, _ROW)
+    found = dealt(rows, common_anchors(rows, sampled))
     found = found.repartition("key").sortWithinPartitions("gone", "key", "digest", "more", "doc", "rank", "span")
     judged = materialize(found.mapInArrow(_judge, _ROW), "judged")
     del found

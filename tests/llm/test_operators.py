@@ -123,9 +123,10 @@ def test_suffix_dedup(spark, sf, hot):
     assert {r.doc_id: (r.n_bytes, r.n_bytes - r.k, r.n, r.h) for r in got} == want
 
 
+@pytest.mark.parametrize("spread", [False, True])
 @pytest.mark.parametrize("bits", [0, 2, 64])
-def test_suffix_dedup_colliding_hashes(sf, monkeypatch, bits):
-    """The passes one after another, with hashes cut to a few bits: anchors that agree by chance remove nothing."""
+def test_suffix_dedup_colliding_hashes(sf, monkeypatch, bits, spread):
+    """The passes one after another, with hashes cut to a few bits: anchors that agree by chance remove nothing, be they listed as common or not."""
     whole = suffix_dedup._hashes
     monkeypatch.setattr(suffix_dedup, "_hashes", lambda *x: whole(*x) & np.uint64((1 << bits) - 1))
     rng = np.random.default_rng(3)
@@ -133,7 +134,9 @@ def test_suffix_dedup_colliding_hashes(sf, monkeypatch, bits):
     texts = dict(enumerate([base, base[300:] + base[:350], "x" * 50 + base[100:260] + "y" * 130, base[:99] + "é" + base[1:140], "short", ""]))
     batch = pa.RecordBatch.from_pydict({"doc": pa.array(texts, pa.int64()), "rank": pa.array([0] * len(texts), pa.int32()), "text": list(texts.values())})
     table_of = lambda batches: pa.Table.from_batches([b for b in batches if b.num_rows])
-    found = table_of(suffix_dedup._scan([batch.slice(i, 1) for i in range(len(texts))])).sort_by([(c, "ascending") for c in ("gone", "key", "digest", "more", "doc", "rank", "span")])
+    one_by_one = [batch.slice(i, 1) for i in range(len(texts))]
+    common = np.unique(table_of(suffix_dedup._scan(one_by_one)).column("key").to_numpy()) if spread else None
+    found = table_of(suffix_dedup._scan(one_by_one, common)).sort_by([(c, "ascending") for c in ("gone", "key", "digest", "more", "doc", "rank", "span")])
     judged = table_of(suffix_dedup._judge(found.to_batches(max_chunksize=7))).to_pylist()
     spans = defaultdict(list)
     for x in judged:
@@ -160,6 +163,26 @@ def test_suffix_dedup_pieces(spark, monkeypatch):
     assert {d: hashlib.sha256(k).hexdigest() for d, k in got.items()} == {d: w[3] for d, w in want.items()}
 
 
+def test_suffix_dedup_common_passage(spark):
+    """A passage of 130 bytes in most documents and whole copies of one text: no key of the first shuffle has more than a fiftieth of the rows."""
+    rng = np.random.default_rng(8)
+    passage = "".join(chr(97 + x) for x in rng.integers(0, 26, 130))
+    word = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    copied = word(900)
+    rows = [(i, copied if i % 9 == 0 else word(60) + passage + word(int(rng.integers(20, 200)))) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ordered = docs.selectExpr("doc_id AS doc", "0 AS rank", "text")
+    common = suffix_dedup.common_anchors(ordered)
+    assert 0 < len(common) <= suffix_dedup.LISTED
+    hottest = lambda keys: [r["count"] for r in suffix_dedup.dealt(ordered, keys).groupBy("key").count().orderBy(F.col("count").desc()).limit(1).collect()][0]
+    total = suffix_dedup.dealt(ordered, common).count()
+    assert hottest(common) <= total / 50 < hottest(np.empty(0, np.int64))
+    want = brute_suffix(rows)
+    for hot in (suffix_dedup.HOT, 50):
+        got = {r.doc_id: hashlib.sha256(bytes(r.kept)).hexdigest() for r in suffix_dedup.suffix_dedup(docs, hot=hot).collect()}
+        assert got == {d: w[3] for d, w in want.items()}
+
+
 def test_suffix_dedup_odd(spark, odd_docs, no_docs):
     got = suffix_dedup.suffix_dedup(odd_docs).collect()
     assert len(got) == odd_docs.count()
