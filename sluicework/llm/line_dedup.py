@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import BATCH_ROWS, bounded_batches, materialize, mix, release, table, text_or_empty
+from sluicework.llm.common import BATCH_ROWS, bounded_batches, materialize, mix, table, text_or_empty
 
 ROLL = 2
 EVERY = 3
@@ -104,13 +104,11 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
     found = materialize(rows.mapInArrow(_scan, "digest binary, " + _PLACE), "chunks")
     often = materialize(found.groupBy("digest").count().where("count > 1").select("digest"), "often")
     candidates = materialize(found.join(often.hint("merge"), "digest", "left_semi"), "candidates")
-    release(spark)
     per = candidates.groupBy("doc", "th").agg(F.collect_set(F.struct("first", "n_lines")).alias("places"))
     # the same join at every size: whether one side happens to fit a broadcast isn't left to chance
     cut = rows.join(per.hint("merge"), ["doc", "th"]).select("doc", "th", "text", "places").mapInArrow(_cut, "digest binary, " + _PLACE + ", data binary")
     # groups of one digest and the same bytes: their first keeps its place
     cut = materialize(cut, "cut")
-    release(spark)
     firsts = materialize(cut.groupBy("digest", "data").agg(F.min(place).alias("least")), "firsts")
     # a digest nearly always stands for one text, so the join compares each chunk with its first
     other = firsts.select(F.col("digest").alias("d"), F.col("data").alias("bytes"), "least")
@@ -120,11 +118,9 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_lines, n_removed (lines), n_chunks (removed), text (what is left)."""
-    spark = docs.sparkSession
     rows = _ordered(docs, id_col, text_col)
     gone = repeated_chunks(rows).groupBy("doc", "th").agg(F.collect_set(F.struct("first", "n_lines")).alias("places"))
     gone = materialize(gone, "gone")
-    release(spark)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +136,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 texts.append("\n".join(x for x, d in zip(lines, drop, strict=True) if not d))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (totals, removed, counts)), pa.array(texts, pa.string())], names=["doc_id", "n_lines", "n_removed", "n_chunks", "text"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     joined = rows.join(gone.hint("merge"), ["doc", "th"], "left").select(F.nullif("doc", F.lit(-(1 << 63))).alias("doc"), "text", "places")
     return joined.mapInArrow(cut, "doc_id long, n_lines long, n_removed long, n_chunks long, text string")
 

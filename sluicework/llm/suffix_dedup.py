@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sluicework.llm.common import bounded_batches, materialize, mix, powers, release, table, text_or_empty
+from sluicework.llm.common import bounded_batches, materialize, mix, powers, table, text_or_empty
 
 WINDOW = 100
 GRAM = 24
@@ -347,15 +347,12 @@ def repeated_spans(rows: DataFrame, hot: int = HOT, sampled: int = SAMPLED) -> D
     found = dealt(rows, common_anchors(rows, sampled))
     found = found.repartition("key").sortWithinPartitions("gone", "key", "digest", "more", "doc", "rank", "span")
     judged = materialize(found.mapInArrow(_judge, _ROW), "judged")
-    del found
-    release(spark)
     low, width = F.shiftright("span", 14), F.shiftright("span", 7).bitwiseAND(F.lit(127))
     whole = judged.where("gone").select("doc", "rank", low.alias("low"), (low + width).alias("high"))
     differing = judged.where("not gone")
     per = differing.groupBy("doc", "rank").agg(F.collect_list(F.struct("key", "span")).alias("found"))
     parts = rows.join(per, ["doc", "rank"]).select("doc", "rank", "text", "found").mapInArrow(_contexts, "key long, doc long, rank int, span long, part binary")
     parts = materialize(parts, "parts")
-    release(spark)
     crowded = materialize(differing.groupBy("key").count().where(F.col("count") > hot).select("key"), "crowded")
     windows = "doc long, rank int, low long, high long"
     if not crowded.limit(1).count():
@@ -386,10 +383,8 @@ def _remove(data: bytes, spans: list[tuple[int, int]]) -> tuple[list[tuple[int,
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """A row per document: doc_id, n_bytes, runs (removed, from and to), kept (the other bytes)."""
-    spark = docs.sparkSession
     rows, distinct = _ordered(docs, id_col, text_col)
     spans = repeated_spans(distinct, hot).groupBy("doc", "rank").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    release(spark)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
