@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import gc
 import re
 import tempfile
 import uuid
@@ -14,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[tempfile.TemporaryDirectory] = []
 _CLEANED: set[str] = set()
+#: Spark's setting by which an execution removes its shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders made in each open scope of intermediates.
 _SCOPES: list[list[str]] = []
 
@@ -71,20 +72,20 @@ def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in a shared folder and return it as read from there; ``keep`` it beyond a scope of intermediates.
 
     The lineage ends at those files: a lost executor costs only the tasks it ran, and
-    several readers of the result don't compute it again.
+    several readers of the result don't compute it again. Spark removes the write's own shuffle files when it ends, as nothing reads them again.
     """
-    path = f"{shared_dir(df.sparkSession, keep)}/{label}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark, keep)}/{label}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder that ``shared_dir`` gave, when nothing will read it again."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     _delete(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results have been written: it does so when their frames are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
