@@ -89,16 +89,29 @@ def stitch(edges: DataFrame, priority: dict[str, int], least: float) -> DataFram
     """node_type, node_value, root_type, root_value, entity_id, cluster_size, from the edges with at least that confidence.
 
     The root of a component is its node of the lowest type priority, then of the lesser ``type:value``; the
-    entity's id is a digest of the root's key.
+    entity's id is a digest of the root's key. Nodes are numbered once in that order, so the rounds move pairs of
+    longs and not names; names are joined back at the end.
     """
     def node(e: str) -> Column:
-        return F.struct(_lookup(F.col(f"{e}_type"), priority, 99).alias("priority"), F.concat_ws(":", f"{e}_type", f"{e}_value").alias("key"), F.col(f"{e}_type").alias("type"), F.col(f"{e}_value").alias("value"))
+        return F.struct(F.col(f"{e}_type").alias("type"), F.col(f"{e}_value").alias("value"))
 
-    strong = edges.where(F.col("confidence") >= least)
-    found = components(strong.select(node("a").alias("u"), node("b").alias("v")))
-    size = found.groupBy("component").agg(F.count("*").alias("cluster_size"))
-    out = found.join(size, "component")
-    return out.select(F.col("node.type").alias("node_type"), F.col("node.value").alias("node_value"), F.col("component.type").alias("root_type"), F.col("component.value").alias("root_value"), entity_id(F.col("component.key")).alias("entity_id"), "cluster_size")
+    links = materialize(edges.where(F.col("confidence") >= least).select(node("a").alias("u"), node("b").alias("v")).distinct(), "links")
+    nodes = _numbered(links.select(F.explode(F.array("u", "v")).alias("node")).distinct(), priority)
+    of = lambda end: nodes.select(F.col("node").alias(end), F.col("number").alias(f"{end}_number"))
+    pairs = links.join(of("u"), "u").join(of("v"), "v")
+    found = components(pairs.select(F.col("u_number").alias("u"), F.col("v_number").alias("v")))
+    roots = found.groupBy("component").agg(F.count("*").alias("cluster_size")).join(nodes.select(F.col("number").alias("component"), F.col("node").alias("root"), "key"), "component")
+    out = found.join(roots, "component").join(nodes.select(F.col("number").alias("node"), F.col("node").alias("name")), "node")
+    return out.select(F.col("name.type").alias("node_type"), F.col("name.value").alias("node_value"), F.col("root.type").alias("root_type"), F.col("root.value").alias("root_value"), entity_id(F.col("key")).alias("entity_id"), "cluster_size")
+
+
+def _numbered(nodes: DataFrame, priority: dict[str, int]) -> DataFrame:
+    """node, key, number, written: numbers rise with the type's priority, then the key, then the node itself; they have gaps.
+
+    A range sort in parallel, whose partitions are in order, and so are the numbers given within them.
+    """
+    keyed = nodes.select("node", F.concat_ws(":", "node.type", "node.value").alias("key"), _lookup(F.col("node.type"), priority, 99).alias("priority"))
+    return materialize(keyed.orderBy("priority", "key", "node").select("node", "key", F.monotonically_increasing_id().alias("number")), "nodes")
 
 
 def entity_id(key: Column, prefix: str = "ent_") -> Column:
