@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, DoubleType, StructField, StructType
 
 from sluicework.storage import materialize
 
@@ -69,54 +69,103 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def nearest(df: DataFrame, id_col: str, vector: str, items: DataFrame, item: str, item_vector: str, block: int = 1000) -> DataFrame:
+#: Items of up to so many bytes of vectors go to every task; beyond that both sides are dealt out in parts of about this size.
+PART_BYTES = 16 << 20
+
+
+def nearest(df: DataFrame, id_col: str, vector: str, items: DataFrame, item: str, item_vector: str, part_bytes: int = PART_BYTES) -> DataFrame:
     """id_col, best, score: the item whose vector has the greatest cosine, rounded to nine digits, to each row's; of ties the least item.
 
-    ``items`` is the query set of any size: its blocks of some ``block`` items go to the tasks one by one, each is
-    scored against all rows, and the best over blocks is kept; rows of one id count as one. Items without a name or a vector of some length are
+    ``items`` is the query set of any size. Up to ``part_bytes`` of vectors it is sent to the tasks, and the rows stay where they are. Beyond, rows
+    and items are each dealt by hash into parts of about that size, and a task scores one part of rows against one of items; the best over parts is
+    kept: one plan, whatever the number of items. Rows of one id count as one. Items without a name or a vector of some length are
     none; rows without one, or of another length than the items', have null best and score.
     """
-    named = items.where(F.col(item).isNotNull() & F.col(item_vector).isNotNull()).select(F.col(item).alias("item"), F.col(item_vector).cast("array<double>").alias("v"))
-    named = materialize(named, "items")
-    blocks = max(1, -(-named.count() // block))
-    named = named.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
+    known = items.where(F.col(item).isNotNull() & F.col(item_vector).isNotNull()).select(F.col(item).alias("item"), F.col(item_vector).cast("array<double>").alias("v"))
+    known = materialize(known.distinct(), "items")
     rows = df.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    none = rows.select("id", F.lit(None).cast(named.schema["item"].dataType).alias("best"), F.lit(None).cast("double").alias("score"))
-    schema = none.schema
-    parts = []
-    for k in range(blocks):
-        known = sorted(((r["item"], np.array(r["v"], float)) for r in named.where(F.col("block") == k).collect()), key=lambda x: x[0])
-        for length in sorted({len(v) for _, v in known}):
-            parts.append(rows.where(F.size("v") == length).mapInArrow(_scorer([x for x in known if len(x[1]) == length], schema["best"].dataType), schema))
-    scored = reduce(DataFrame.unionByName, parts, none)
+    kind = known.schema["item"].dataType
+    schema = StructType([rows.schema["id"], StructField("best", kind), StructField("score", DoubleType())])
+    parts = _parts(known, "item", part_bytes)
+    if parts == 1:
+        scored = rows.mapInArrow(_scorer(sorted(((r["item"], r["v"]) for r in known.collect()), key=lambda x: x[0]), kind), schema)
+    else:
+        rows = materialize(rows.distinct(), "rows")  # one row may be most of them, and would be one part
+        many = _parts(rows, "id", part_bytes)
+        part = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        left = rows.withColumn("rows_part", part(many, "id", "v")).withColumn("items_part", every(parts))
+        right = known.withColumn("items_part", part(parts, "item", "v")).withColumn("rows_part", every(many))
+        scored = left.groupBy("rows_part", "items_part").cogroup(right.groupBy("rows_part", "items_part")).applyInArrow(_part_scorer(kind), schema)
+        scored = scored.unionByName(rows.select("id", F.lit(None).cast(kind).alias("best"), F.lit(None).cast("double").alias("score")))
     # greatest score first, then the least item
     top = F.min(F.when(F.col("score").isNotNull(), F.struct((-F.col("score")).alias("minus"), "best")))
     return scored.groupBy("id").agg(top.alias("top")).select(F.col("id").alias(id_col), "top.best", (-F.col("top.minus")).alias("score"))
 
 
-def _scorer(known: list[tuple[object, np.ndarray]], kind: DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function of Arrow batches of id and vectors of one length: the nearest of the known ones."""
-    unit = [(name, v / n) for name, v in known if (n := np.sqrt(v @ v)) > 0 and np.isfinite(n)]
-    names, matrix = [name for name, _ in unit], np.array([v for _, v in unit])
+def _parts(vectors: DataFrame, name: str, part_bytes: int) -> int:
+    """The number of parts of about ``part_bytes`` that the vectors and their names make."""
+    bytes_ = F.greatest(F.size("v"), F.lit(0)).cast("long") * 8 + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16
+    size = vectors.agg(F.sum(bytes_)).first()[0] or 0
+    return max(1, -(-size // part_bytes))
+
+
+def _scorer(known: list[tuple[object, list]], kind: DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of Arrow batches of id and vectors: the nearest of the known items, which are in ascending order, or nulls."""
+    names, units = _units(known)
     kind = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows or not names:
-                continue
-            vectors = np.array([[np.nan if x is None else x for x in v] for v in batch.column(1).to_pylist()])
-            norms = np.sqrt((vectors * vectors).sum(axis=1))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                cosines = np.round((vectors @ matrix.T) / norms[:, None], 9)
-            some = np.isfinite(cosines).all(axis=1)
-            at = np.where(some, np.where(np.isfinite(cosines), cosines, -2).argmax(axis=1), 0)
-            best = [names[i] if ok else None for i, ok in zip(at.tolist(), some.tolist(), strict=True)]
-            score = [float(cosines[j, i]) if ok else None for j, (i, ok) in enumerate(zip(at.tolist(), some.tolist(), strict=True))]
-            yield pa.RecordBatch.from_pydict({"id": batch.column(0), "best": pa.array(best, kind), "score": pa.array(score, pa.float64())})
+            if batch.num_rows:
+                yield from _best(batch.column(0), batch.column(1).to_pylist(), names, units, kind).to_batches()
+
+    return run
+
+
+def _part_scorer(kind: DataType) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A function of a part of rows (id, v) and a part of items (item, v)."""
+    kind = to_arrow_type(kind)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        names, units = _units(sorted(zip(right["item"].to_pylist(), right["v"].to_pylist(), strict=True), key=lambda x: x[0]))
+        step = 1000  # a thousand rows at a time meet the items
+        slices = [left.slice(k, step) for k in range(0, left.num_rows, step)] or [left]
+        return pa.concat_tables([_best(t["id"], t["v"].to_pylist(), names, units, kind) for t in slices])
 
     return run
 
 
+def _units(known: list[tuple[object, list]]) -> tuple[dict[int, list], dict[int, np.ndarray]]:
+    """Names and a matrix of unit vectors per length of vector, in the order given; vectors without a finite length are left out."""
+    names, rows = defaultdict(list), defaultdict(list)
+    for name, v in known:
+        v = np.array(v, float)  # a null component becomes nan
+        norm = np.sqrt(v @ v)
+        if norm > 0 and np.isfinite(norm):
+            names[len(v)].append(name)
+            rows[len(v)].append(v / norm)
+    return names, {length: np.array(r) for length, r in rows.items()}
+
+
+def _best(ids: pa.Array | pa.ChunkedArray, vectors: list, names: dict[int, list], units: dict[int, np.ndarray], kind: pa.DataType) -> pa.Table:
+    """id, best, score of each vector among the items of its length; of ties the first."""
+    best, score = [None] * len(vectors), [None] * len(vectors)
+    for length, matrix in units.items():
+        at = [k for k, v in enumerate(vectors) if v is not None and len(v) == length]
+        if not at:
+            continue
+        mine = np.array([[np.nan if x is None else x for x in vectors[k]] for k in at], float)
+        norms = np.sqrt((mine * mine).sum(axis=1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cosines = np.round((mine @ matrix.T) / norms[:, None], 9)
+        for k, row in zip(at, cosines, strict=True):
+            if np.isfinite(row).all():
+                j = int(row.argmax())
+                best[k], score[k] = names[length][j], float(row[j])
+    return pa.table({"id": ids, "best": pa.array(best, kind), "score": pa.array(score, pa.float64())})
+
+
 def group_similarity(df: DataFrame, item: str, vector: str, group: str) -> DataFrame:
     """item, group, similarity: the mean cosine of each item to the other members of its group.
 

@@ -132,24 +132,25 @@ def test_as_of_over_slots(spark):
     assert {r.value_as_of for r in joins.as_of(df, "ts", h.limit(0), ["k"], "since", ["value"]).collect()} == {None}
 
 
-def test_nearest_in_blocks(spark):
-    """Several blocks, ties, and vectors that are null, empty, of no length or of another size."""
+def test_nearest_in_parts(spark):
+    """Items sent whole and in parts, ties, one row repeated most often, and vectors that are null, empty, partly null, of no length or of another size."""
     rng = np.random.default_rng(5)
     items = [(f"i{k}", rng.integers(-3, 4, 4).astype(float).tolist()) for k in range(57)] + [("tie", [2.0, 0.0, 0.0, 0.0]), ("aa", [5.0, 0.0, 0.0, 0.0]), (None, [1.0] * 4), ("no", None), ("zero", [0.0] * 4), ("short", [1.0])]
-    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(200)] + [(900, [1.0, 0.0, 0.0, 0.0]), (901, None), (902, []), (903, [0.0] * 4), (904, [2.0]), (905, [1.0] * 3), (900, [1.0, 0.0, 0.0, 0.0])]
+    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(200)] + [(900, [1.0, 0.0, 0.0, 0.0]), (901, None), (902, []), (903, [0.0] * 4), (904, [2.0]), (905, [1.0] * 3), (906, [1.0, None, 0.0, 0.0])] + [(900, [1.0, 0.0, 0.0, 0.0])] * 300
     want = {}
     for i, v in rows:
         scored = []
         for name, k in items:
-            if name is not None and k is not None and v is not None and len(k) == len(v) and any(k) and any(v):
+            if name is not None and k is not None and v is not None and len(k) == len(v) and any(k) and any(v) and None not in v:
                 scored.append((-round(float(np.dot(v, k) / np.sqrt(np.dot(v, v)) / np.sqrt(np.dot(k, k))), 9), name))
         want[i] = min(scored) if scored else (None, None)
     df, known = frame(spark, rows, "id int, v array<double>"), frame(spark, items, "item string, v array<double>")
-    for block in (5, 1000):
-        got = {r.id: (None if r.score is None else pytest.approx(-r.score, abs=2e-9), r.best) for r in joins.nearest(df, "id", "v", known, "item", "v", block).collect()}
+    for part_bytes in (900, 1 << 20):
+        got = {r.id: (None if r.score is None else pytest.approx(-r.score, abs=2e-9), r.best) for r in joins.nearest(df, "id", "v", known, "item", "v", part_bytes).collect()}
         assert got == want
     assert {r.best for r in joins.nearest(df, "id", "v", known.limit(0), "item", "v").collect()} == {None}
     assert joins.nearest(df.limit(0), "id", "v", known, "item", "v").count() == 0
+    assert joins.nearest(df.limit(0), "id", "v", known, "item", "v", 900).count() == 0
 
 
 def test_components_chain_and_star(spark):
