@@ -204,9 +204,9 @@ def freshness_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 p AS (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY run_at DESC) AS place, lead(days_behind) OVER (PARTITION BY table_name ORDER BY run_at DESC) AS prior FROM r)
 SELECT table_name, 'PASS' AS audit_status FROM p WHERE place <= 3 GROUP BY table_name HAVING count(*) = 3 AND bool_and(place = 3 OR days_behind > prior)""")
 def at_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values that rose over the last three runs."""
+    """Values that rose over the last three runs; halves go to the even number, as in the SQL's cast."""
     runs = merge.dedup_latest(read(spark, sf_dir, "orders"), ["o_custkey", "o_orderdate"], -F.col("o_orderkey"))
-    runs = runs.select(F.col("o_custkey").alias("table_name"), F.col("o_orderdate").alias("run_at"), F.round("o_totalprice").cast("long").alias("days_behind"), F.lit("PASS").alias("audit_status"))
+    runs = runs.select(F.col("o_custkey").alias("table_name"), F.col("o_orderdate").alias("run_at"), F.rint("o_totalprice").cast("long").alias("days_behind"), F.lit("PASS").alias("audit_status"))
     return freshness.at_risk(runs)
 
 
