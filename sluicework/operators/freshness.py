@@ -47,7 +47,9 @@ def upstream_gate(ages: DataFrame, force: bool = False) -> DataFrame:
 def reliability(m: dict[str, Column]) -> Column:
     """0 to 100: success .45, freshness .20, quality .15, anomaly .10 and schema stability .10, each a share in 0..1."""
     weights = {"success": 45, "freshness": 20, "quality": 15, "anomaly": 10, "schema": 10}
-    return F.round(sum((w * F.least(F.greatest(F.coalesce(m[k], F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) for k, w in weights.items()), F.lit(0.0)), 1)
+    total = sum((w * F.least(F.greatest(F.coalesce(m[k], F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) for k, w in weights.items()), F.lit(0.0))
+    # ten times the total is rounded, as the SQL does: by its decimal digits 62.849999999999994, a sum of exact shares of 62.85, would be 62.8
+    return F.round(total * 10) / 10
 
 
 def grade(score: Column) -> Column:
