@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.operators.components import components
-from sluicework.storage import materialize
+from sluicework.storage import materialize, small_tasks
 
 ENDS = ("a_type", "a_value", "b_type", "b_value")
 
@@ -17,8 +17,10 @@ ENDS = ("a_type", "a_value", "b_type", "b_value")
 def aggregate_edges(edges: DataFrame) -> DataFrame:
     """One undirected edge per pair and rule: observations, first and last seen, confidence = min(cap, base x log2(n + 1)).
 
-    The lesser end comes first. Of several bases of one rule the highest counts, then the lesser source.
+    The lesser end comes first. Of several bases of one rule the highest counts, then the lesser source. Nearly every pair is a
+    row of its own, so tasks hold about all that they read, and are kept small.
     """
+    small_tasks(edges.sparkSession)
     a, b = F.struct(F.col("a_type").alias("type"), F.col("a_value").alias("value")), F.struct(F.col("b_type").alias("type"), F.col("b_value").alias("value"))
     directed = edges.where(a != b).withColumn("lo", F.least(a, b)).withColumn("hi", F.greatest(a, b))
     keys = [F.col("lo.type").alias("a_type"), F.col("lo.value").alias("a_value"), F.col("hi.type").alias("b_type"), F.col("hi.value").alias("b_value"), "match_rule"]

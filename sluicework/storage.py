@@ -15,6 +15,8 @@ _OWN: list[tempfile.TemporaryDirectory] = []
 _CLEANED: set[str] = set()
 #: Spark's setting by which an execution removes its shuffle files when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: What one task reads of files or of a shuffle, at most about; a task sorts and hashes what it has read, so this bounds its memory.
+TASK_BYTES = 8 << 20
 #: Folders made in each open scope of intermediates.
 _SCOPES: list[list[str]] = []
 
@@ -68,6 +70,16 @@ def _delete(fs, top) -> None:
         fs.delete(top, True)
 
 
+def small_tasks(spark: SparkSession) -> None:
+    """From now on tasks of this session read about ``TASK_BYTES`` at most, so a task's memory doesn't grow with the tables.
+
+    It stays set: Spark reads these when a frame runs, which may be later. Smaller settings are kept.
+    """
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key, "64m"))
+        spark.conf.set(key, str(min(now, TASK_BYTES)))
+
+
 def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in a shared folder and return it as read from there; ``keep`` it beyond a scope of intermediates.
 
