@@ -179,3 +179,67 @@ def group_similarity(df: DataFrame, item: str, vector: str, group: str) -> DataF
     n = unit.groupBy(group).agg(F.count("*").alias("n"))
     dot = F.aggregate(F.zip_with("unit", "total", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     return unit.join(whole, group).join(n, group).where("n > 1").select(item, group, ((dot - 1) / (F.col("n") - 1)).alias("similarity"))
+
+
+#: Pairs of items that a part of ``most_overlap`` has on average, and that a task holds before it sums them up.
+PART_PAIRS = 4 << 20
+
+
+def most_overlap(df: DataFrame, item: str, value: str, most: int, part_pairs: int = PART_PAIRS, held: int = PART_PAIRS) -> DataFrame:
+    """a, b, shared, place: for each item the ``most`` others that it shares most distinct values with; of ties the lesser item. Items are integers.
+
+    A value's items are sent as one list to each part of the items that has some of them, and pairs are made and counted there: so what is
+    shuffled is a list for a part and not a row for a pair, and all pairs of an item meet in one task. Parts are as many as the pairs ask for.
+    """
+    rows = df.select(F.col(item).cast("long").alias("a"), F.col(value).alias("v")).where("a IS NOT NULL AND v IS NOT NULL")
+    lists = materialize(rows.groupBy("v").agg(F.array_sort(F.collect_set("a")).alias("items")).where(F.size("items") > 1).select("items"), "lists")
+    pairs = lists.agg(F.sum(F.size("items").cast("long") * F.size("items"))).first()[0] or 0
+    parts = max(1, -(-pairs // part_pairs))
+    of = lambda x: F.pmod(x, F.lit(parts)).cast("int")
+    sent = lists.select(F.explode(F.array_distinct(F.transform("items", of))).alias("part"), "items")
+    sent = sent.repartition(max(1, min(parts, 20_000)), "part")
+    return sent.mapInArrow(_overlaps(parts, most, held), "a long, b long, shared long, place int")
+
+
+def _overlaps(parts: int, most: int, held: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of Arrow batches of part and list of items: the greatest overlaps of the items of each part that comes."""
+
+    def summed(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((b, a))
+        a, b, n = a[order], b[order], n[order]
+        first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        return a[first], b[first], np.add.reduceat(n, first)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, size, limit = [], 0, held
+        for batch in batches:
+            flat, lengths = batch.column(1).flatten().to_numpy(), batch.column(1).value_lengths().to_numpy()
+            ends = np.cumsum(lengths)
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            mine = np.flatnonzero(flat % parts == batch.column(0).to_numpy()[row])
+            per = lengths[row[mine]].astype(np.int64)
+            cut = 0
+            while cut < len(mine):  # own items, as many as make about so many pairs, or one
+                upto = cut + max(1, int(np.searchsorted(np.cumsum(per[cut:]), held, "right")))
+                some, n = mine[cut:upto], per[cut:upto]
+                start = (ends - lengths)[row[some]]
+                at = np.repeat(start - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+                a, b = np.repeat(flat[some], n), flat[at]
+                other = a != b
+                kept.append((a[other], b[other], np.ones(other.sum(), np.int64)))
+                size, cut = size + len(kept[-1][0]), upto
+                if size > limit:
+                    kept = [summed(*map(np.concatenate, zip(*kept, strict=True)))]
+                    size = len(kept[0][0])
+                    limit = max(held, 2 * size)
+        if size:
+            a, b, n = summed(*map(np.concatenate, zip(*kept, strict=True)))
+            order = np.lexsort((b, -n, a))
+            a, b, n = a[order], b[order], n[order]
+            first = np.r_[True, a[1:] != a[:-1]]
+            place = np.arange(len(a)) - np.maximum.accumulate(np.where(first, np.arange(len(a)), 0)) + 1
+            top = place <= most
+            out = pa.record_batch([pa.array(a[top]), pa.array(b[top]), pa.array(n[top]), pa.array(place[top].astype(np.int32))], ["a", "b", "shared", "place"])
+            yield from (out.slice(k, 10_000) for k in range(0, out.num_rows, 10_000))
+
+    return run

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.operators import freshness, graph, quality, rules, runs, series
+from sluicework.operators import freshness, graph, joins, quality, rules, runs, series
 from sluicework.plans.queries import _SERIES, _series, query, read
 
 
@@ -29,11 +29,7 @@ def parity_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT a, b, shared, place FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY shared DESC, b) AS place FROM o) WHERE place <= 3""")
 def supplier_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three suppliers with most parts in common, per supplier; a top-3 report."""
-    p = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
-    q = p.select(F.col("l_suppkey").alias("b"), F.col("l_partkey").alias("k"))
-    shared = p.join(q, (F.col("l_partkey") == F.col("k")) & (F.col("l_suppkey") != F.col("b"))).groupBy(F.col("l_suppkey").alias("a"), "b").agg(F.count("*").alias("shared"))
-    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
-    return shared.withColumn("place", place).where("place <= 3")
+    return joins.most_overlap(read(spark, sf_dir, "lineitem"), "l_suppkey", "l_partkey", 3)
 
 
 _RULES = [rules.Rule("metal", "%ring%", 2), rules.Rule("tool", "%widget%", 1, unless="red%"), rules.Rule("small", "small%", 3), rules.Rule("red", "red%", 4), rules.Rule("other", "%", 9)]
