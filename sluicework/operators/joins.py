@@ -196,7 +196,8 @@ def most_overlap(df: DataFrame, item: str, value: str, most: int, part_pairs: in
     pairs = lists.agg(F.sum(F.size("items").cast("long") * F.size("items"))).first()[0] or 0
     parts = max(1, -(-pairs // part_pairs))
     of = lambda x: F.pmod(x, F.lit(parts)).cast("int")
-    sent = lists.select(F.explode(F.array_distinct(F.transform("items", of))).alias("part"), "items")
+    # dealt by number first, as a task that sends lists holds them once for each part
+    sent = lists.repartition(max(1, min(parts // 2, 20_000))).select(F.explode(F.array_distinct(F.transform("items", of))).alias("part"), "items")
     sent = sent.repartition(max(1, min(parts, 20_000)), "part")
     return sent.mapInArrow(_overlaps(parts, most, held), "a long, b long, shared long, place int")
 
