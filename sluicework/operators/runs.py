@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from sluicework.operators import freshness
 
 
+def steady_avg(column: str) -> Column:
+    """The mean of doubles, which doesn't depend on how rows are dealt: multiples of 2^-20 add up without rounding, and what is left over is too small to round."""
+    x, step = F.col(column), F.lit(float(1 << 20))
+    high = F.rint(x * step) / step
+    low = F.when(F.abs(x) < float(1 << 32), x - high).otherwise(0.0)
+    return F.try_divide(F.sum(high) + F.sum(low), F.count(x))
+
+
 def scorecard(names: DataFrame, parts: dict[str, DataFrame], key: str) -> DataFrame:
     """All names with the columns of each part (a row per key at most), left-joined; and score, grade.
 
