@@ -13,7 +13,7 @@
 5. Another scan gives the places in documents of the rare seeds that are left, behind a Bloom filter of bounded size, and these are
    joined with the items on the seed. That is two scans, however many items there are. Hits are counted in
    windows of documents, and windows with ``ASK`` places of an item stay.
-6. The words around such a window are joined with the item's. Where all of its seeds have hits enough, and from enough of its places, they
+6. A scan behind a filter of the documents with such windows picks these, so that no other text is shuffled. The words around such a window are joined with the item's. Where all of its seeds have hits enough, and from enough of its places, they
    are aligned. So no leak is missed, however it is edited and however
    often its words occur elsewhere, and the score is that of aligning with the whole document.
 
@@ -271,6 +271,19 @@ def rare_seeds(rows: DataFrame, seeds: DataFrame, steps: tuple[int, ...], most_b
     return materialize(seeds.join(kept, ["item", "place"]).select("item", "place", "gram", "span", "ask"), "rare")
 
 
+def _suspects(rows: DataFrame, found: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """The rows (doc_id, th, text) that have a row in ``found``, and few others: the texts without any aren't sent by the join that follows."""
+    key = F.xxhash64("doc_id", "th")
+    passing = seed_filter(found.select(key.alias("gram")).distinct(), most_bits)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yes = passing.value.passes(batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64))
+            yield batch.select(["doc_id", "th", "text"]).filter(pa.array(yes))
+
+    return materialize(rows.select("doc_id", "th", "text", key.alias("key")).mapInArrow(keep, "doc_id long, th long, text string"), "suspects")
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least_score: float = LEAST_SCORE, most_bits: int = MOST_BITS) -> DataFrame:
     """A row for each document and item that it leaks: doc_id, th, item_id, score, start_word, end_word, n_hits."""
     bounded_batches(docs.sparkSession)
@@ -295,7 +308,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     found = found.groupBy("doc_id", "th", "item", "slot", "span", "ask").agg(F.size(F.collect_set("place")).alias("n")).where("n >= ask")
     found = materialize(found.select("doc_id", "th", "item", "slot", "span"), "hits")
     wanted = found.groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t")).agg(F.collect_list(F.struct("item", "slot", "span")).alias("wanted"))
-    near = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select("doc_id", "th", "text", "wanted")
+    near = _suspects(rows, found, most_bits).join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select("doc_id", "th", "text", "wanted")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words around the windows of each item: windows that touch together, and a slot more on both sides."""

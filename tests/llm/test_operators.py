@@ -320,6 +320,17 @@ def test_leaks(spark):
     assert decontamination.leaks(docs, items.where("false")).count() == 0 and decontamination.leaks(docs.where("false"), items).count() == 0
 
 
+def test_leaks_send_no_text_without_hits(spark, monkeypatch):
+    """What the join of texts with windows gets has the documents with windows, also where it is no broadcast, and few others."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(k if k else None, text(k % 200)) for k in range(400)]
+    kept, plain = {}, decontamination.materialize
+    monkeypatch.setattr(decontamination, "materialize", lambda df, label: kept.setdefault(label, plain(df, label)))
+    got = decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, text(0)), (2, text(7))], "item_id long, text string"))
+    assert Counter((r.doc_id, r.item_id) for r in got.collect()) == Counter([(None, 1), (200, 1), (7, 2), (207, 2)])
+    assert kept["suspects"].count() < 20 and kept["suspects"].join(kept["hits"], "th", "left_semi").count() == 4
+
+
 def test_leaks_edited_copies(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "HITS", 500)
     rng = np.random.default_rng(11)
