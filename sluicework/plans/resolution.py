@@ -40,8 +40,7 @@ def graph_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where chains of some hundred redirects end; every fifth chain is a cycle. Runs that said otherwise before are outdated."""
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", (F.col("o_custkey") % 25).alias("g"))
     order = Window.partitionBy("g").orderBy("o_orderdate", "o_orderkey")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = F.coalesce(F.lead("o_orderkey").over(order), F.when(F.col("g") % 5 == 0, F.first("o_orderkey").over(whole)))
+    after = F.coalesce(F.lead("o_orderkey").over(order), F.when(F.col("g") % 5 == 0, F.first("o_orderkey").over(order)))
     now = o.select(F.col("o_orderkey").alias("old_id"), after.alias("new_id"), F.lit(2).alias("run"))
     outdated = o.select(F.col("o_orderkey").alias("old_id"), F.lit(0).cast("long").alias("new_id"), F.lit(1).alias("run")).join(now.where("new_id IS NOT NULL").select("old_id"), "old_id", "left_semi")
     return redirects.resolve(redirects.latest_redirects(now.unionByName(outdated)))

@@ -45,6 +45,22 @@ def test_resolve_long_chains(spark, monkeypatch, n, cyclic):
         assert {r.current_id for r in got.values()} == {f"{n:05d}"} and got["tail"].hops == n + 1
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_resolve_takes_pointers_out(spark, monkeypatch, seed):
+    """Chains, trees and cycles are resolved alike if pointers are taken out first, and what is written is a multiple of their number."""
+    rows, plain = [], redirects.materialize
+    monkeypatch.setattr(redirects, "FEW", 20)
+    monkeypatch.setattr(redirects, "materialize", lambda df, label: (out := plain(df, label), rows.append(out.count()))[0])
+    rng = random.Random(seed)
+    chain = {i: i + 1 for i in range(300)}
+    cycle = {i: 1000 + (i - 999) % 90 for i in range(1000, 1090)} | {2000: 2001, 2001: 2000}
+    tree = {i: rng.choice([rng.randrange(300), rng.randrange(1000, 1090), rng.randrange(2000, 2002), 5000]) for i in range(3000, 3100)}
+    target = chain | cycle | tree
+    got = redirects.resolve(spark.createDataFrame(list(target.items()), "old_id long, new_id long")).collect()
+    assert len(got) == len(target) and {r.old_id: (r.current_id, r.hops, r.in_cycle) for r in got} == {i: brute_end(target, i) for i in target}
+    assert len(rows) > 15 and sum(rows) < 8 * len(target)
+
+
 def test_latest_redirects(spark):
     rows = [("a", "b", 1), ("a", "c", 2), ("a", "d", 2), ("b", "b", 3), (None, "x", 1), ("e", None, 1), ("f", "a", None)]
     got = redirects.latest_redirects(spark.createDataFrame(rows, "old_id string, new_id string, run int")).collect()
