@@ -88,10 +88,10 @@ def neighbours(pairs: DataFrame, most: int, weight: str = "weight") -> DataFrame
     """From undirected pairs (a, b, weight) each node's ``most`` heaviest neighbours: node, neighbour, weight, place, degree.
 
     Ties go to the lesser neighbour. The limit by place acts before the shuffle too, so a hub sends few rows from each task;
-    degrees are counted, not collected.
+    degrees are counted, not collected. What both read is written first, so the pairs are computed once.
     """
     both = pairs.select(F.col("a").alias("node"), F.col("b").alias("neighbour"), weight).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("neighbour"), weight)).where("node != neighbour")
-    both = both.groupBy("node", "neighbour").agg(F.sum(weight).alias("weight"))
+    both = materialize(both.groupBy("node", "neighbour").agg(F.sum(weight).alias("weight")), "neighbours")
     best = Window.partitionBy("node").orderBy(F.col("weight").desc(), "neighbour")
     top = both.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
     degree = both.groupBy("node").agg(F.count("*").alias("degree"))

@@ -76,6 +76,19 @@ def test_neighbours_of_hubs(spark):
     assert got.where("node = 'x'").count() == 0 and got.count() == 3 + 3000
 
 
+def test_neighbours_compute_pairs_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    pairs = spark.createDataFrame([(f"n{i % 7}", f"m{i}", i) for i in range(50)], "a string, b string, weight long").mapInPandas(watched, "a string, b string, weight long")
+    assert redirects.neighbours(pairs.coalesce(1), 3).count() == 7 * 3 + 50
+    assert seen.value <= 2 * 50  # both directions
+
+
 def test_lineage_merges_and_splits_at_once(spark):
     before = spark.createDataFrame([*((i, "A") for i in range(6)), *((i, "B") for i in range(6, 8)), *((i, "C") for i in range(8, 11))], "node int, id string")
     now = [(i, "X") for i in range(4)] + [(i, "Y") for i in (4, 5, 6, 7, 8)] + [(9, "Z"), (10, "Z"), (50, "N")]
