@@ -186,7 +186,9 @@ def restitch(edges: DataFrame, before: DataFrame, changed: DataFrame, priority:
     ``changed`` has at least one end of each edge that is new, gone or of another confidence. Edges between nodes of unlike old entities
     are the only ones that can join these; they are contracted to pairs of entities (a node without one is its own), whose components are
     all that a change can reach, however far. The edges of those entities are stitched. So the rounds are over new links, not over the graph.
+    ``before`` is read four times and so is written first.
     """
+    before = materialize(before, "before")
     strong = edges.where(F.col("confidence") >= least)
     own = lambda t, v: F.concat_ws(":", F.lit("new"), t, v)
     for e in "ab":
