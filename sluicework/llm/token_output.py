@@ -33,12 +33,10 @@ were read, and may lie in several shards; very long texts are encoded one at a t
 
 from __future__ import annotations
 
-import array
 import itertools
 import json
 import os
 import re
-import sys
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -80,26 +78,36 @@ _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: How byte-level vocabularies write bytes as characters: printable ones as they are, the others from U+0100 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(0x100 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
-_CACHE_UNITS = 250_000
+_SPACE = _BYTE_CHARS[32]
+#: Units of a generation, of which two are held.
+_CACHE_UNITS = 400_000
 _ENCODERS: dict[str, Encoder] = {}
 
 
 class _Cache(dict):
-    """Ids of units that follow a space, learned as they come; emptied when it has grown to its bound."""
+    """Ids of units that follow a space, learned as they come. A full generation becomes the old one, from which units that are used go over to the next."""
 
     def __init__(self, learn, most: int = _CACHE_UNITS):
         super().__init__()
-        self.learn, self.most = learn, most
+        self.learn, self.most, self.old = learn, most, {}
 
     def __missing__(self, unit: str) -> bytes:
         if len(self) >= self.most:
+            self.old = self.copy()
             self.clear()
-        ids = self[unit] = self.learn(unit)
+        ids = self.old.get(unit)
+        if ids is None:
+            ids = self.learn(unit)
+        self[unit] = ids
         return ids
 
+    def find(self, unit: str) -> bytes | None:
+        """Ids of a unit that is known; others aren't learned."""
+        return self.get(unit) or self.old.get(unit)
+
 
 class Encoder:
-    """The ids of whole texts, as bytes of ``dtype``. Words met before come from caches of bounded size.
+    """The ids of whole texts, as bytes of ``dtype``. Units met before come from a cache of bounded size.
 
     Byte-level tokenizers without a normalizer cut a text before each single inner space, whatever
     stands around it, so the ids of a text are those of its first unit and of its space-led units in
@@ -113,48 +121,56 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         pre = self.tokenizer.pre_tokenizer
         self.by_unit = self.tokenizer.normalizer is None and isinstance(pre, pre_tokenizers.ByteLevel) and pre.use_regex and not pre.add_prefix_space
-        self.units, self.pieces = _Cache(self._unit), _Cache(self._piece)
+        self.packed = [int(i).to_bytes(np.dtype(self.dtype).itemsize, "little") for i in range(max(self.tokenizer.get_vocab().values(), default=0) + 1)]
+        self.units, self.marks = _Cache(self._unit), _Cache(self._piece)
 
-    def _ids(self, ids: list[int]) -> bytes:
-        packed = array.array("H" if self.dtype == "<u2" else "I", ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
+    def _ids(self, encoding) -> bytes:
+        return b"".join([self.packed[i] for i in encoding.ids])
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece, which is written with the library's characters for bytes."""
-        return self._ids([t.id for t in self.tokenizer.model.tokenize(piece)])
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize(piece)])
 
-    def _unit(self, unit: str, lead: str = " ") -> bytes:
+    def _unit(self, unit: str) -> bytes:
+        if unit.isascii() and unit.isalpha():  # such words are written as they are
+            return self._piece(_SPACE + unit)
         word = unit.rstrip(_MARKS)
-        if word.isascii() and word.isalpha():  # such words are written as they are
-            piece = self.pieces[(_BYTE_CHARS[32] if lead else "") + word]
-            return piece + self.pieces[unit[len(word) :]] if len(word) < len(unit) else piece
         if unit and max(unit) < "\u0250":
-            if word.isalpha() or not word:
-                head, marks = (word, unit[len(word) :]) if word else (unit, "")
-                chars = (lead + head).encode().decode("latin-1").translate(_BYTE_CHARS)
-                return self.pieces[chars] + (self.pieces[marks] if marks else b"")
+            if not word:
+                return self._piece(_SPACE + unit)
+            if word.isalpha():
+                if len(word) < len(unit):
+                    return (self.units.find(word) or self._letters(" " + word)) + self.marks[unit[len(word) :]]
+                return self._letters(" " + word)
             before, line, after = unit.partition("\n")
             if line and before and after and not before[-1].isspace() and not after[0].isspace():
-                return self._unit(before, lead) + self.pieces[_BYTE_CHARS[10]] + self._unit(after, "")
-        return b"".join([self.pieces[piece] for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(lead + unit)])
+                end = after.rstrip(_MARKS)
+                if end.isalpha():
+                    after_ids = self._letters(end) + (self.marks[after[len(end) :]] if len(end) < len(after) else b"")
+                    return (self.units.find(before) or self._unit(before)) + self.marks[_BYTE_CHARS[10]] + after_ids
+        return b"".join([self._piece(piece) for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + unit)])
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word, with a space before it or not."""
+        return self._piece(word.encode().decode("latin-1").translate(_BYTE_CHARS))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text the bytes of its ids."""
         if not self.by_unit:
-            return [self._ids(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return [self._ids(e) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         out, known = [], self.units.__getitem__
         for text in texts:
             if any(a in text for a in self.added):
-                out.append(self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids))
+                out.append(self._ids(self.tokenizer.encode(text, add_special_tokens=False)))
                 continue
             units = _UNIT.split(text) if _RUN.search(text) else text.split(" ")
-            head = self._ids(self.tokenizer.encode(units[0], add_special_tokens=False).ids) if units[0] else b""
+            head = self._ids(self.tokenizer.encode(units[0], add_special_tokens=False)) if units[0] else b""
             del units[0]
             out.append(head + b"".join(map(known, units)))
         return out

@@ -408,6 +408,19 @@ def test_encoder_text_forms():
     assert [t + b"\0\0" for t in token_output.Encoder(token_output.default_tokenizer()).encode(texts)] == [np.frombuffer(t, "<u4").astype("<u2").tobytes() for t in brute_tokens(texts)]
 
 
+def test_encoder_keeps_words_in_use(monkeypatch):
+    """Words of every text are tokenized once, though far more words than the cache holds come between; ids are the library's."""
+    rng, seen = np.random.default_rng(7), []
+    word = lambda letters: "".join(rng.choice(list(letters), 8))
+    texts = [f"Der {word('abcdef')} und {word('abcdefé')}, oder {word('abc')}.\n{word('abcdé')}! und" for _ in range(500)]
+    monkeypatch.setattr(token_output._Cache.__init__, "__defaults__", (100,))
+    coder = token_output.Encoder(token_output.default_tokenizer())
+    learn = coder.units.learn
+    coder.units.learn = lambda unit: (seen.append(unit), learn(unit))[1]
+    assert [t + b"\0\0" for t in coder.encode(texts)] == [np.frombuffer(t, "<u4").astype("<u2").tobytes() for t in brute_tokens(texts)]
+    assert seen.count("und") == 1 and seen.count("oder") == 1 and len(seen) > 1500
+
+
 def test_tokens_odd(spark, odd_docs, no_docs):
     got = token_output.token_output(odd_docs, token_output.default_tokenizer()).orderBy("start").collect()
     assert len(got) == odd_docs.count() and sorted((r.doc_id or 0, r.copy) for r in got)[:2] == [(0, 0), (0, 1)]
