@@ -80,12 +80,12 @@ _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: chr(b) for b in _PRINTABLE} | {b: chr(0x100 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
 _SPACE = _BYTE_CHARS[32]
 #: Units of a generation, of which two are held.
-_CACHE_UNITS = 400_000
+_CACHE_UNITS = 600_000
 _ENCODERS: dict[str, Encoder] = {}
 
 
 class _Cache(dict):
-    """Ids of units that follow a space, learned as they come. A full generation becomes the old one, from which units that are used go over to the next."""
+    """Ids of units, or of parts of them, learned as they come. A full generation becomes the old one, from which units that are used go over to the next."""
 
     def __init__(self, learn, most: int = _CACHE_UNITS):
         super().__init__()
@@ -101,10 +101,6 @@ class _Cache(dict):
         self[unit] = ids
         return ids
 
-    def find(self, unit: str) -> bytes | None:
-        """Ids of a unit that is known; others aren't learned."""
-        return self.get(unit) or self.old.get(unit)
-
 
 class Encoder:
     """The ids of whole texts, as bytes of ``dtype``. Units met before come from a cache of bounded size.
@@ -127,7 +123,7 @@ class Encoder:
         pre = self.tokenizer.pre_tokenizer
         self.by_unit = self.tokenizer.normalizer is None and isinstance(pre, pre_tokenizers.ByteLevel) and pre.use_regex and not pre.add_prefix_space
         self.packed = [int(i).to_bytes(np.dtype(self.dtype).itemsize, "little") for i in range(max(self.tokenizer.get_vocab().values(), default=0) + 1)]
-        self.units, self.marks = _Cache(self._unit), _Cache(self._piece)
+        self.units, self.marks, self.starts = _Cache(self._unit), _Cache(self._piece), _Cache(self._letters)
 
     def _ids(self, encoding) -> bytes:
         return b"".join([self.packed[i] for i in encoding.ids])
@@ -141,19 +137,19 @@ class Encoder:
         if unit.isascii() and unit.isalpha():  # such words are written as they are
             return self._piece(_SPACE + unit)
         word = unit.rstrip(_MARKS)
-        if unit and max(unit) < "\u0250":
+        if unit and (unit.isascii() or max(unit) < "\u0250"):
             if not word:
                 return self._piece(_SPACE + unit)
             if word.isalpha():
                 if len(word) < len(unit):
-                    return (self.units.find(word) or self._letters(" " + word)) + self.marks[unit[len(word) :]]
+                    return self.units[word] + self.marks[unit[len(word) :]]
                 return self._letters(" " + word)
             before, line, after = unit.partition("\n")
             if line and before and after and not before[-1].isspace() and not after[0].isspace():
                 end = after.rstrip(_MARKS)
                 if end.isalpha():
-                    after_ids = self._letters(end) + (self.marks[after[len(end) :]] if len(end) < len(after) else b"")
-                    return (self.units.find(before) or self._unit(before)) + self.marks[_BYTE_CHARS[10]] + after_ids
+                    after_ids = self.starts[end] + (self.marks[after[len(end) :]] if len(end) < len(after) else b"")
+                    return self.units[before] + self.marks[_BYTE_CHARS[10]] + after_ids
         return b"".join([self._piece(piece) for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + unit)])
 
     def _letters(self, word: str) -> bytes:

@@ -421,6 +421,16 @@ def test_encoder_keeps_words_in_use(monkeypatch):
     assert seen.count("und") == 1 and seen.count("oder") == 1 and len(seen) > 1500
 
 
+def test_encoder_shares_words():
+    """A word is tokenized once, whatever marks or line ends stand around it; ids are the library's."""
+    coder, asked = token_output.Encoder(token_output.default_tokenizer()), []
+    tokenize = coder.tokenize
+    coder.tokenize = lambda piece: (asked.append(piece), tokenize(piece))[1]
+    texts = ["a hjkwe, hjkwe. hjkwe! hjkwe hjkwe.\nQwzrt hjkwe;\nQwzrt, \u00f1bq. \u00f1bq, x"]
+    assert [t + b"\0\0" for t in coder.encode(texts)] == [np.frombuffer(t, "<u4").astype("<u2").tobytes() for t in brute_tokens(texts)]
+    assert [sum(w in piece for piece in asked) for w in ("hjkwe", "Qwzrt", "bq")] == [1, 1, 1]
+
+
 def test_tokens_odd(spark, odd_docs, no_docs):
     got = token_output.token_output(odd_docs, token_output.default_tokenizer()).orderBy("start").collect()
     assert len(got) == odd_docs.count() and sorted((r.doc_id or 0, r.copy) for r in got)[:2] == [(0, 0), (0, 1)]
