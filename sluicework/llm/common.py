@@ -6,9 +6,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.storage import intermediates, materialize, shared_dir
+from sluicework.storage import few_tasks, intermediates, materialize, shared_dir
 
-__all__ = ["bounded_batches", "intermediates", "materialize", "mix", "powers", "row_order", "shared_dir", "shingles", "table", "text_or_empty", "word_hashes"]
+__all__ = ["bounded_batches", "few_tasks", "intermediates", "materialize", "mix", "powers", "row_order", "shared_dir", "shingles", "table", "text_or_empty", "word_hashes"]
 
 #: Rows and bytes of one Arrow batch that an operator hands to Python. Texts can be long, so they are small.
 BATCH_ROWS, BATCH_BYTES = 512, 4 << 20

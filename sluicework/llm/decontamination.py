@@ -194,8 +194,8 @@ class Filter:
 
 
 def seed_filter(seeds: DataFrame, most_bits: int = MOST_BITS) -> Broadcast:
-    """The filter of all values of ``gram``: its parts are built by tasks, and what comes to the driver has a bounded size."""
-    spark, n = seeds.sparkSession, seeds.count()
+    """The filter of all values of ``gram``, which may be repeated: its parts are built by tasks, and what comes to the driver has a bounded size."""
+    spark, n = seeds.sparkSession, seeds.agg(F.approx_count_distinct("gram")).first()[0]  # only the filter's size hangs on it
     bits = min(max(1 << 16, 1 << int(max(n, 1) * SEED_BITS - 1).bit_length()), most_bits)
 
     def ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +256,7 @@ def _grams(words: np.ndarray, counts: np.ndarray, steps: tuple[int, ...], passin
 
 def rare_seeds(rows: DataFrame, seeds: DataFrame, steps: tuple[int, ...], most_bits: int = MOST_BITS) -> DataFrame:
     """item, place, gram, span and ask of an item's rarest seeds in ``rows`` (text): from so many places that a leak hits ``ask`` of them."""
-    every = seed_filter(seeds.select("gram").distinct(), most_bits)
+    every = seed_filter(seeds, most_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,7 +274,7 @@ def rare_seeds(rows: DataFrame, seeds: DataFrame, steps: tuple[int, ...], most_b
 def _suspects(rows: DataFrame, found: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """The rows (doc_id, th, text) that have a row in ``found``, and few others: the texts without any aren't sent by the join that follows."""
     key = F.xxhash64("doc_id", "th")
-    passing = seed_filter(found.select(key.alias("gram")).distinct(), most_bits)
+    passing = seed_filter(found.select(key.alias("gram")), most_bits)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -292,7 +292,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     seeds = materialize(_seeds(item, least_score), "seeds")
     steps = (0, 1, 2) if seeds.where("single").limit(1).count() else (1, 2)
     rare = rare_seeds(rows, seeds, steps, most_bits)
-    passing = seed_filter(rare.select("gram").distinct(), most_bits)
+    passing = seed_filter(rare, most_bits)
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import bounded_batches, materialize, mix, row_order, shingles, table, word_hashes
+from sluicework.llm.common import bounded_batches, few_tasks, materialize, mix, row_order, shingles, table, word_hashes
 from sluicework.operators.components import components
 
 SHINGLE = 5
@@ -185,7 +185,7 @@ def _verify_units(threshold: float):
     """For rows sorted by (unit, i, j): a row per linked class with its links there and the least class it hangs on."""
 
     def of(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("digest")
+        rows = rows.drop_duplicates("digest").sort_values("digest")  # so that the tasks hang a class on the same ones
         sets = [np.frombuffer(g, np.uint64) for g in rows["grams"]]
         _, number = np.unique(np.concatenate(sets), return_inverse=True)
         ends = np.cumsum([len(s) for s in sets])
@@ -223,13 +223,13 @@ def unit_members(classes: DataFrame, block: tuple[int, int]) -> DataFrame:
     return members.join(kept, F.col("key") == F.col("unit")).groupBy("digest").agg(F.collect_list(F.struct("unit", "blocks")).alias("own"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL, block: tuple[int, int] = (BLOCK_SHINGLES, BLOCK_CLASSES)) -> DataFrame:
-    """A row per document: doc_id, th, class_id and class_th (id and text hash of the group's least document), n_links, n_copies."""
+def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL, block: tuple[int, int] = (BLOCK_SHINGLES, BLOCK_CLASSES)) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents' signatures, their classes, and what was verified: a row per linked class and pair of blocks with its links there and the least digest it hangs on."""
     spark = docs.sparkSession
     bands, rows = choose_bands(threshold, recall)
     signed = materialize(signatures(docs, id_col, text_col, bands, rows, size), "signatures")
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    classes = materialize(classes, "classes")
+    classes = materialize(few_tasks(classes, signed.count()), "classes")
     own = unit_members(classes, block)
     need = own.join(classes.select("digest", "rep", "copies"), "digest").select("digest", "copies", "own", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
     texts = docs.select(F.col(id_col).cast("long").alias("rep_id"), F.xxhash64(F.col(text_col)).alias("rep_th"), F.col(text_col).cast("string").alias("text"))
@@ -252,11 +252,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = other.select("unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "digest", "copies", "block", "units", "grams")
     units = units.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
-    found = materialize(units.mapInPandas(_verify_units(threshold), "digest binary, links long, root binary"), "links")
-    links = found.groupBy("digest").agg(F.sum("links").alias("links"))
+    return signed, classes, materialize(units.mapInPandas(_verify_units(threshold), "digest binary, links long, root binary"), "links")
+
+
+def linked_groups(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """From classes and what was verified: digest, root and rep of the classes that have a link; those of a group have one root."""
     groups = components(found.select(F.col("digest").alias("u"), F.col("root").alias("v"))).select(F.col("node").alias("digest"), F.col("component").alias("root"))
-    groups = links.join(groups, "digest")
-    groups = materialize(groups.join(classes.select("digest", "rep"), "digest"), "groups")
+    return materialize(few_tasks(groups.join(classes.select("digest", "rep"), "digest"), found.count()), "groups")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """A row per document: doc_id, th, class_id and class_th (id and text hash of the group's least document), n_links, n_copies."""
+    signed, classes, found = linked_classes(docs, id_col, text_col, **options)
+    groups = linked_groups(classes, found).join(found.groupBy("digest").agg(F.sum("links").alias("links")), "digest")
     first = materialize(groups.groupBy("root").agg(F.min("rep").alias("first")), "firsts")
     linked = groups.join(first, "root").select("digest", "links", "first")
     info = classes.select("digest", "rep", "copies").join(linked, "digest", "left")
@@ -269,14 +277,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the document with the least id (then text hash), once."""
-    near = near_duplicates(docs, id_col, text_col, **options)
-    kept = near.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("th").eqNullSafe(F.col("class_th")))
-    kept = materialize(kept.groupBy(F.col("doc_id").alias("kept_id__"), F.col("th").alias("kept_th__")).agg(F.count("*").alias("kept_n__")), "kept")
+    signed, classes, found = linked_classes(docs, id_col, text_col, **options)
+    groups = linked_groups(classes, found)
+    least = classes.join(groups, "digest", "left_anti").select("rep.*").union(groups.groupBy("root").agg(F.min("rep").alias("rep")).select("rep.*"))
+    kept = least.union(signed.where("digest is null").select("doc_id", "th"))
+    kept = materialize(few_tasks(kept.toDF("kept_id__", "kept_th__"), signed.count()), "kept")
     key, th = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))
-    out = docs.join(kept, key.eqNullSafe(F.col("kept_id__")) & (th == F.col("kept_th__")))
-    if kept.where("kept_n__ > 1").limit(1).count():
+    out = docs.join(kept, key.eqNullSafe(F.col("kept_id__")) & (th == F.col("kept_th__")), "left_semi")
+    if signed.where("digest is not null").groupBy("doc_id", "th").count().where("count > 1").limit(1).count():
         wordy = F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
-        place = Window.partitionBy("kept_id__", "kept_th__").orderBy(row_order(docs))
+        place = Window.partitionBy(key, th).orderBy(row_order(docs))
         out = out.withColumn("kept_n__", F.when(wordy, F.row_number().over(place)).otherwise(1)).where("kept_n__ = 1")
     return out.select([docs[c] for c in docs.columns])
 

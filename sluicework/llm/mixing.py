@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluicework.llm.common import WORD, materialize, row_order, table, text_or_empty
+from sluicework.llm.common import WORD, few_tasks, materialize, row_order, table, text_or_empty
 from sluicework.llm.common import mix as spread
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -192,7 +192,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     took = copies(docs, **options).groupBy("tie", "doc_id", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    took = materialize(took, "copies")
+    took = materialize(few_tasks(took, docs.count()), "copies")
     names = {c: f"took_{i}_{c}" for i, c in enumerate(took.columns)}
     took = took.select([F.col(c).alias(n) for c, n in names.items()])
     tie, source = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)), F.col(options.get("source_col", "source")).cast("string")

@@ -139,8 +139,8 @@ def _normal_equations(labelled: DataFrame, model: Model) -> tuple[np.ndarray, np
 
     # MOST_LABELLED / 50,000 partitions at most, so what is added up is bounded by it and not by the input's files
     parts = labelled.coalesce(max(1, -(-MOST_LABELLED // 50_000))).mapInPandas(run, "i int, sums array<double>")
-    rows = parts.groupBy("i").applyInPandas(add, "i int, sums array<double>").orderBy("i").collect()
-    total = np.array([r["sums"] for r in rows])
+    rows = parts.groupBy("i").applyInPandas(add, "i int, sums array<double>").collect()  # a row per feature; sorting them in Spark would run the sums twice
+    total = np.array([r["sums"] for r in sorted(rows, key=lambda r: r["i"])])
     return total[:, :-1], total[:, -1]
 
 
@@ -162,7 +162,8 @@ def _calibrate(scored: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
         return None
     edges = sorted(set(edges))
     bin_ = F.array_size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("raw")))
-    bins = scored.groupBy(bin_.alias("bin")).agg(F.avg("raw").alias("raw"), F.sum("label").alias("good"), F.count("*").alias("n")).orderBy("bin").collect()
+    bins = scored.groupBy(bin_.alias("bin")).agg(F.avg("raw").alias("raw"), F.sum("label").alias("good"), F.count("*").alias("n")).collect()
+    bins.sort(key=lambda b: b["bin"])
     raw, n = np.array([b["raw"] for b in bins]), np.array([b["n"] for b in bins], float)
     level = isotonic((np.array([b["good"] for b in bins], float)) / n, n)
     return raw, level

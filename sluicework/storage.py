@@ -17,6 +17,8 @@ _CLEANED: set[str] = set()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: What one task reads of files or of a shuffle, at most about; a task sorts and hashes what it has read, so this bounds its memory.
 TASK_BYTES = 8 << 20
+#: Rows of some numbers or a digest that a task writes where their number is known, at least about.
+TASK_ROWS = 20_000
 #: Folders made in each open scope of intermediates.
 _SCOPES: list[list[str]] = []
 
@@ -97,6 +99,11 @@ def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about so many narrow rows at most, from no more tasks than they ask for: a small table isn't written as a file for each shuffle partition."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder that ``shared_dir`` gave, when nothing will read it again."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

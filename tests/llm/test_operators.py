@@ -768,6 +768,29 @@ def test_verify_leaves_pairs_to_lesser_units():
     assert links.tolist() == [0, 0]
 
 
+def test_keep_one_few_tasks(spark, monkeypatch):
+    """With many shuffle partitions the groups aren't written as a file for each, and what stays is one of each group, and texts without words."""
+    from sluicework.operators import components
+
+    word = lambda k: f"w{k * 7919 % 10007}"
+    rows = [(k, " ".join(word(i) for i in range(40 * (k // 3), 40 * (k // 3) + 40)) + (f" e{k}" if k % 3 == 1 else "")) for k in range(30)] + [(90, " "), (91, " "), (None, "q q q q q q")]
+    docs, files = spark.createDataFrame(rows, "doc_id long, text string"), {}
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for module in (jaccard_join, components):
+        plain = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, label, plain=plain: [out := plain(df, label), files.__setitem__(label, len(out.inputFiles()))][0])
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id for r in jaccard_join.keep_one(docs).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {*range(0, 30, 3), 90, 91, None}
+    assert [files[x] for x in ("classes", "least", "groups", "kept")] == [1, 1, 1, 1]
+
+
 def test_keep_one_alike_rows(spark):
     rows = [(1, "five words of one text here", x) for x in "qps"] + [(2, "five words of one text here", "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
