@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, DoubleType, StructField, StructType
 
-from sluicework.storage import materialize
+from sluicework.storage import intermediates, materialize
 
 
 def interval_join(a: DataFrame, b: DataFrame, keys: list[str], a_ts: str, b_ts: str, seconds: int) -> DataFrame:
@@ -181,66 +182,221 @@ def group_similarity(df: DataFrame, item: str, vector: str, group: str) -> DataF
     return unit.join(whole, group).join(n, group).where("n > 1").select(item, group, ((dot - 1) / (F.col("n") - 1)).alias("similarity"))
 
 
-#: Pairs of items that a part of ``most_overlap`` has on average, and that a task holds before it sums them up.
+#: Pairs of unlike items that a part of ``most_overlap`` has on average, at most, and that a task holds before it sums them up.
 PART_PAIRS = 4 << 20
+#: Entries of lists that ``most_overlap`` may send at once, however few the lists have: about half a gigabyte.
+SENT_AT_ONCE = 256 << 20
+#: Bytes of an Arrow batch of lists, entries of lists that are packed together, and pairs that are made together.
+_BATCH_BYTES, _PACKED, _MADE = 4 << 20, 1 << 20, 1 << 20
+#: Spark's setting of the bytes of an Arrow batch.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def most_overlap(df: DataFrame, item: str, value: str, most: int, part_pairs: int = PART_PAIRS, held: int = PART_PAIRS) -> DataFrame:
+def most_overlap(df: DataFrame, item: str, value: str, most: int, part_pairs: int = PART_PAIRS, held: int = PART_PAIRS, sent_at_once: int = SENT_AT_ONCE) -> DataFrame:
     """a, b, shared, place: for each item the ``most`` others that it shares most distinct values with; of ties the lesser item. Items are integers.
 
     A value's items are sent as one list to each part of the items that has some of them, and pairs are made and counted there: so what is
-    shuffled is a list for a part and not a row for a pair, and all pairs of an item meet in one task. Parts are as many as the pairs ask for.
+    shuffled is a list for a part and not a row for a pair, and all pairs of an item meet in one task. Parts are ranges of items of about the same
+    load, so that items that go together, as they often lie together, are sent once; they are as many as the pairs ask for, counted as often as they meet but
+    no more than all items with all. Lists are sent as differences in as few bytes as these need. Parts take turns: in one turn lists of four
+    times the entries that there are, or ``sent_at_once``, are sent and counted, and nothing of that stays on disk but its result.
     """
-    rows = df.select(F.col(item).cast("long").alias("a"), F.col(value).alias("v")).where("a IS NOT NULL AND v IS NOT NULL")
-    lists = materialize(rows.groupBy("v").agg(F.array_sort(F.collect_set("a")).alias("items")).where(F.size("items") > 1).select("items"), "lists")
-    pairs = lists.agg(F.sum(F.size("items").cast("long") * F.size("items"))).first()[0] or 0
-    parts = max(1, -(-pairs // part_pairs))
-    of = lambda x: F.pmod(x, F.lit(parts)).cast("int")
-    # dealt by number first, as a task that sends lists holds them once for each part
-    sent = lists.repartition(max(1, min(parts // 2, 20_000))).select(F.explode(F.array_distinct(F.transform("items", of))).alias("part"), "items")
-    sent = sent.repartition(max(1, min(parts, 20_000)), "part")
-    return sent.mapInArrow(_overlaps(parts, most, held), "a long, b long, shared long, place int")
-
-
-def _overlaps(parts: int, most: int, held: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function of Arrow batches of part and list of items: the greatest overlaps of the items of each part that comes."""
-
-    def summed(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.lexsort((b, a))
-        a, b, n = a[order], b[order], n[order]
-        first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        return a[first], b[first], np.add.reduceat(n, first)
+    spark = df.sparkSession
+    schema = "a long, b long, shared long, place int"
+    with intermediates(spark):
+        rows = df.select(F.col(item).cast("long").alias("a"), F.col(value).alias("v")).where("a IS NOT NULL AND v IS NOT NULL")
+        lists = materialize(rows.groupBy("v").agg(F.array_sort(F.collect_set("a")).alias("items")).where(F.size("items") > 1).select("items"), "lists")
+        loads = lists.select(F.explode("items").alias("a"), F.size("items").alias("n")).groupBy("a").agg(F.sum("n").alias("pairs"), F.count("*").alias("entries"))
+        loads = materialize(loads, "loads")
+        items, pairs, entries, low, high = loads.agg(F.count("*"), F.sum("pairs"), F.sum("entries"), F.min("a"), F.max("a")).first()
+        if not items:
+            return spark.createDataFrame([], schema)
+        bounds = _bounds(loads, items, pairs, max(1, -(-min(pairs, items * items) // part_pairs), -(-pairs // (16 * part_pairs))))
+        parts = len(bounds) + 1
+        before = spark.conf.get(_BATCH)
+        spark.conf.set(_BATCH, str(_BATCH_BYTES))
+        try:
+            sent = lists.mapInArrow(_entries_sent(bounds), "n long").agg(F.sum("n")).first()[0]
+            # a turn has some 64 parts at least, for that many tasks
+            turns = max(1, min(-(-sent // max(4 * entries, sent_at_once)), parts // 64))
+            done = []
+            for turn in range(turns):
+                packed = lists.mapInArrow(_packer(bounds, low, turns, turn), "part int, n long, lengths binary, items binary")
+                packed = packed.repartitionById(min(-(-parts // turns), 20_000), F.floor(F.col("part") / turns).cast("int"))
+                done.append(materialize(packed.mapInArrow(_overlaps(bounds, low, high, most, held), schema), "overlaps", keep=True))
+        finally:
+            spark.conf.set(_BATCH, before)
+    return reduce(DataFrame.unionByName, done)
+
+
+def _bounds(loads: DataFrame, items: int, pairs: int, parts: int) -> np.ndarray:
+    """The least items of all parts but the first. An item counts as one and by its share of the pairs, so no part has much more than others but by one item."""
+    if parts == 1:
+        return np.empty(0, np.int64)
+    times = F.least(F.ceil(F.col("pairs") * (4 * items / pairs)), F.lit(min(1 << 20, 10 * items // parts + 1))).cast("int")  # beyond two parts' it is all one
+    shares = loads.select(F.explode(F.array_repeat("a", times)).alias("a"))
+    found = shares.agg(F.percentile_approx("a", [k / parts for k in range(1, parts)], 20 * parts + 10_000)).first()[0]
+    return np.unique(np.array(found, np.int64))
+
+
+def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All items and the lengths of the lists of a batch."""
+    return batch.column(0).flatten().to_numpy(), batch.column(0).value_lengths().to_numpy().astype(np.int64)
+
+
+def _places(flat: np.ndarray, lengths: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """List and part of each part that a list has items of. Lists are in ascending order, so a part's items stand together."""
+    part = np.searchsorted(bounds, flat, "right")
+    first = np.r_[True, part[1:] != part[:-1]]
+    first[np.cumsum(lengths) - lengths] = True
+    return np.repeat(np.arange(len(lengths)), lengths)[first], part[first]
+
+
+def _entries_sent(bounds: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of Arrow batches of lists: the entries that go to parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, size, limit = [], 0, held
         for batch in batches:
-            flat, lengths = batch.column(1).flatten().to_numpy(), batch.column(1).value_lengths().to_numpy()
-            ends = np.cumsum(lengths)
-            row = np.repeat(np.arange(len(lengths)), lengths)
-            mine = np.flatnonzero(flat % parts == batch.column(0).to_numpy()[row])
-            per = lengths[row[mine]].astype(np.int64)
-            cut = 0
-            while cut < len(mine):  # own items, as many as make about so many pairs, or one
-                upto = cut + max(1, int(np.searchsorted(np.cumsum(per[cut:]), held, "right")))
-                some, n = mine[cut:upto], per[cut:upto]
-                start = (ends - lengths)[row[some]]
-                at = np.repeat(start - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-                a, b = np.repeat(flat[some], n), flat[at]
-                other = a != b
-                kept.append((a[other], b[other], np.ones(other.sum(), np.int64)))
-                size, cut = size + len(kept[-1][0]), upto
-                if size > limit:
-                    kept = [summed(*map(np.concatenate, zip(*kept, strict=True)))]
-                    size = len(kept[0][0])
-                    limit = max(held, 2 * size)
-        if size:
-            a, b, n = summed(*map(np.concatenate, zip(*kept, strict=True)))
-            order = np.lexsort((b, -n, a))
-            a, b, n = a[order], b[order], n[order]
-            first = np.r_[True, a[1:] != a[:-1]]
-            place = np.arange(len(a)) - np.maximum.accumulate(np.where(first, np.arange(len(a)), 0)) + 1
-            top = place <= most
-            out = pa.record_batch([pa.array(a[top]), pa.array(b[top]), pa.array(n[top]), pa.array(place[top].astype(np.int32))], ["a", "b", "shared", "place"])
+            if batch.num_rows:
+                flat, lengths = _lists(batch)
+                yield pa.record_batch([pa.array([int(lengths[_places(flat, lengths, bounds)[0]].sum())], pa.int64())], ["n"])
+
+    return run
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes as the greatest needs: all lowest bytes, then the next, as high ones are mostly zero and compress well."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8)
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _unpack(packed: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers that were packed."""
+    out = np.zeros((n, 8), np.uint8)
+    width = len(packed) // n
+    out[:, :width] = np.frombuffer(packed, np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def _packer(bounds: np.ndarray, low: int, turns: int, turn: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of Arrow batches of lists: for each part whose turn it is the lists that have some of its items, packed together."""
+
+    def rows(flat: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
+        which, part = _places(flat, lengths, bounds)
+        mine = np.flatnonzero(part % turns == turn)
+        mine = mine[np.argsort(part[mine], kind="stable")]
+        which, part = which[mine], part[mine]
+        starts = np.cumsum(lengths) - lengths
+        # differences from the item before, or from the least of all; unsigned, so that they wrap and come back whatever the range
+        steps = np.diff(flat.view(np.uint64), prepend=np.uint64(0))
+        steps[starts] = flat[starts].view(np.uint64) - np.int64(low).view(np.uint64)
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
+        for begin, end in zip(cuts, [*cuts[1:], len(part)], strict=True):
+            n = lengths[which[begin:end]]
+            at = np.repeat(starts[which[begin:end]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield int(part[begin]), len(n), _pack(n), _pack(steps[at])
+
+    def batch(out: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
+        kinds = {"part": pa.int32(), "n": pa.int64(), "lengths": pa.binary(), "items": pa.binary()}
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds.values(), strict=True)], list(kinds))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for row in (row for lists in _gathered(batches) for row in rows(*lists)):
+            out.append(row)
+            size += len(row[2]) + len(row[3])
+            if size > _BATCH_BYTES:
+                yield batch(out)
+                out, size = [], 0
+        if out:
+            yield batch(out)
+
+    return run
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The items and lengths of lists, of as many batches as have about ``_PACKED`` items."""
+    kept, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            kept.append(_lists(batch))
+            size += len(kept[-1][0])
+            if size >= _PACKED:
+                yield tuple(map(np.concatenate, zip(*kept, strict=True)))
+                kept, size = [], 0
+    if kept:
+        yield tuple(map(np.concatenate, zip(*kept, strict=True)))
+
+
+def _overlaps(bounds: np.ndarray, low: int, high: int, most: int, held: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of Arrow batches of part and packed lists of items: the greatest overlaps of the items of each part that comes."""
+    span = high - low + 1
+
+    def counted(a: np.ndarray, b: np.ndarray, have: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        """Each pair once with its count, in ascending order, of pairs and of those counted before."""
+        every = np.concatenate([a, have[0], b, have[1]])
+        if span * span < 1 << 63:
+            wide, names, every = span, None, every - low
+        else:  # two items don't fit in one number, but two places among these items do
+            names, every = np.unique(every, return_inverse=True)
+            wide = len(names)
+        keys = every[: len(every) // 2] * wide + every[len(every) // 2 :]
+        new = np.sort(keys[: len(a)])
+        first = np.flatnonzero(np.r_[True, new[1:] != new[:-1]])
+        n, new = np.diff(np.r_[first, len(new)]), new[first]
+        if len(have[0]):
+            new, n = np.concatenate([keys[len(a) :], new]), np.concatenate([have[2], n])
+            order = np.argsort(new, kind="stable")
+            new, n = new[order], n[order]
+            first = np.flatnonzero(np.r_[True, new[1:] != new[:-1]])
+            new, n = new[first], np.add.reduceat(n, first)
+        a, b = np.divmod(new, wide)
+        return (a + low, b + low, n) if names is None else (names[a], names[b], n)
+
+    def greatest(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts, last = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]), len(a) - 1
+        rank = n * len(a) + (last - np.arange(len(a)))  # the greater count, then the lesser item
+        for place in range(1, most + 1):
+            best = np.maximum.reduceat(rank, starts)
+            at = last - best[best >= 0] % len(a)
+            if not len(at):
+                return
+            out = pa.record_batch([pa.array(a[at]), pa.array(b[at]), pa.array(n[at]), pa.array(np.full(len(at), place, np.int32))], ["a", "b", "shared", "place"])
             yield from (out.slice(k, 10_000) for k in range(0, out.num_rows, 10_000))
+            rank[at] = -1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, kept, size, limit = (np.empty(0, np.int64),) * 3, [], 0, held
+        for a, b in (pair for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True) for pair in _pairs(row, bounds, low)):
+            kept.append((a, b))
+            size += len(a)
+            if size > limit:
+                have, kept, size = counted(*map(np.concatenate, zip(*kept, strict=True)), have), [], 0
+                limit = max(held, len(have[0]))
+        if size:
+            have = counted(*map(np.concatenate, zip(*kept, strict=True)), have)
+        if len(have[0]):
+            yield from greatest(*have)
 
     return run
+
+
+def _pairs(row: tuple[int, int, bytes, bytes], bounds: np.ndarray, low: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of a part's items with the others of each list, some at a time."""
+    part, n, lengths, steps = row
+    lengths = _unpack(lengths, n).astype(np.int64)
+    steps = _unpack(steps, int(lengths.sum()))
+    starts = np.cumsum(lengths) - lengths
+    sums = np.cumsum(steps)
+    flat = (sums - np.repeat(sums[starts] - steps[starts], lengths) + np.int64(low).view(np.uint64)).view(np.int64)
+    mine = np.flatnonzero(np.searchsorted(bounds, flat, "right") == part)
+    which = np.repeat(np.arange(n), lengths)[mine]
+    per, cut = lengths[which], 0
+    sums = np.cumsum(per)
+    while cut < len(mine):  # own items, as many as make about so many pairs, or one
+        upto = max(cut + 1, int(np.searchsorted(sums, sums[cut] - per[cut] + _MADE, "right")))
+        times = per[cut:upto]
+        at = np.repeat(starts[which[cut:upto]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        a, b = np.repeat(flat[mine[cut:upto]], times), flat[at]
+        yield a[a != b], b[a != b]
+        cut = upto
