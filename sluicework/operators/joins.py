@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, DoubleType, StructField, StructType
 
-from sluicework.storage import intermediates, materialize
+from sluicework.storage import TASK_BYTES, intermediates, materialize
 
 
 def interval_join(a: DataFrame, b: DataFrame, keys: list[str], a_ts: str, b_ts: str, seconds: int) -> DataFrame:
@@ -186,10 +187,8 @@ def group_similarity(df: DataFrame, item: str, vector: str, group: str) -> DataF
 PART_PAIRS = 4 << 20
 #: Entries of lists that ``most_overlap`` may send at once, however few the lists have: about half a gigabyte.
 SENT_AT_ONCE = 256 << 20
-#: Bytes of an Arrow batch of lists, entries of lists that are packed together, and pairs that are made together.
+#: Bytes of a batch of packed lists, entries of lists that are packed together, and pairs that are made together.
 _BATCH_BYTES, _PACKED, _MADE = 4 << 20, 1 << 20, 1 << 20
-#: Spark's setting of the bytes of an Arrow batch.
-_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def most_overlap(df: DataFrame, item: str, value: str, most: int, part_pairs: int = PART_PAIRS, held: int = PART_PAIRS, sent_at_once: int = SENT_AT_ONCE) -> DataFrame:
@@ -203,7 +202,7 @@ def most_overlap(df: DataFrame, item: str, value: str, most: int, part_pairs: in
     """
     spark = df.sparkSession
     schema = "a long, b long, shared long, place int"
-    with intermediates(spark):
+    with intermediates(spark), _small_reads(spark):
         rows = df.select(F.col(item).cast("long").alias("a"), F.col(value).alias("v")).where("a IS NOT NULL AND v IS NOT NULL")
         lists = materialize(rows.groupBy("v").agg(F.array_sort(F.collect_set("a")).alias("items")).where(F.size("items") > 1).select("items"), "lists")
         loads = lists.select(F.explode("items").alias("a"), F.size("items").alias("n")).groupBy("a").agg(F.sum("n").alias("pairs"), F.count("*").alias("entries"))
@@ -213,22 +212,35 @@ def most_overlap(df: DataFrame, item: str, value: str, most: int, part_pairs: in
             return spark.createDataFrame([], schema)
         bounds = _bounds(loads, items, pairs, max(1, -(-min(pairs, items * items) // part_pairs), -(-pairs // (16 * part_pairs))))
         parts = len(bounds) + 1
-        before = spark.conf.get(_BATCH)
-        spark.conf.set(_BATCH, str(_BATCH_BYTES))
-        try:
-            sent = lists.mapInArrow(_entries_sent(bounds), "n long").agg(F.sum("n")).first()[0]
-            # a turn has some 64 parts at least, for that many tasks
-            turns = max(1, min(-(-sent // max(4 * entries, sent_at_once)), parts // 64))
-            done = []
-            for turn in range(turns):
-                packed = lists.mapInArrow(_packer(bounds, low, turns, turn), "part int, n long, lengths binary, items binary")
-                packed = packed.repartitionById(min(-(-parts // turns), 20_000), F.floor(F.col("part") / turns).cast("int"))
-                done.append(materialize(packed.mapInArrow(_overlaps(bounds, low, high, most, held), schema), "overlaps", keep=True))
-        finally:
-            spark.conf.set(_BATCH, before)
+        sent = lists.mapInArrow(_entries_sent(bounds), "n long").agg(F.sum("n")).first()[0]
+        # a turn has some 64 parts at least, for that many tasks
+        turns = max(1, min(-(-sent // max(4 * entries, sent_at_once)), parts // 64))
+        done = []
+        for turn in range(turns):
+            packed = lists.mapInArrow(_packer(bounds, low, turns, turn), "part int, n long, lengths binary, items binary")
+            packed = packed.repartitionById(min(-(-parts // turns), 20_000), F.floor(F.col("part") / turns).cast("int"))
+            done.append(materialize(packed.mapInArrow(_overlaps(bounds, low, high, most, held), schema), "overlaps", keep=True))
     return reduce(DataFrame.unionByName, done)
 
 
+@contextlib.contextmanager
+def _small_reads(spark: SparkSession) -> Iterator[None]:
+    """Within it tasks read files in parts of ``TASK_BYTES`` at most, as what a task groups or sends is many times that, and Arrow batches are small. Smaller settings are kept."""
+    most = {"spark.sql.files.maxPartitionBytes": TASK_BYTES, "spark.sql.execution.arrow.maxBytesPerBatch": _BATCH_BYTES}
+    before = {key: spark.conf.get(key, None) for key in most}
+    as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    try:
+        for key, size in most.items():
+            spark.conf.set(key, str(size if before[key] is None else min(size, as_bytes(before[key]))))
+        yield
+    finally:
+        for key, was in before.items():
+            if was is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, was)
+
+
 def _bounds(loads: DataFrame, items: int, pairs: int, parts: int) -> np.ndarray:
     """The least items of all parts but the first. An item counts as one and by its share of the pairs, so no part has much more than others but by one item."""
     if parts == 1:
